@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from arealoom.functions import vocab
-from arealoom.functions.text import _col, trim_all
+from arealoom.functions.text import _col, bind, trim_all
 
 __all__ = [
     "canonical_header", "classify", "join_readiness", "labels", "match_text", "score_terms",
@@ -21,23 +21,25 @@ def match_text(c) -> Column:
 
 def classify(c, rules, default: str | None = None) -> Column:
     """First rule whose pattern is found; ``rules`` is a list of (label, pattern)."""
-    text = _col(c)
-    chain = None
-    for label, pattern in rules:
-        hit = text.rlike(pattern)
-        chain = F.when(hit, label) if chain is None else chain.when(hit, label)
-    if chain is None:
+    rules = list(rules)
+    if not rules:
         return F.lit(default)
-    return chain if default is None else chain.otherwise(default)
+
+    def chain(text):
+        out = F
+        for label, pattern in rules:
+            out = out.when(text.rlike(pattern), label)
+        return out if default is None else out.otherwise(default)
+
+    return chain(F.col(c)) if isinstance(c, str) else bind(c, chain)
 
 
 def labels(c, rules=None, sep: str = ";", none: str = "unknown") -> Column:
     """Every rule whose pattern is found, in rule order, joined."""
     text = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
-    hits = F.array_compact(
-        F.array(*[F.when(text.rlike(p), F.lit(name)) for name, p in rules or vocab.TEXT_GEOGRAPHIES])
-    )
-    return F.when(F.size(hits) == 0, none).otherwise(F.array_join(hits, sep))
+    named = list(rules or vocab.TEXT_GEOGRAPHIES)
+    hits = bind(text, lambda t: F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(n)) for n, p in named])))
+    return F.coalesce(F.nullif(F.array_join(hits, sep), F.lit("")), F.lit(none))
 
 
 def signals(c, rules=None) -> dict[str, Column]:
@@ -48,11 +50,15 @@ def signals(c, rules=None) -> dict[str, Column]:
 
 def score_terms(c, weights) -> Column:
     """Sum of the weights of the terms found; ``weights`` is a list of (term, weight)."""
-    text = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
-    total = F.lit(0)
-    for term, weight in weights:
-        total = total + F.when(F.contains(text, F.lit(term)), weight).otherwise(0)
-    return total
+    terms = list(weights)
+
+    def total(text):
+        points = F.lit(0)
+        for term, weight in terms:
+            points = points + F.when(F.contains(text, F.lit(term)), weight).otherwise(0)
+        return points
+
+    return bind(F.lower(F.coalesce(_col(c).cast("string"), F.lit(""))), total)
 
 
 def join_readiness(flags: dict[str, Column], family: Column | None = None) -> dict[str, Column]:

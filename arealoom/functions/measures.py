@@ -18,16 +18,21 @@ _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 def plain_number(c) -> Column:
     """Text to double, null for anything that is not a plain decimal number."""
-    text = trim_all(_col(c).cast("string"))
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.regexp_extract(trim_all(_col(c).cast("string")), _NUMBER, 0).try_cast("double")
 
 
 def parse_measure(c, suppressed=None) -> Column:
     """Published figure to double. Thousands separators, ``$`` and ``%`` are dropped; suppressed
-    tokens and ``<n`` or ``>n`` cells stay null, never the bare number."""
-    text = trim_all(_col(c).cast("string"))
-    hidden = F.lower(text).isin(list(suppressed or vocab.SUPPRESSED)) | text.rlike("^[<>]")
-    return F.when(~hidden, plain_number(F.regexp_replace(text, "[,$%]", "")))
+    tokens and ``<n`` or ``>n`` cells stay null, never the bare number.
+
+    Only a plain number survives the last step, so the usual suppressed tokens need no test;
+    ``suppressed`` adds tokens that look like numbers, such as ``999``."""
+    text = F.trim(F.regexp_replace(_col(c).cast("string"), r"^\s+|\s+$|[,$%]", ""))
+    number = F.regexp_extract(text, _NUMBER, 0)
+    if suppressed:
+        hidden = "^(" + "|".join("\\Q" + t + "\\E" for t in suppressed) + ")$"
+        number = F.regexp_replace(number, hidden, "")
+    return number.try_cast("double")
 
 
 def publication_status(c) -> Column:

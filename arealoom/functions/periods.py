@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from arealoom.functions import vocab
-from arealoom.functions.text import _col, trim_all
+from arealoom.functions.text import _col, bind, trim_all
 
 __all__ = [
     "alignment", "coalesce_period", "extract_periods", "parse_period", "period_from_name",
@@ -45,11 +45,6 @@ _PREFIXES = (
 )
 
 
-def _let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and use it several times."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _year(text: Column) -> Column:
     """Two-digit years belong to this century."""
     number = text.try_cast("int")
@@ -73,10 +68,9 @@ def _month_end(year: Column, month: Column) -> Column:
 
 
 def _clean(c) -> Column:
-    text = trim_all(_col(c).cast("string"))
-    text = F.when(~F.lower(text).isin(vocab.SUPPRESSED), text)
-    text = F.regexp_replace(F.lower(F.translate(text, "–—_|", "-- ¦")), _PREFIXES, "")
-    return trim_all(F.regexp_replace(text, r"\s+", " "))
+    text = F.lower(F.translate(_col(c).cast("string"), "–—_|", "-- ¦"))
+    text = F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, _PREFIXES, ""))
 
 
 def _canonical(text: Column) -> Column:
@@ -124,7 +118,7 @@ def parse_period(c, month_day: str = "last") -> Column:
             )
         )
 
-    return _let(_let(_clean(c), _canonical), resolve)
+    return bind(bind(_clean(c), _canonical), resolve)
 
 
 # Full month names and layouts looked for in running text.

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from arealoom.functions import vocab
 
 __all__ = [
-    "alnum_key", "clean_text", "column_letters", "count_links", "distinct_list", "extract_code",
+    "alnum_key", "bind", "clean_text", "column_letters", "count_links", "distinct_list", "extract_code",
     "key_tokens", "name_key", "norm_code", "norm_year", "path_parts", "short_code", "short_label",
     "slug", "strip_tags", "to_json_notes", "trim_all",
 ]
@@ -24,30 +24,39 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it. Conditional
+    branches are not covered by common-subexpression elimination, so a costly value that several
+    branches need is bound first."""
+    return F.element_at(F.transform(F.array(value), lambda v: body(v)), 1)
+
+
 def trim_all(c) -> Column:
     """Trim every kind of ASCII whitespace, not only spaces."""
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
 
 
-def _blank_to_null(c: Column, tokens) -> Column:
-    return F.when(~F.lower(c).isin(list(tokens)), c)
+# The null tokens of codes, blank apart, as one pattern.
+_NULL_TOKEN = "(?i)^(" + "|".join(t for t in vocab.NULL_CODES if t) + ")$"
 
 
 def norm_code(c, mode: str = "compact") -> Column:
     """Area code as text: trimmed, without BOM, null tokens or a trailing ``.0``.
 
     ``mode``: ``keep`` leaves inner text alone, ``compact`` drops whitespace, ``alnum`` keeps upper
-    case letters and digits, ``digits`` keeps digits.
+    case letters and digits, ``digits`` keeps digits. Two or three replacements, each done once.
     """
-    text = trim_all(F.regexp_replace(_col(c).cast("string"), _BOM, ""))
-    text = F.regexp_replace(_blank_to_null(text, vocab.NULL_CODES), r"\.0$", "")
+    text = _col(c).cast("string")
     if mode == "compact":
-        text = F.regexp_replace(text, r"\s+", "")
-    elif mode == "alnum":
+        text = F.regexp_replace(text, rf"[\s{_BOM}]+", "")
+    else:
+        text = F.regexp_replace(text, rf"^[\s{_BOM}]+|[\s{_BOM}]+$|{_BOM}", "")
+    text = F.regexp_replace(text, _NULL_TOKEN + r"|\.0$", "")
+    if mode == "alnum":
         text = F.regexp_replace(F.upper(text), "[^A-Z0-9]+", "")
     elif mode == "digits":
         text = F.regexp_replace(text, "[^0-9]+", "")
-    elif mode != "keep":
+    elif mode not in ("keep", "compact"):
         raise ValueError(f"unknown code mode {mode!r}")
     return F.nullif(text, F.lit(""))
 
@@ -55,7 +64,7 @@ def norm_code(c, mode: str = "compact") -> Column:
 def slug(c, max_len: int = 140, variant: str = "and", empty: str = "unnamed") -> Column:
     """Snake-case name. Variants: ``plain``; ``and`` spells out ``&``; ``symbols`` also spells out
     ``%`` and ``$``; ``bare`` is ``symbols`` without bracketed text."""
-    text = F.lower(trim_all(F.coalesce(_col(c).cast("string"), F.lit(""))))
+    text = F.lower(F.coalesce(_col(c).cast("string"), F.lit("")))
     if variant == "bare":
         text = F.regexp_replace(text, r"\([^)]*\)", " ")
     if variant != "plain":
@@ -63,9 +72,10 @@ def slug(c, max_len: int = 140, variant: str = "and", empty: str = "unnamed") ->
     if variant in ("symbols", "bare"):
         text = F.replace(text, F.lit("%"), F.lit(" pct "))
         text = F.replace(text, F.lit("$"), F.lit(" dollar "))
-    text = F.regexp_replace(F.regexp_replace(text, "[^a-z0-9]+", "_"), "^_+|_+$", "")
-    text = F.when(text == "", F.lit(empty)).otherwise(text)
-    return F.regexp_replace(F.substring(text, 1, max_len), "_+$", "")
+    text = F.btrim(F.regexp_replace(text, "[^a-z0-9]+", "_"), F.lit("_"))
+    if empty:
+        text = F.coalesce(F.nullif(text, F.lit("")), F.lit(empty))
+    return F.rtrim(F.substring(text, 1, max_len), F.lit("_"))
 
 
 def alnum_key(c) -> Column:
@@ -84,25 +94,26 @@ def name_key(c, stop_phrases=None) -> Column:
 
 def clean_text(c) -> Column:
     """Collapse whitespace; null tokens become null."""
-    text = trim_all(F.regexp_replace(F.regexp_replace(_col(c).cast("string"), _BOM, ""), r"\s+", " "))
-    return _blank_to_null(text, vocab.NULL_CODES)
+    text = F.trim(F.regexp_replace(_col(c).cast("string"), rf"[\s{_BOM}]+", " "))
+    return F.nullif(F.regexp_replace(text, _NULL_TOKEN, ""), F.lit(""))
 
 
 def extract_code(c, pattern: str = r"(\d{3,9})", width: int | None = None) -> Column:
     """First match of ``pattern``, else the text itself; all-digit codes are zero-padded."""
-    text = F.regexp_replace(trim_all(_col(c).cast("string")), r"\.0$", "")
-    found = F.regexp_extract(text, pattern, 1)
-    code = F.when(found != "", found).otherwise(text)
+    text = F.regexp_replace(F.trim(_col(c).cast("string")), r"^\s+|\s+$|\.0\s*$", "")
+    code = bind(text, lambda t: F.coalesce(F.nullif(F.regexp_extract(t, pattern, 1), F.lit("")), t))
     if width:
-        short = code.rlike("^[0-9]+$") & (F.length(code) < width)
-        code = F.when(short, F.lpad(code, width, "0")).otherwise(code)
-    return _blank_to_null(code, vocab.NULL_CODES)
+        short = f"^[0-9]{{1,{max(1, width - 1)}}}$"
+        code = bind(code, lambda t: F.when(t.rlike(short), F.lpad(t, width, "0")).otherwise(t))
+    return F.nullif(F.regexp_replace(code, _NULL_TOKEN, ""), F.lit(""))
 
 
 def short_code(c) -> Column:
     """First digit and last four digits of a hierarchical code of five digits or more."""
-    code = norm_code(c, "digits")
-    return F.when(F.length(code) >= 5, F.concat(F.substring(code, 1, 1), F.right(code, F.lit(4))))
+    return F.nullif(
+        F.regexp_replace(F.regexp_replace(norm_code(c, "digits"), "^.{0,4}$", ""), "^(.).*(.{4})$", "$1$2"),
+        F.lit(""),
+    )
 
 
 # Shape of an embedded code per target level.

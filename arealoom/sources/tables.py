@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealoom.operators.catalog import clean_header
+from arealoom.session import col_name
 
 
 def read_csv_text(spark: SparkSession, path, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
@@ -45,6 +46,18 @@ def file_encodings(spark: SparkSession, path) -> DataFrame:
     )
 
 
+# Windows-1252 is Latin-1 but for the bytes 80 to 9F, of which five are undefined.
+_C1 = [(chr(b), bytes([b]).decode("cp1252", "ignore")) for b in range(0x80, 0xA0)]
+_C1_FROM = "".join(c for c, w in _C1 if w)
+_C1_TO = "".join(w for _, w in _C1 if w)
+
+
+def from_windows_1252(df: DataFrame) -> DataFrame:
+    """Text that was read as Latin-1, header included, as Windows-1252."""
+    fixed = df.select(*[F.translate(F.col(col_name(c)), _C1_FROM, _C1_TO).alias(c) for c in df.columns])
+    return fixed.toDF(*[c.translate(str.maketrans(_C1_FROM, _C1_TO)) for c in df.columns])
+
+
 def read_csv_any_encoding(spark: SparkSession, path, sep: str = ",") -> DataFrame:
     """Read files of mixed encodings as one table. Only (path, encoding) pairs reach the driver,
     which lists the files for any scan anyway."""
@@ -53,7 +66,10 @@ def read_csv_any_encoding(spark: SparkSession, path, sep: str = ",") -> DataFram
         by_encoding.setdefault(row["encoding"], []).append(row["path"])
     out = None
     for encoding in sorted(by_encoding):
-        part = read_csv_text(spark, sorted(by_encoding[encoding]), sep, encoding)
+        windows = encoding == "windows-1252"
+        charset = "ISO-8859-1" if windows else encoding
+        part = read_csv_text(spark, sorted(by_encoding[encoding]), sep, charset)
+        part = from_windows_1252(part) if windows else part
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
