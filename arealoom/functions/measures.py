@@ -16,9 +16,14 @@ __all__ = [
 _NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
+def _to_double(text: Column) -> Column:
+    """A matched number or nothing; nothing is made null first, as a failing cast is slow."""
+    return F.nullif(text, F.lit("")).try_cast("double")
+
+
 def plain_number(c) -> Column:
     """Text to double, null for anything that is not a plain decimal number."""
-    return F.regexp_extract(trim_all(_col(c).cast("string")), _NUMBER, 0).try_cast("double")
+    return _to_double(F.regexp_extract(trim_all(_col(c).cast("string")), _NUMBER, 0))
 
 
 def parse_measure(c, suppressed=None) -> Column:
@@ -32,7 +37,7 @@ def parse_measure(c, suppressed=None) -> Column:
     if suppressed:
         hidden = "^(" + "|".join("\\Q" + t + "\\E" for t in suppressed) + ")$"
         number = F.regexp_replace(number, hidden, "")
-    return number.try_cast("double")
+    return _to_double(number)
 
 
 def publication_status(c) -> Column:

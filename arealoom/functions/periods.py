@@ -16,28 +16,45 @@ __all__ = [
 _WORD = f"({vocab.MONTH_WORDS})"
 _GAP = r"[\s\-/]"
 
-# Layouts of a period label in order of trial, and what each is rewritten to:
-# ``d|year|month|day``, ``m|year|month|``, ``q|year|quarter|``, ``f|quarter|start year|end year`` or
-# ``s|day serial||``.
+# Layouts of a period label in order of trial, and what each group of a layout holds:
+# y year, m month, d day, q calendar quarter, f financial quarter, a/b its start/end year,
+# s spreadsheet serial.
 _LAYOUTS = [
-    (r"^(20\d{2})(\d{2})(\d{2})$", "d|$1|$2|$3"),
-    (r"^(20\d{2})(\d{2})$", "m|$1|$2|"),
-    (r"^(\d{5})$", "s|$1||"),
-    (r"^(20\d{2})\s*[- ]?\s*q([1-4])$", "q|$1|$2|"),
-    (r"^q([1-4])\s*[- ]?\s*(20\d{2})$", "q|$2|$1|"),
-    (r"^[^|]*?q([1-4])\s*(?:fy)?\s*(\d{2,4})\s*[/\-]\s*(\d{2,4})[^|]*$", "f|$1|$2|$3"),
-    (r"^[^|]*?(\d{2,4})\s*[/\-]\s*(\d{2,4})\s*q([1-4])[^|]*$", "f|$3|$1|$2"),
-    (rf"^{_WORD}{_GAP}*(\d{{2,4}})$", "m|$2|$1|"),
-    (r"^(\d{1,2})[\-/](20\d{2}|\d{2})$", "m|$2|$1|"),
-    (r"^(20\d{2})-(\d{1,2})$", "m|$1|$2|"),
-    (rf"^(\d{{1,2}}){_GAP}+{_WORD}{_GAP}+(\d{{2,4}})$", "d|$3|$2|$1"),
-    (r"^(20\d{2})[-/](\d{1,2})[-/](\d{1,2})$", "d|$1|$2|$3"),
-    (r"^(\d{1,2})[-/](\d{1,2})[-/](\d{2,4})$", "d|$3|$2|$1"),
-    (rf"^[^|]*?{_WORD}{_GAP}+(\d{{1,2}})(?:st|nd|rd|th)?,?{_GAP}+(20\d{{2}})[^|]*$", "d|$3|$1|$2"),
-    (rf"^[^|]*?(20\d{{2}}){_GAP}+{_WORD}{_GAP}+(\d{{1,2}})[^|]*$", "d|$1|$2|$3"),
-    (rf"^[^|]*?(\d{{1,2}})(?:st|nd|rd|th)?{_GAP}+{_WORD},?{_GAP}+(20\d{{2}})[^|]*$", "d|$3|$2|$1"),
-    (rf"^(20\d{{2}}){_GAP}+{_WORD}$", "m|$1|$2|"),
+    (r"(20\d{2})(\d{2})(\d{2})", "ymd"),
+    (r"(20\d{2})(\d{2})", "ym"),
+    (r"(\d{5})", "s"),
+    (r"(20\d{2})\s*[- ]?\s*q([1-4])", "yq"),
+    (r"q([1-4])\s*[- ]?\s*(20\d{2})", "qy"),
+    (r"[^|]*?q([1-4])\s*(?:fy)?\s*(\d{2,4})\s*[/\-]\s*(\d{2,4})[^|]*", "fab"),
+    (r"[^|]*?(\d{2,4})\s*[/\-]\s*(\d{2,4})\s*q([1-4])[^|]*", "abf"),
+    (rf"{_WORD}{_GAP}*(\d{{2,4}})", "my"),
+    (r"(\d{1,2})[\-/](20\d{2}|\d{2})", "my"),
+    (r"(20\d{2})-(\d{1,2})", "ym"),
+    (rf"(\d{{1,2}}){_GAP}+{_WORD}{_GAP}+(\d{{2,4}})", "dmy"),
+    (r"(20\d{2})[-/](\d{1,2})[-/](\d{1,2})", "ymd"),
+    (r"(\d{1,2})[-/](\d{1,2})[-/](\d{2,4})", "dmy"),
+    (rf"[^|]*?{_WORD}{_GAP}+(\d{{1,2}})(?:st|nd|rd|th)?,?{_GAP}+(20\d{{2}})[^|]*", "mdy"),
+    (rf"[^|]*?(20\d{{2}}){_GAP}+{_WORD}{_GAP}+(\d{{1,2}})[^|]*", "ymd"),
+    (rf"[^|]*?(\d{{1,2}})(?:st|nd|rd|th)?{_GAP}+{_WORD},?{_GAP}+(20\d{{2}})[^|]*", "dmy"),
+    (rf"(20\d{{2}}){_GAP}+{_WORD}", "ym"),
 ]
+_FIELDS = "ymdqfabs"
+
+
+def _one_pattern() -> tuple[str, str]:
+    """All layouts as one alternation, tried in order, and a replacement that lists the fields of
+    the layout that fitted: groups of the others are empty."""
+    slots = {name: "" for name in _FIELDS}
+    group = 0
+    for _, names in _LAYOUTS:
+        for name in names:
+            group += 1
+            slots[name] += f"${group}"
+    body = "|".join(f"(?:{layout})" for layout, _ in _LAYOUTS)
+    return f"^(?:{body})$", "|".join(slots[name] for name in _FIELDS)
+
+
+_PATTERN, _FORM = _one_pattern()
 
 _PREFIXES = (
     r"^(data\s+)?as\s+at\s+|^quarter\s+ending\s+|^period\s+ending\s+"
@@ -52,8 +69,11 @@ def _year(text: Column) -> Column:
 
 
 def _month(text: Column) -> Column:
+    """Month number from digits or a month word. Words are told apart first: a failing cast costs
+    more than the lookup."""
     names = F.array(*[F.lit(m) for m in vocab.MONTHS])
-    return F.coalesce(text.try_cast("int"), F.array_position(names, F.substring(text, 1, 3)).cast("int"))
+    word = F.array_position(names, F.substring(text, 1, 3)).cast("int")
+    return F.when(text < ":", text.try_cast("int")).otherwise(word)
 
 
 def _date(year: Column, month: Column, day: Column) -> Column:
@@ -73,14 +93,6 @@ def _clean(c) -> Column:
     return F.trim(F.regexp_replace(text, _PREFIXES, ""))
 
 
-def _canonical(text: Column) -> Column:
-    solid = F.regexp_replace(text, r"\s+", "")
-    out = F.when(solid.rlike(r"^(20\d{6}|20\d{4}|\d{5})$"), solid).otherwise(text)
-    for layout, form in _LAYOUTS:
-        out = F.regexp_replace(out, layout, form)
-    return out
-
-
 def _fy_date(quarter: Column, start: Column, end: Column) -> Column:
     """Financial-year quarter end: the first two quarters fall in the start year."""
     early = quarter <= 2
@@ -88,37 +100,41 @@ def _fy_date(quarter: Column, start: Column, end: Column) -> Column:
     return _month_end(year, F.when(early, quarter * 3 + 6).otherwise(quarter * 3 - 6))
 
 
-def parse_period(c, month_day: str = "last") -> Column:
-    """One reporting-period label to a date; a bare code or anything outside 2000–2035 is null.
+def _resolve(text: Column, month_day: str = "last") -> Column:
+    """A cleaned label to a date."""
 
-    The first layout that fits decides, valid or not. Each layout is one rewrite to a common form,
-    so the expression grows with the number of layouts only. Month labels give the month end, or
-    day one with ``month_day="first"``.
-    """
-
-    def resolve(form):
-        part = F.split(form, r"\|")
-        kind, a, b, d = (F.try_element_at(part, F.lit(i)) for i in (1, 2, 3, 4))
-        serial = a.try_cast("int")
+    def dated(part):
+        y, m, d, q, f, a, b, s = (
+            F.nullif(F.try_element_at(part, F.lit(i + 1)), F.lit("")) for i in range(len(_FIELDS))
+        )
+        serial = s.try_cast("int")
         by_serial = F.date_add(F.lit("1899-12-30").cast("date"), serial)
-        month = _month_end(_year(a), _month(b))
+        month = _month_end(_year(y), _month(m))
         if month_day == "first":
             month = F.trunc(month, "month")
         return (
-            F.when(F.size(part) != 4, F.lit(None).cast("date"))
-            .when(kind == "d", _date(_year(a), _month(b), d.try_cast("int")))
-            .when(kind == "m", month)
-            .when(kind == "q", _month_end(_year(a), b.try_cast("int") * 3))
-            .when(kind == "f", _fy_date(a.try_cast("int"), b, d))
+            F.when(F.size(part) != len(_FIELDS), F.lit(None).cast("date"))
+            .when(d.isNotNull(), _date(_year(y), _month(m), d.try_cast("int")))
+            .when(m.isNotNull(), month)
+            .when(q.isNotNull(), _month_end(_year(y), q.try_cast("int") * 3))
+            .when(f.isNotNull(), _fy_date(f.try_cast("int"), a, b))
             .when(
-                kind == "s",
-                F.when(
-                    serial.between(*vocab.SERIAL_RANGE) & (F.year(by_serial) <= vocab.YEAR_RANGE[1]), by_serial
-                ),
+                serial.between(*vocab.SERIAL_RANGE) & (F.year(by_serial) <= vocab.YEAR_RANGE[1]), by_serial
             )
         )
 
-    return bind(bind(_clean(c), _canonical), resolve)
+    return bind(F.split(F.regexp_replace(text, _PATTERN, _FORM), r"\|"), dated)
+
+
+def parse_period(c, month_day: str = "last") -> Column:
+    """One reporting-period label to a date; a bare code or anything outside 2000–2035 is null.
+
+    The first layout that fits decides, valid or not; all layouts are one pattern, matched once.
+    Month labels give the month end, or day one with ``month_day="first"``.
+    """
+    # Digits split by spaces are one number only when there is nothing else.
+    solid = F.regexp_replace(_clean(c), r"(?<=^[0-9 ]{1,20}) +(?=[0-9 ]*$)", "")
+    return _resolve(solid, month_day)
 
 
 # Full month names and layouts looked for in running text.
@@ -140,16 +156,20 @@ _TEXT_LAYOUTS = [
 def _text_token(token: Column) -> Column:
     """In running text four digits before a quarter are a pair of financial years."""
     pair = r"^(\d{2})(\d{2})[_\-\s]*q([1-4])$"
-    return parse_period(F.regexp_replace(token, pair, "q$3 $1/$2"))
+    return _resolve(F.regexp_replace(F.translate(token, "_", " "), pair, "q$3 $1/$2"))
 
 
 def extract_periods(c) -> Column:
     """Every period mentioned in a text, as a sorted array of distinct dates."""
     text = F.lower(F.translate(F.coalesce(_col(c).cast("string"), F.lit("")), "–—", "--"))
-    found = F.concat(
-        *[F.regexp_extract_all(text, F.lit(layout), F.lit(0)) for layout in _TEXT_LAYOUTS]
-    )
-    return F.array_sort(F.array_distinct(F.array_compact(F.transform(found, _text_token))))
+
+    def tokens(t):
+        return F.array_distinct(
+            F.concat(*[F.regexp_extract_all(t, F.lit(layout), F.lit(0)) for layout in _TEXT_LAYOUTS])
+        )
+
+    dates = F.transform(bind(text, tokens), _text_token)
+    return F.array_sort(F.array_distinct(F.array_compact(dates)))
 
 
 def period_span(c) -> dict[str, Column]:

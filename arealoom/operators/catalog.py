@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from arealoom.functions import vocab
 from arealoom.functions.labels import classify
-from arealoom.functions.text import alnum_key, slug
+from arealoom.functions.text import alnum_key, bind, slug
 from arealoom.operators.audit import ContractError
 from arealoom.session import col_name
 
@@ -148,15 +148,18 @@ def resolve_columns(catalog: DataFrame, candidates: list[str]) -> DataFrame:
     """Per table the column that answers a list of candidate names: exact match in candidate
     order, else the first column containing, or contained in, one. ``match_kind`` records which."""
     wanted = F.array(*[F.lit(_key(c)) for c in candidates])
-    key = alnum_key("column_name")
-    exact = F.array_position(wanted, key)
-    fuzzy = (key != "") & F.exists(wanted, lambda w: F.contains(w, key) | F.contains(key, w))
-    rank = F.when(
-        exact > 0, F.struct(F.lit(0).alias("kind"), exact.cast("int").alias("place"), F.col("ordinal"))
-    ).when(fuzzy, F.struct(F.lit(1).alias("kind"), F.lit(0).alias("place"), F.col("ordinal")))
+
+    def place(key):
+        """Position of an exact match, 0 for containment, null for neither."""
+        fuzzy = (key != "") & F.exists(wanted, lambda w: F.contains(w, key) | F.contains(key, w))
+        exact = F.array_position(wanted, key)
+        return F.when(exact > 0, exact).when(fuzzy, F.lit(0).cast("long"))
+
+    found = catalog.select("*", bind(alnum_key("column_name"), place).alias("__place"))
+    rank = F.struct((F.col("__place") == 0).cast("int").alias("kind"), "__place", "ordinal")
     return (
-        catalog.select("table_name", "column_name", rank.alias("__rank"))
-        .filter("__rank is not null")
+        found.filter("__place is not null")
+        .select("table_name", "column_name", rank.alias("__rank"))
         .groupBy("table_name")
         .agg(
             F.min_by("column_name", F.struct("__rank", "column_name")).alias("column_name"),
@@ -290,14 +293,14 @@ def unique_columns(catalog: DataFrame) -> DataFrame:
 def geography_from_columns(catalog: DataFrame, levels=None) -> DataFrame:
     """Per table the finest geography its headers name, and the headers that name any."""
     levels = levels or vocab.HEADER_LEVELS
-    name = slug("column_name")
-    hits = [name.rlike(p) for _, p in levels]
-    any_hit = F.lit(False)
-    for h in hits:
-        any_hit = any_hit | h
-    flags = catalog.groupBy("table_name").agg(
-        *[F.bool_or(h).alias(f"__{i}") for i, h in enumerate(hits)],
-        F.array_join(F.array_sort(F.collect_set(F.when(any_hit, name))), ";").alias("key_columns"),
+    named = catalog.select("table_name", slug("column_name").alias("__name")).distinct()
+    flagged = named.select(
+        "*", *[F.col("__name").rlike(p).alias(f"__{i}") for i, (_, p) in enumerate(levels)]
+    )
+    any_hit = F.greatest(*[F.col(f"__{i}") for i in range(len(levels))])
+    flags = flagged.groupBy("table_name").agg(
+        *[F.bool_or(f"__{i}").alias(f"__{i}") for i in range(len(levels))],
+        F.array_join(F.array_sort(F.collect_set(F.when(any_hit, F.col("__name")))), ";").alias("key_columns"),
     )
     level = F.coalesce(*[F.when(F.col(f"__{i}"), n) for i, (n, _) in enumerate(levels)], F.lit("unknown"))
     return flags.select("table_name", level.alias("native_geography"), "key_columns")

@@ -93,30 +93,39 @@ READABLE = (".csv", ".tsv", ".txt")
 HELD = (".xlsx", ".xls", ".json")
 
 
-def _members(with_content: bool):
+_MEMBER_COLUMNS = [part.split()[0] for part in _MEMBER_SCHEMA.split(", ")]
+
+
+def _archive_rows(path: str, content: bytes, with_content: bool) -> Iterator[tuple]:
+    try:
+        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+            for info in archive.infolist():
+                if info.is_dir():
+                    continue
+                base = info.filename.rsplit("/", 1)[-1]
+                ext = "." + base.rsplit(".", 1)[1].lower() if "." in base[1:] else ""
+                readable = ext in READABLE
+                status = "extracted" if readable else "held" if ext in HELD else "not_tabular"
+                data = archive.read(info) if with_content and readable else None
+                yield path, info.filename, ext, info.file_size, info.compress_size, status, data
+    except zipfile.BadZipFile as error:
+        yield path, "", "", 0, 0, f"failed: {error}", None
+
+
+def _members(with_content: bool, rows_per_batch: int = 5_000, bytes_per_batch: int = 1 << 26):
+    """Members of many small archives share an output batch; a large member closes its batch."""
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows, held = [], 0
             for path, content in zip(batch["path"], batch["content"]):
-                rows = []
-                try:
-                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                        for info in archive.infolist():
-                            if info.is_dir():
-                                continue
-                            name = info.filename
-                            base = name.rsplit("/", 1)[-1]
-                            ext = "." + base.rsplit(".", 1)[1].lower() if "." in base[1:] else ""
-                            readable = ext in READABLE
-                            status = "extracted" if readable else "held" if ext in HELD else "not_tabular"
-                            data = archive.read(info) if with_content and readable else None
-                            rows.append((path, name, ext, info.file_size, info.compress_size, status, data))
-                except zipfile.BadZipFile as error:
-                    rows.append((path, "", "", 0, 0, f"failed: {error}", None))
-                yield pd.DataFrame(
-                    rows,
-                    columns=["path", "member", "member_extension", "size", "compressed_size",
-                             "member_status", "content"],
-                )
+                for row in _archive_rows(path, content, with_content):
+                    rows.append(row)
+                    held += len(row[-1] or b"")
+                    if len(rows) >= rows_per_batch or held >= bytes_per_batch:
+                        yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
+                        rows, held = [], 0
+            yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
 
     return read
 

@@ -96,22 +96,30 @@ def tokens_of(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Heading and cell tokens of every page, in document order."""
     schema = f"`{key}` {pages.schema[key].dataType.simpleString()}, {_TOKEN_SCHEMA}"
 
+    return pages.select(key, html).mapInPandas(
+        _per_page(key, html, lambda text: [(i, *t) for i, t in enumerate(html_tokens(text))], _names(_TOKEN_SCHEMA)),
+        schema,
+    )
+
+
+def _names(schema: str) -> list[str]:
+    return [part.split()[0] for part in schema.split(", ")]
+
+
+def _per_page(key: str, html: str, parse, names: list[str], chunk: int = 20_000):
+    """Apply ``parse`` to every page; records of many small pages share an output batch."""
+
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows: list[tuple] = []
             for page, text in zip(batch[key], batch[html]):
-                tokens = html_tokens(text or "")
-                yield pd.DataFrame(
-                    {
-                        key: [page] * len(tokens),
-                        "position": range(len(tokens)),
-                        "tag": [t[0] for t in tokens],
-                        "table_no": [t[1] for t in tokens],
-                        "row_no": [t[2] for t in tokens],
-                        "text": [t[3] for t in tokens],
-                    }
-                )
+                rows.extend((page, *record) for record in parse(text or ""))
+                if len(rows) >= chunk:
+                    yield pd.DataFrame(rows, columns=[key, *names])
+                    rows = []
+            yield pd.DataFrame(rows, columns=[key, *names])
 
-    return pages.select(key, html).mapInPandas(read, schema)
+    return read
 
 
 _ROW_SCHEMA = (
@@ -157,16 +165,9 @@ def _rows(tokens: list[tuple[str, int, int, str]]) -> list[tuple]:
 def page_rows(pages: DataFrame, key: str, html: str) -> DataFrame:
     """Labelled local figures of every table row, as text. Pages are independent: no shuffle."""
     schema = f"`{key}` {pages.schema[key].dataType.simpleString()}, {_ROW_SCHEMA}"
-    names = [part.split()[0] for part in _ROW_SCHEMA.split(", ")]
-
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for page, text in zip(batch[key], batch[html]):
-                out = pd.DataFrame(_rows(html_tokens(text or "")), columns=names)
-                out.insert(0, key, [page] * len(out))
-                yield out
-
-    return pages.select(key, html).mapInPandas(read, schema)
+    return pages.select(key, html).mapInPandas(
+        _per_page(key, html, lambda text: _rows(html_tokens(text)), _names(_ROW_SCHEMA)), schema
+    )
 
 
 # Row labels that are notes, not data.
