@@ -150,7 +150,7 @@ def rollup_inventory(spark, sf):
 )
 def allocation_audit(spark, sf):
     values = printed(spark, sf).select(F.col("o_orderkey").alias("l_orderkey"), FN.parse_measure("figure").alias("x"))
-    bridge = order_bridge(spark, sf).filter("l_orderkey % 50 <> 0")
+    bridge = order_bridge(spark, sf, stored=True).filter("l_orderkey % 50 <> 0")
     allocated = B.allocate(values, bridge, "l_orderkey", "l_suppkey", "ratio", ["x"])
     audit = B.allocation_audit(values, allocated, bridge, "l_orderkey", ["x"])
     names = ["source_total", "allocated_total", "unmatched_total", "total_difference"]

@@ -92,15 +92,17 @@ _SQL_AREA = """u AS (SELECT s_nationkey AS a, p_brand AS b, sum(l_extendedprice)
  s AS (SELECT *, v / sum(v) OVER (PARTITION BY a) AS share, row_number() OVER (PARTITION BY a ORDER BY v DESC, b) AS rn FROM u)"""
 
 
+_UNIT = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+
+
 def _units(spark, sf):
     lines = table(spark, sf, "lineitem")
-    unit = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("unit")
-    to_a = lines.select(unit, "l_suppkey", F.col("l_extendedprice").alias("v")).join(
+    to_a = lines.select(*_UNIT, F.col("l_extendedprice").alias("v")).join(
         table(spark, sf, "supplier"), F.col("s_suppkey") == F.col("l_suppkey")
-    ).select("unit", F.col("s_nationkey").alias("a"), "v")
-    to_b = lines.select(unit, "l_partkey").join(
+    ).select(*_UNIT, F.col("s_nationkey").alias("a"), "v")
+    to_b = lines.select(*_UNIT).join(
         table(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey")
-    ).select("unit", F.col("p_brand").alias("b"))
+    ).select(*_UNIT, F.col("p_brand").alias("b"))
     return to_a, to_b
 
 
@@ -108,7 +110,7 @@ def _units(spark, sf):
        " rn = 1 AS dominant FROM s")
 def build_area_bridge(spark, sf):
     to_a, to_b = _units(spark, sf)
-    full, best = PB.build_area_bridge(to_a, to_b, "unit", "a", "b", "v")
+    full, best = PB.build_area_bridge(to_a, to_b, _UNIT, "a", "b", "v")
     marked = full.join(best.select("a", "b", F.lit(True).alias("dominant")), ["a", "b"], "left")
     return marked.select(
         "a", "b", r("v", 2).alias("v"), "unit_count", r("share", 6).alias("share"),
@@ -123,7 +125,7 @@ def build_area_bridge(spark, sf):
  OVER (PARTITION BY l_orderkey ORDER BY ratio DESC, CAST(l_suppkey AS VARCHAR)) AS rn FROM bridge) WHERE rn = 1""",
 )
 def build_ratio_bridge(spark, sf):
-    published = order_bridge(spark, sf).select(
+    published = order_bridge(spark, sf, stored=True).select(
         _area("l_orderkey").alias("k"), F.col("l_suppkey").alias("code"), (F.col("ratio") * 100).alias("pct")
     )
     _, best = PB.build_ratio_bridge(published, "k", "code", "pct")
@@ -223,7 +225,7 @@ def allocate_wide(spark, sf):
         *[F.when(F.col("o_orderpriority") == p, F.col("o_totalprice")).cast("string").alias(n) for n, p in kinds.items()],
     )
     concepts = PR.wide_to_concepts(wide, "code", vocab.PAYMENT_CONCEPTS)
-    bridge = order_bridge(spark, sf).withColumn("code9", _area("l_orderkey"))
+    bridge = order_bridge(spark, sf, stored=True).withColumn("code9", _area("l_orderkey"))
     out = PR.allocate_wide(
         concepts, bridge, key="code", derived_key=F.right("code", F.lit(5)), from_col="code9",
         bridge_derived=FN.short_code("code9"), to_col="l_suppkey", ratio="ratio", measures=["age_pension", "jobseeker"],
@@ -327,7 +329,12 @@ def extract_indicators(spark, sf):
     return wide.select("join_key", "customers__balance", F.coalesce("sales__total", F.lit(-1.0)).alias("sales__total"))
 
 
-@check("pip13_stage_native")
+@check(
+    "pip13_stage_native",
+    """SELECT 'spine' AS family, 'sa2' AS native_geography, 'staged' AS status, count(*) AS rows, 2 AS columns_max FROM customer
+ UNION ALL SELECT 'profiles', 'sa3', 'staged', count(*), 2 FROM customer UNION ALL SELECT 'other', 'unknown', 'staged', count(*), 2
+ FROM events""",
+)
 def stage_native(spark, sf):
     out = scratch_path(spark, "stage")
     customers = table(spark, sf, "customer")

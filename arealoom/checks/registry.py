@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arealoom.session import materialise
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -87,14 +89,16 @@ SQL_NUMBER = """(CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_order
 # --- a weighted bridge: orders to suppliers by quantity ---------------------------------------
 
 
-def order_bridge(spark: SparkSession, sf: str) -> DataFrame:
-    """Edges order → supplier with the supplier's share of the order's quantity."""
+def order_bridge(spark: SparkSession, sf: str, stored: bool = False) -> DataFrame:
+    """Edges order → supplier with the supplier's share of the order's quantity. ``stored`` writes
+    them first, as a published correspondence that is read several times."""
     from arealoom.operators.bridges import share_of_total
 
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
-    return share_of_total(lines, "l_orderkey", "l_suppkey", "l_quantity").select(
+    edges = share_of_total(lines, "l_orderkey", "l_suppkey", "l_quantity").select(
         "l_orderkey", "l_suppkey", F.col("share").alias("ratio")
     )
+    return materialise(edges, "edges") if stored else edges
 
 
 SQL_BRIDGE = """bridge AS (SELECT l_orderkey, l_suppkey,

@@ -52,7 +52,8 @@ def combine_headers(cells: DataFrame, header_rows: DataFrame, window: int = 5, s
     )
     texts = cells.select(*_SHEET, "row_idx", "col_idx", clean_text("value").alias("value"))
     full = grid.join(texts, [*_SHEET, "row_idx", "col_idx"], "left")
-    filled = ffill(full, [*_SHEET, "row_idx"], "col_idx", ["value"])
+    # One row of a sheet has at most 16,384 columns in the formats that hold merged cells.
+    filled = ffill(full, [*_SHEET, "row_idx"], "col_idx", ["value"], block=None)
     stacks = (
         filled.filter("value is not null")
         .groupBy(*_SHEET, "col_idx")

@@ -133,37 +133,30 @@ def fallback_join(
     A derived key that stands for several exact keys is never used: its rows stay unmatched
     (``refuse``) or the join raises. ``scope="table"`` tries the derived key only when no row at
     all matches exactly. Adds ``join_method``.
+
+    Each row's exact key is settled first, from small key tables, and ``right`` is joined once.
     """
     (le, re_), (ld, rd) = exact, derived
-    marked = right.withColumn("join_method", F.lit("exact_key"))
-    matched = left.join(marked, left[le] == marked[re_], "inner")
-    rest = left.join(right.select(F.col(re_).alias("__re")), F.col(le) == F.col("__re"), "left_anti")
-    if scope == "table" and not matched.select(le).limit(1).isEmpty():
-        unknown = rest.join(marked.limit(0), F.lit(False), "left")
-        return matched.unionByName(unknown.withColumn("join_method", F.lit("unmatched")))
-    keys = right.filter(F.col(rd).isNotNull()).groupBy(F.col(rd).alias("__rd")).agg(
-        (F.min(re_) != F.max(re_)).alias("__ambiguous")
+    pairs = right.select(F.col(re_).alias("__re"), F.col(rd).alias("__rd")).distinct()
+    known = pairs.groupBy("__re").agg(F.lit(True).alias("__known"))
+    short = pairs.filter("__rd is not null and __re is not null").groupBy("__rd").agg(
+        F.min("__re").alias("__only"), (F.min("__re") != F.max("__re")).alias("__ambiguous")
     )
-    if on_ambiguous == "raise" and not keys.filter("__ambiguous").limit(1).isEmpty():
+    if on_ambiguous == "raise" and not short.filter("__ambiguous").limit(1).isEmpty():
         raise ContractError(f"derived key {rd} stands for several values of {re_}")
-    usable = (
-        right.withColumn("join_method", F.lit("derived_key"))
-        .join(keys.filter(~F.col("__ambiguous")), F.col(rd) == F.col("__rd"), "left_semi")
-    )
-    second = rest.join(usable, rest[ld] == usable[rd], "left")
-    labelled = (
-        second.join(keys.filter("__ambiguous"), F.col(ld) == F.col("__rd"), "left")
-        .withColumn(
-            "join_method",
-            F.coalesce(
-                "join_method",
-                F.when(F.col("__ambiguous"), F.lit("ambiguous_derived_key")),
-                F.lit("unmatched"),
-            ),
-        )
-        .drop("__rd", "__ambiguous")
+    first = left.join(known, F.col(le) == F.col("__re"), "left").drop("__re")
+    if scope == "table" and not first.filter("__known").limit(1).isEmpty():
+        short = short.limit(0)
+    settled = first.join(short, F.col(ld) == F.col("__rd"), "left").select(
+        *[F.col(col_name(c)) for c in left.columns],
+        F.when(F.col("__known"), F.col(le)).when(~F.col("__ambiguous"), F.col("__only")).alias("__key"),
+        F.when(F.col("__known"), "exact_key")
+        .when(F.col("__ambiguous"), "ambiguous_derived_key")
+        .when(F.col("__rd").isNotNull(), "derived_key")
+        .otherwise("unmatched")
+        .alias("join_method"),
     )
-    return matched.unionByName(labelled)
+    return settled.join(right, F.col("__key") == F.col(re_), "left").drop("__key")
 
 
 def flag_membership(df: DataFrame, members: DataFrame, key, name: str) -> DataFrame:

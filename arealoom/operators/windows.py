@@ -145,14 +145,20 @@ def duplicate_groups(
 
 
 def ffill(
-    df: DataFrame, partition, order: str, columns: list[str], block: int = 4096
+    df: DataFrame, partition, order: str, columns: list[str], block: int | None = 4096
 ) -> DataFrame:
     """Carry the last non-null value forward within a partition.
 
     ``order`` is a whole number, unique in its partition. Rows are filled inside blocks of
     ``block`` positions; the last value of each earlier block fills what is still empty. A window
-    therefore never holds more than one block of rows, or one row per block."""
+    therefore never holds more than one block of rows, or one row per block. ``block=None`` is for
+    partitions that are short by nature, such as one row of a sheet: one plain window."""
     keys = _names(partition)
+    if block is None:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.select(
+            *[F.last(c, ignorenulls=True).over(w).alias(c) if c in columns else F.col(col_name(c)) for c in df.columns]
+        )
     blocked = df.withColumn("__block", F.floor(F.col(order) / block))
     inside = Window.partitionBy(*keys, "__block").orderBy(order).rowsBetween(
         Window.unboundedPreceding, 0

@@ -11,6 +11,7 @@ from arealoom.operators.audit import expect_range
 from arealoom.operators.bridges import dominant, flag_split, normalise_ratio, share_of_total
 from arealoom.operators.catalog import project_required
 from arealoom.operators.joins import compose_bridge, contract_join
+from arealoom.session import materialise
 
 
 def build_bridge(
@@ -33,6 +34,8 @@ def build_bridge(
         *[F.lit(v).alias(k) for k, v in (provenance or {}).items()],
     ).filter(F.col(from_col).isNotNull())
     if expected:
+        # The check and the flag both read the edges, so they are computed once and stored.
+        edges = materialise(edges, "bridge")
         expect_range(edges, expected)
     return flag_split(edges, from_col, to_col)
 

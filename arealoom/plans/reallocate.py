@@ -67,8 +67,9 @@ def wide_to_concepts(
 
     Headers are few, so the mapping is settled on them alone and applied in one aggregate."""
     names = [c for c in (columns or wide.columns) if c != key]
-    spark = wide.sparkSession
-    headers = spark.createDataFrame([(c,) for c in names], "header string")
+    headers = wide.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(c) for c in names])).alias("header")
+    )
     labelled = headers.withColumn("concept", classify(match_text("header"), taxonomy)).collect()
     groups: dict[str, list[str]] = {}
     for row in labelled:
@@ -79,8 +80,11 @@ def wide_to_concepts(
     )
 
     def concept_sum(cols):
-        present = F.array_compact(F.array(*[F.col(col_name(c)) for c in cols]))
-        return F.when(F.size(present) > 0, F.aggregate(present, F.lit(0.0), lambda a, x: a + x))
+        present = F.coalesce(*[F.col(col_name(c)) for c in cols]).isNotNull()
+        total = F.lit(0.0)
+        for c in cols:
+            total = total + F.coalesce(F.col(col_name(c)), F.lit(0.0))
+        return F.when(present, total)
 
     rows = parsed.select(key, *[concept_sum(cols).alias(g) for g, cols in groups.items()])
     return rows.groupBy(key).agg(*[F.sum(g).alias(g) for g in groups])
