@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from arealoom import functions as FN
 from arealoom.checks.registry import (
-    SQL_BRIDGE, SQL_FIGURE, SQL_INVENTORY, SQL_NUMBER, cells, check, inventory, iso, line_id, order_bridge,
+    SQL_BRIDGE, SQL_FIGURE, SQL_INVENTORY, SQL_NUMBER, cells, check, inventory, iso, order_bridge,
     printed, r, table,
 )
 from arealoom.operators import aggregates as A

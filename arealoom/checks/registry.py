@@ -37,11 +37,6 @@ def r(c, digits: int = 4) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
 
 
-def line_id() -> Column:
-    """Order of lineitem rows: the four columns together are unique."""
-    return F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-
-
 # --- SQL fragments ---------------------------------------------------------------------------
 
 
@@ -190,7 +185,9 @@ def period_labels(spark: SparkSession, sf: str) -> DataFrame:
         F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string"),
         F.lit("n.p."),
     ]
-    label = F.element_at(F.array(*layouts), (F.col("o_orderkey") % 12 + 1).cast("int"))
+    label, turn = F, F.col("o_orderkey") % 12
+    for i, layout in enumerate(layouts):
+        label = label.when(turn == i, layout)
     return table(spark, sf, "orders").select("o_orderkey", day.alias("day"), label.alias("label"))
 
 

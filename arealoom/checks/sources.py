@@ -11,7 +11,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from arealoom.checks.registry import SQL_INVENTORY, cells, check, inventory, r, sql_slug, table
+from arealoom.checks.registry import SQL_INVENTORY, cells, check, inventory, table
 from arealoom.operators import cells as CE
 from arealoom.operators.inventory import choose_source as best_source
 from arealoom.session import scratch_path

@@ -44,8 +44,8 @@ def publication_status(c) -> Column:
     """Why a published cell has, or lacks, a number."""
     text = F.lower(trim_all(F.coalesce(_col(c).cast("string"), F.lit(""))))
     return (
-        F.when(text.isin("n.p.", "n.p", "np", "not published"), "not_published")
-        .when(text.isin("", "n/a", "na", "nan", "none", "null", "not available"), "not_available")
+        F.when(text.isin(vocab.NOT_PUBLISHED), "not_published")
+        .when(text.isin(vocab.NOT_AVAILABLE), "not_available")
         .when(parse_measure(text).isNotNull(), "published_numeric")
         .otherwise("published_non_numeric")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from arealoom.functions import vocab
-from arealoom.functions.text import _col, bind, trim_all
+from arealoom.functions.text import _col, bind
 
 __all__ = [
     "alignment", "coalesce_period", "extract_periods", "parse_period", "period_from_name",

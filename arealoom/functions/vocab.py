@@ -6,6 +6,10 @@ SUPPRESSED = [
     "not published", "np", "null", "suppressed",
 ]
 
+# How a cell says that a figure is withheld, or that there is none.
+NOT_PUBLISHED = ["n.p", "n.p.", "not published", "np"]
+NOT_AVAILABLE = ["", "n/a", "na", "nan", "none", "not available", "null"]
+
 # Tokens that stand for an absent code.
 NULL_CODES = ["", "nan", "none", "null"]
 

@@ -33,14 +33,21 @@ def local_session(cores: int = 8, memory: str = "8g", app: str = "arealoom") ->
     return spark
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a local one where unset."""
+    """The shared folder the cluster names in ``spark.checkpoint.dir``. Where it is unset, a
+    temporary folder on a single machine, and an error on a cluster."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    root = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    app = spark.conf.get("spark.app.id")
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _LOCAL_ROOTS[app]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from arealoom import functions as A
+from arealoom.functions import vocab
 
 
 def values(spark, texts, fn):
@@ -65,6 +66,18 @@ def test_parse_measure(spark):
     assert values(spark, ["999", "99"], lambda c: A.parse_measure(c, ["999"])) == [None, 99.0]
 
 
+def test_suppressed_tokens_are_null(spark):
+    tokens = vocab.SUPPRESSED + [t.upper() for t in vocab.SUPPRESSED]
+    assert set(values(spark, tokens, A.parse_measure)) == {None}
+    assert set(values(spark, tokens, A.parse_period)) == {None}
+
+
+def test_remoteness_order(spark):
+    names = list(vocab.REMOTENESS_ORDER)
+    assert values(spark, names, lambda c: A.map_values(c, vocab.REMOTENESS_ORDER)) == [0, 1, 2, 3, 4]
+    assert values(spark, names[:2], A.short_label) == ["Major Cities", "Inner Regional"]
+
+
 def test_norm_code(spark):
     cases = {" 101021007.0 ": "101021007", "1 01": "101", "00123": "00123", "nan": None, "None": None, "": None,
              "﻿ 12": "12", ".0": None}
