@@ -94,7 +94,7 @@ def coverage(spark, sf):
 
 @check(
     "aud7_audit_bridge",
-    f"""WITH {SQL_BRIDGE}, b AS (SELECT * FROM bridge WHERE l_suppkey % 9 <> 0), f AS (SELECT l_orderkey, count(*) AS n,
+    f"""WITH {SQL_BRIDGE}, b AS (SELECT * FROM bridge WHERE ratio > 0.1), f AS (SELECT l_orderkey, count(*) AS n,
  sum(ratio) AS s FROM b GROUP BY 1), t AS (SELECT l_suppkey, count(*) AS n FROM b GROUP BY 1)
  SELECT 'rows' AS check_name, CAST(count(*) AS DOUBLE) AS value, 'pass' AS status FROM b
  UNION ALL SELECT 'missing_from_codes', 0, 'pass' UNION ALL SELECT 'missing_to_codes', 0, 'pass'
@@ -104,7 +104,7 @@ def coverage(spark, sf):
  UNION ALL SELECT 'to_codes', count(*), 'info' FROM t UNION ALL SELECT 'many_to_one', count(*) FILTER (n > 1), 'info' FROM t""",
 )
 def audit_bridge(spark, sf):
-    bridge = order_bridge(spark, sf).filter("l_suppkey % 9 <> 0")
+    bridge = order_bridge(spark, sf).filter("ratio > 0.1")
     return B.audit_bridge(bridge, "l_orderkey", "l_suppkey", "ratio").drop("notes")
 
 
@@ -164,19 +164,19 @@ def explain_unmatched(spark, sf):
 
 @check(
     "aud15_allocation_gate",
-    """WITH t AS (SELECT l_returnflag, 100.0 * sum(l_quantity) FILTER (l_suppkey % 60 <> 0) / sum(l_quantity) AS p,
- count(DISTINCT l_suppkey) FILTER (l_suppkey % 60 = 0 AND l_returnflag = 'A') AS unmatched_codes FROM lineitem GROUP BY 1)
- SELECT l_returnflag, round(p, 4) AS retained_pct, unmatched_codes, CASE WHEN unmatched_codes > 0 THEN 'fail' WHEN p < 98
+    """WITH t AS (SELECT l_returnflag, 100.0 * sum(l_quantity) FILTER (l_discount < 0.095) / sum(l_quantity) AS p,
+ count(DISTINCT l_suppkey) FILTER (l_discount >= 0.095 AND l_returnflag = 'A') AS unmatched_codes FROM lineitem GROUP BY 1)
+ SELECT l_returnflag, round(p, 4) AS retained_pct, unmatched_codes, CASE WHEN unmatched_codes > 0 THEN 'fail' WHEN p < 90
  THEN 'review' ELSE 'pass' END AS status FROM t""",
 )
 def allocation_gate(spark, sf):
-    kept, quantity = F.col("l_suppkey") % 60 != 0, F.col("l_quantity")
+    kept, quantity = F.col("l_discount") < 0.095, F.col("l_quantity")
     lost = F.when(~kept & (F.col("l_returnflag") == "A"), F.col("l_suppkey"))
     totals = table(spark, sf, "lineitem").groupBy("l_returnflag").agg(
         r(F.sum(F.when(kept, quantity)) * 100.0 / F.sum(quantity)).alias("retained_pct"),
         F.count_distinct(lost).alias("unmatched_codes"),
     )
-    return A.allocation_gate(totals, 98.0, fail_unmatched=True)
+    return A.allocation_gate(totals, 90.0, fail_unmatched=True)
 
 
 @check(

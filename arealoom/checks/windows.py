@@ -68,18 +68,18 @@ def best_candidate(spark, sf):
     return W.best_candidate(orders, "o_custkey", "o_totalprice", "o_orderkey")
 
 
-_WINDOW = dict(target="1998-12-31", start="1998-01-01", end="1999-06-30")
+_WINDOW = dict(target="1998-12-15", start="1998-01-01", end="1999-06-30")
 
 
 @check(
     "win6_select_period",
-    """WITH m AS (SELECT *, last_day(CAST(o_orderdate AS DATE)) AS d FROM orders WHERE month(o_orderdate) <> 12),
+    """WITH m AS (SELECT *, last_day(CAST(o_orderdate AS DATE)) AS d FROM orders),
  best AS (SELECT d FROM m WHERE d BETWEEN DATE '1998-01-01' AND DATE '1999-06-30'
- ORDER BY abs(d - DATE '1998-12-31'), d DESC LIMIT 1)
+ ORDER BY abs(d - DATE '1998-12-15'), d DESC LIMIT 1)
  SELECT o_orderkey, CAST(d AS VARCHAR) AS period FROM m WHERE d = (SELECT d FROM best)""",
 )
 def select_period(spark, sf):
-    months = table(spark, sf, "orders").filter("month(o_orderdate) <> 12").select(
+    months = table(spark, sf, "orders").select(
         "o_orderkey", F.last_day(F.col("o_orderdate").cast("date")).alias("d")
     )
     return P.select_period(months, "d", policy="target_window", **_WINDOW).select("o_orderkey", iso("d").alias("period"))
@@ -87,18 +87,18 @@ def select_period(spark, sf):
 
 @check(
     "win6_choose_period",
-    """WITH m AS (SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS d FROM orders WHERE year(o_orderdate) <> 1998),
+    """WITH m AS (SELECT DISTINCT last_day(CAST(o_orderdate AS DATE)) AS d FROM orders),
  c AS (SELECT 'target_window' AS policy, (SELECT d FROM m WHERE d BETWEEN DATE '1998-01-01' AND DATE '1999-06-30' ORDER BY
- abs(d - DATE '1998-12-31'), d DESC LIMIT 1) AS d, 'closest_to_target_inside_window' AS alignment_basis UNION ALL
+ abs(d - DATE '1998-12-15'), d DESC LIMIT 1) AS d, 'closest_to_target_inside_window' AS alignment_basis UNION ALL
  SELECT 'latest_within_window', (SELECT max(d) FROM m WHERE d BETWEEN DATE '1998-01-01' AND DATE '1999-06-30'),
  'latest_available_inside_target_window' UNION ALL SELECT 'closest_to_target_any', (SELECT d FROM m ORDER BY
- abs(d - DATE '1998-12-31'), d DESC LIMIT 1), 'closest_to_target_any' UNION ALL SELECT 'earliest', (SELECT min(d) FROM m),
+ abs(d - DATE '1998-12-15'), d DESC LIMIT 1), 'closest_to_target_any' UNION ALL SELECT 'earliest', (SELECT min(d) FROM m),
  'earliest_available' UNION ALL SELECT 'latest', (SELECT max(d) FROM m), 'latest_available')
  SELECT policy, CAST(d AS VARCHAR) AS selected_period, alignment_basis, d BETWEEN DATE '1998-01-01' AND DATE '1999-06-30'
- AS in_target_window, CAST(d - DATE '1998-12-31' AS INTEGER) AS days_from_target FROM c""",
+ AS in_target_window, CAST(d - DATE '1998-12-15' AS INTEGER) AS days_from_target FROM c""",
 )
 def choose_period(spark, sf):
-    months = table(spark, sf, "orders").filter("year(o_orderdate) <> 1998").select(
+    months = table(spark, sf, "orders").select(
         F.last_day(F.col("o_orderdate").cast("date")).alias("d")
     )
     rows = [
