@@ -87,20 +87,21 @@ def build_bridge(spark, sf):
     return out.withColumn("ratio_from_to", r("ratio_from_to", 6))
 
 
-_SQL_AREA = """u AS (SELECT s_nationkey AS a, p_brand AS b, sum(l_extendedprice) AS v, count(*) AS n FROM lineitem
- JOIN supplier ON s_suppkey = l_suppkey JOIN part ON p_partkey = l_partkey GROUP BY 1, 2),
- s AS (SELECT *, v / sum(v) OVER (PARTITION BY a) AS share, row_number() OVER (PARTITION BY a ORDER BY v DESC, b) AS rn FROM u)"""
+_SQL_AREA = """f AS (SELECT l_partkey, l_suppkey, sum(l_extendedprice) AS v FROM lineitem GROUP BY 1, 2), u AS (SELECT
+ s_nationkey AS a, p_brand AS b, sum(v) AS v, count(*) AS n FROM f JOIN supplier ON s_suppkey = l_suppkey JOIN part ON
+ p_partkey = l_partkey GROUP BY 1, 2), s AS (SELECT *, v / sum(v) OVER (PARTITION BY a) AS share, row_number() OVER (PARTITION BY
+ a ORDER BY v DESC, b) AS rn FROM u)"""
 
-
-_UNIT = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+_UNIT = ["l_partkey", "l_suppkey"]
 
 
 def _units(spark, sf):
+    """Fine units: parts of a supplier, with their sales as the area."""
     lines = table(spark, sf, "lineitem")
-    to_a = lines.select(*_UNIT, F.col("l_extendedprice").alias("v")).join(
+    to_a = lines.groupBy(*_UNIT).agg(F.sum("l_extendedprice").alias("v")).join(
         table(spark, sf, "supplier"), F.col("s_suppkey") == F.col("l_suppkey")
     ).select(*_UNIT, F.col("s_nationkey").alias("a"), "v")
-    to_b = lines.select(*_UNIT).join(
+    to_b = lines.select(*_UNIT).distinct().join(
         table(spark, sf, "part"), F.col("p_partkey") == F.col("l_partkey")
     ).select(*_UNIT, F.col("p_brand").alias("b"))
     return to_a, to_b

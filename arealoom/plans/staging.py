@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from arealoom.operators.aggregates import summarise_status
 from arealoom.operators.catalog import clean_header, unique_names
 from arealoom.operators.inventory import apply_hold_rules
 from arealoom.operators.profiling import geography_from_values
-from arealoom.sources.files import file_inventory
+from arealoom.sources.files import file_inventory, unpack_members, zip_members
 from arealoom.sources.sinks import write_by_geography
 from arealoom.sources.tables import read_csv_text
+from arealoom.session import scratch_path
 
 
 def first_lines(spark: SparkSession, paths) -> DataFrame:
@@ -42,8 +44,9 @@ def stage_native(
 ) -> DataFrame:
     """Stage every readable table below a folder by its native geography; returns the audit.
 
-    Files with the same header are one scan and one write, so the driver loops over distinct
-    headers, not files. Geography comes from the headers, else from the values."""
+    CSV members of zip archives are unpacked to the shared scratch folder and staged alike. Files
+    with the same header are one scan and one write, so the driver loops over distinct headers, not
+    files. Geography comes from the headers, else from the values."""
     inventory = apply_hold_rules(
         file_inventory(spark, root).withColumn("family", classify(F.lower("path"), families, "unknown"))
     )
@@ -51,13 +54,20 @@ def stage_native(
         "family", "path", F.lit("").alias("native_geography"), F.col("stage_status").alias("status"),
         F.lit(0).cast("long").alias("rows"), F.lit(0).alias("columns"),
     )
-    todo = inventory.filter("stage_status = 'process' and file_extension = '.csv'")
-    paths = [r["path"] for r in todo.select("path").collect()]
+    todo = inventory.filter("stage_status = 'process'").select("path", "file_extension").collect()
+    paths = [unquote(r["path"]) for r in todo if r["file_extension"] == ".csv"]
+    archives = [unquote(r["path"]) for r in todo if r["file_extension"] == ".zip"]
+    members = None
+    if archives:
+        unpacked = scratch_path(spark, "members")
+        members = unpack_members(zip_members(spark.read.format("binaryFile").load(archives)), unpacked)
+        found = file_inventory(spark, f"{unpacked}/data", exclude_dirs=[]).select("path")
+        paths += [unquote(r["path"]) for r in found.collect()]
     if not paths:
         return held
     groups: dict[str, list[str]] = {}
     for row in first_lines(spark, paths).collect():
-        groups.setdefault(clean_header(row["header"]), []).append(row["path"])
+        groups.setdefault(clean_header(row["header"]), []).append(unquote(row["path"]))
     staged = None
     for header in sorted(groups):
         raw = read_csv_text(spark, sorted(groups[header]))
@@ -66,9 +76,8 @@ def stage_native(
         table = raw.toDF(*names)
         if level == "unknown":
             level = geography_from_values(table).first()["native_geography"]
-        tagged = raw.select(
-            "*", F.col("_metadata.file_path").alias("source_path")
-        ).toDF(*names, "source_path").select(
+        placed = raw.select("*", F.col("_metadata.file_path").alias("source_path")).toDF(*names, "source_path")
+        tagged = _with_member_source(placed, members).select(
             classify(F.lower("source_path"), families, "unknown").alias("source_family"),
             "source_path", *names, F.lit(level).alias("native_geography"),
         ).dropna("all", subset=names)
@@ -86,6 +95,16 @@ def stage_native(
     return staged.unionByName(held)
 
 
+def _with_member_source(df: DataFrame, members: DataFrame | None) -> DataFrame:
+    """Name unpacked members by their archive and member; other paths stay."""
+    if members is None:
+        return df
+    member = F.regexp_extract("source_path", "/member_id=([^/]+)/", 1)
+    return df.join(members, member == F.col("member_id"), "left").withColumn(
+        "source_path", F.coalesce("member_source", "source_path")
+    ).drop("member_id", "member_source")
+
+
 def hash_name(text: str) -> int:
     """Stable folder number of a header."""
     import zlib

@@ -85,7 +85,7 @@ def same_content(files: DataFrame, content: str = "content", size: str = "size")
 
 _MEMBER_SCHEMA = (
     "path string, member string, member_extension string, size long, compressed_size long, "
-    "member_status string, content binary"
+    "member_status string, text string"
 )
 
 # Member extensions read as tables; other tabular ones are held for review.
@@ -96,6 +96,15 @@ HELD = (".xlsx", ".xls", ".json")
 _MEMBER_COLUMNS = [part.split()[0] for part in _MEMBER_SCHEMA.split(", ")]
 
 
+def _decoded(data: bytes) -> str:
+    for encoding in ("utf-8-sig", "cp1252"):
+        try:
+            return data.decode(encoding)
+        except UnicodeDecodeError:
+            continue
+    return data.decode("latin-1")
+
+
 def _archive_rows(path: str, content: bytes, with_content: bool) -> Iterator[tuple]:
     try:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
@@ -106,7 +115,7 @@ def _archive_rows(path: str, content: bytes, with_content: bool) -> Iterator[tup
                 ext = "." + base.rsplit(".", 1)[1].lower() if "." in base[1:] else ""
                 readable = ext in READABLE
                 status = "extracted" if readable else "held" if ext in HELD else "not_tabular"
-                data = archive.read(info) if with_content and readable else None
+                data = _decoded(archive.read(info)) if with_content and readable else None
                 yield path, info.filename, ext, info.file_size, info.compress_size, status, data
     except zipfile.BadZipFile as error:
         yield path, "", "", 0, 0, f"failed: {error}", None
@@ -121,7 +130,7 @@ def _members(with_content: bool, rows_per_batch: int = 5_000, bytes_per_batch: i
             for path, content in zip(batch["path"], batch["content"]):
                 for row in _archive_rows(path, content, with_content):
                     rows.append(row)
-                    held += len(row[-1] or b"")
+                    held += len(row[-1] or "")
                     if len(rows) >= rows_per_batch or held >= bytes_per_batch:
                         yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
                         rows, held = [], 0
@@ -132,18 +141,30 @@ def _members(with_content: bool, rows_per_batch: int = 5_000, bytes_per_batch: i
 
 def zip_members(files: DataFrame, with_content: bool = True) -> DataFrame:
     """Members of zip archives, one archive at a time on the executors; readable tables come with
-    their bytes."""
+    their text."""
     out = files.select("path", "content").mapInPandas(_members(with_content), _MEMBER_SCHEMA)
-    return out if with_content else out.drop("content")
+    return out if with_content else out.drop("text")
 
 
 def member_lines(members: DataFrame) -> DataFrame:
     """Extracted members as text lines with their position; the first is the header."""
-    text = F.decode(F.col("content"), "UTF-8")
-    lines = F.posexplode(F.split(F.regexp_replace(text, "\r?\n$", ""), "\r?\n"))
+    lines = F.posexplode(F.split(F.regexp_replace("text", "\r?\n$", ""), "\r?\n"))
     return members.filter("member_status = 'extracted'").select("path", "member", lines.alias("line", "value"))
 
 
+def unpack_members(members: DataFrame, target: str) -> DataFrame:
+    """Write each extracted CSV member as one file below ``target/data``, in a folder named by a
+    hash of its source. Returns the index (member_id, member_source)."""
+    source = F.concat_ws("!", "path", "member")
+    tables = members.filter("member_status = 'extracted' and member_extension = '.csv'").select(
+        F.col("text").alias("value"), source.alias("member_source"), F.sha2(source, 256).alias("member_id")
+    )
+    tables.write.parquet(f"{target}/members")
+    stored = members.sparkSession.read.parquet(f"{target}/members")
+    stored.select("value", "member_id").write.partitionBy("member_id").text(f"{target}/data")
+    return stored.select("member_id", "member_source")
+
+
 def freeze(inventory: DataFrame, register: DataFrame, by: str) -> DataFrame:
     """Snapshot roll-up: files, bytes and hashes per family, against the families registered."""
     rolled = rollup_inventory(inventory, by, "size", ["file_extension"]).join(

@@ -1,7 +1,12 @@
-"""Delimited text, Parquet and JSON readers."""
+"""Delimited text, Parquet and JSON readers.
+
+Path columns come URI-encoded from Spark; they are decoded before they are read again.
+"""
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +68,7 @@ def read_csv_any_encoding(spark: SparkSession, path, sep: str = ",") -> DataFram
     which lists the files for any scan anyway."""
     by_encoding: dict[str, list[str]] = {}
     for row in file_encodings(spark, path).collect():
-        by_encoding.setdefault(row["encoding"], []).append(row["path"])
+        by_encoding.setdefault(row["encoding"], []).append(unquote(row["path"]))
     out = None
     for encoding in sorted(by_encoding):
         windows = encoding == "windows-1252"
@@ -101,7 +106,7 @@ def read_csv_sniffed(spark: SparkSession, path) -> DataFrame:
     """Read files of mixed delimiters as one table: one scan per delimiter found."""
     by_delimiter: dict[str, list[str]] = {}
     for row in detect_delimiter(spark, path).collect():
-        by_delimiter.setdefault(row["delimiter"], []).append(row["path"])
+        by_delimiter.setdefault(row["delimiter"], []).append(unquote(row["path"]))
     out = None
     for sep in sorted(by_delimiter):
         part = read_csv_text(spark, sorted(by_delimiter[sep]), sep)

@@ -14,8 +14,8 @@ from arealoom.sources import tables as T
 def test_encodings(spark, tmp_path):
     texts = {"u8": ("name\nÅé\n", "utf-8"), "cp": ("name\n“é”\n", "cp1252"), "l1": ("name\né\x81\n", "latin-1")}
     for name, (text, encoding) in texts.items():
-        (tmp_path / f"{name}.csv").write_bytes(text.encode(encoding))
-    paths = [str(tmp_path / f"{n}.csv") for n in texts]
+        (tmp_path / f"a {name}.csv").write_bytes(text.encode(encoding))
+    paths = [str(tmp_path / f"a {n}.csv") for n in texts]
     found = {r.path[-6:-4]: r.encoding for r in T.file_encodings(spark, paths).collect()}
     assert found == {"u8": "UTF-8", "cp": "windows-1252", "l1": "ISO-8859-1"}
     got = {r.name for r in T.read_csv_any_encoding(spark, paths).collect()}
@@ -48,6 +48,28 @@ def test_broken_archive_is_reported(spark):
     assert [r.value for r in FI.member_lines(members).orderBy("line").collect()] == ["x", "1"]
 
 
+def test_staging_reads_into_archives(spark, tmp_path):
+    from arealoom.plans.staging import stage_native
+
+    raw = tmp_path / "raw" / "profiles"
+    raw.mkdir(parents=True)
+    with zipfile.ZipFile(raw / "all.zip", "w") as z:
+        z.writestr("2021/a.csv", "SA3 Code 2021,n\r\n10102,5\r\n10103,6\r\n")
+        z.writestr("2022/a.csv", "SA3 Code 2021,n\r\n10102,7\r\n")
+        z.writestr("notes.pdf", "..")
+    (raw / "b 1+.csv").write_text("x,y\n,\n1,é\n")
+    (raw / "c.pdf").write_text("..")
+    out = str(tmp_path / "native")
+    audit = stage_native(spark, str(tmp_path / "raw"), out, [("profiles", "/profiles/")])
+    got = sorted((r.path.split("/profiles/")[1], r.native_geography, r.status, r.rows) for r in audit.collect())
+    assert got == [
+        ("all.zip!2021/a.csv", "sa3", "staged", 2), ("all.zip!2022/a.csv", "sa3", "staged", 1),
+        ("b%201+.csv", "unknown", "staged", 1), ("c.pdf", "", "held_report_context", 0),
+    ]
+    staged = spark.read.option("mergeSchema", True).parquet(out)
+    assert {r.source_family for r in staged.select("source_family").collect()} == {"profiles"}
+
+
 def test_headings_reset_and_tables_nest(spark):
     html = (
         "<h1>Area</h1><h2>People</h2><h4>old</h4><h3>Age</h3>"
