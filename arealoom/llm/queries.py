@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, rendezvous
+from arealoom.llm import bpe, decontaminate, rendezvous
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,48 @@ def text_digest(column) -> Column:
     return F.sha2(column, 256)
 
 
+@query(
+    r"""
+    WITH texts AS (
+      SELECT 0 AS side, doc_id AS id, coalesce(text, '') AS text FROM documents
+      UNION ALL SELECT 1, item_id, coalesce(text, '') FROM benchmark
+    ), words AS (
+      SELECT side, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+    ), item_windows AS (
+      SELECT DISTINCT id AS item_id, size, array_to_string(list_slice(w, spot, spot + size - 1), ' ') AS window FROM (
+        SELECT id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS spot
+        FROM words WHERE side = 1 AND len(w) > 0)
+    ), places AS (
+      SELECT id AS doc_id, spot, size, array_to_string(list_slice(w, spot, spot + size - 1), ' ') AS window FROM (
+        SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS spot
+        FROM words, (SELECT DISTINCT size FROM item_windows) WHERE side = 0)
+    ), hits AS (
+      SELECT DISTINCT doc_id, spot, size, item_id FROM places JOIN item_windows USING (size, window)
+    ), covered AS (
+      SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(spot, spot + size)) FROM hits) GROUP BY doc_id
+    ), named AS (
+      SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id
+    )
+    SELECT id AS doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+      sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM words LEFT JOIN covered ON covered.doc_id = id LEFT JOIN named ON named.doc_id = id WHERE side = 0
+    """
+)
+def op4_prefix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of the documents in 13-word windows of the benchmark."""
+    marked = decontaminate.mark(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return marked.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        text_digest(F.concat_ws(",", "items")).alias("items_sha256"),
+        decontaminate.contaminated(5).alias("contaminated"),
+    )
+
+
 @query()
 def op6_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Law ``key``: eight shards of equal weight, and where a ninth would take the row."""
