@@ -39,15 +39,15 @@ def text_digest(column) -> Column:
       SELECT side, id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
     ), item_windows AS (
-      SELECT DISTINCT id AS item_id, size, array_to_string(list_slice(w, spot, spot + size - 1), ' ') AS window FROM (
+      SELECT DISTINCT id AS item_id, size, array_to_string(list_slice(w, spot, spot + size - 1), ' ') AS phrase FROM (
         SELECT id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS spot
         FROM words WHERE side = 1 AND len(w) > 0)
     ), places AS (
-      SELECT id AS doc_id, spot, size, array_to_string(list_slice(w, spot, spot + size - 1), ' ') AS window FROM (
+      SELECT id AS doc_id, spot, size, array_to_string(list_slice(w, spot, spot + size - 1), ' ') AS phrase FROM (
         SELECT id, w, size, unnest(range(1, len(w) - size + 2)) AS spot
         FROM words, (SELECT DISTINCT size FROM item_windows) WHERE side = 0)
     ), hits AS (
-      SELECT DISTINCT doc_id, spot, size, item_id FROM places JOIN item_windows USING (size, window)
+      SELECT DISTINCT doc_id, spot, size, item_id FROM places JOIN item_windows USING (size, phrase)
     ), covered AS (
       SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(spot, spot + size)) FROM hits) GROUP BY doc_id
     ), named AS (
