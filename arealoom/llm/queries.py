@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, decontaminate, rendezvous
+from arealoom.llm import bpe, decontaminate, rendezvous, substrings, suffixes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +30,30 @@ def text_digest(column) -> Column:
     return F.sha2(column, 256)
 
 
+@query(
+    r"""
+    WITH words AS (
+      SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), places AS (
+      SELECT doc_id, i, list_extract(w, i) AS word, array_to_string(list_slice(w, i, i + 19), ' ') AS phrase, i + 19 <= len(w) AS whole
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words)
+    ), later AS (
+      SELECT doc_id, i FROM places WHERE whole QUALIFY row_number() OVER (PARTITION BY phrase ORDER BY doc_id, i) > 1
+    ), removed AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later
+    ), kept AS (
+      SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text FROM places ANTI JOIN removed USING (doc_id, i) GROUP BY doc_id
+    )
+    SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+    FROM words LEFT JOIN kept USING (doc_id)
+    """
+)
+def op3_difference_cover_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Words in 20-word windows that also start earlier go."""
+    removed = substrings.remove(table(spark, folder, "documents"))
+    return removed.select("doc_id", "n_words", "n_removed", text_digest("kept_text").alias("kept_sha256"))
+
+
 @query(
     r"""
     WITH texts AS (
@@ -97,3 +121,31 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         text_digest("ids").alias("ids_sha256"),
         text_digest("decoded").alias("decoded_sha256"),
     )
+
+
+@query(
+    r"""
+    WITH texts AS (
+      SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
+    ), places AS (
+      SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS phrase, i + 100 <= n AS whole
+      FROM (SELECT doc_id, h, n, unnest(range(0, n)) AS i FROM texts)
+    ), later AS (
+      SELECT doc_id, i FROM places WHERE whole QUALIFY row_number() OVER (PARTITION BY md5(phrase) ORDER BY doc_id, i) > 1
+    ), removed AS (
+      SELECT DISTINCT doc_id, unnest(range(i, i + 100)) AS i FROM later
+    ), spans AS (
+      SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE previous IS NULL OR previous < i - 1) AS n_spans
+      FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS previous FROM removed) GROUP BY doc_id
+    ), kept AS (
+      SELECT doc_id, string_agg(substr(phrase, 1, 2), '' ORDER BY i) AS h FROM places ANTI JOIN removed USING (doc_id, i) GROUP BY doc_id
+    )
+    SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+      sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
+    FROM texts LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """
+)
+def op9_suffix_array_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes in 100-byte strings that also start earlier go."""
+    removed = suffixes.remove(table(spark, folder, "documents"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", text_digest("kept").alias("kept_sha256"))
