@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, decontaminate, rendezvous, substrings, suffixes
+from arealoom.llm import bpe, decontaminate, oddsketch, rendezvous, substrings, suffixes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -149,3 +149,33 @@ def op9_suffix_array_substrings(spark: SparkSession, folder: str) -> DataFrame:
     """Bytes in 100-byte strings that also start earlier go."""
     removed = suffixes.remove(table(spark, folder, "documents"))
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", text_digest("kept").alias("kept_sha256"))
+
+
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents
+    ), shingles AS (
+      SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 3), ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, least(len(w), 1) + 1))) AS i FROM words)
+    ), sizes AS (
+      SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+    ), common AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (shingle)
+      WHERE a.doc_id < b.doc_id GROUP BY ALL
+    ), links AS (
+      SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common.n >= 80 * (x.n + y.n - common.n)
+    ), both_ways AS (
+      SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+    ), reach AS (
+      SELECT doc_id, doc_id AS other FROM documents
+      UNION SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON reach.other = both_ways.a
+    )
+    SELECT doc_id, coalesce(any_value(sizes.n), 0)::BIGINT AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
+    FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """
+)
+def op10_odd_sketch_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share 80 % of their 4-word shingles."""
+    return oddsketch.near_duplicates(table(spark, folder, "documents"))
