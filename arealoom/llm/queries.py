@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, decontaminate, oddsketch, rendezvous, substrings, suffixes
+from arealoom.llm import bpe, decontaminate, langid, oddsketch, rendezvous, substrings, suffixes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -179,3 +179,12 @@ def op9_suffix_array_substrings(spark: SparkSession, folder: str) -> DataFrame:
 def op10_odd_sketch_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents that share 80 % of their 4-word shingles."""
     return oddsketch.near_duplicates(table(spark, folder, "documents"))
+
+
+@query()
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Languages learnt outside the held-out fifth, predicted everywhere."""
+    docs = table(spark, folder, "documents")
+    model = langid.fit(docs.select("doc_id", "text", "lang").filter(~langid.held_out(F.col("doc_id"))))
+    found = langid.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
