@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, decontaminate, langid, oddsketch, rendezvous, substrings, suffixes
+from arealoom.llm import bpe, decontaminate, langid, oddsketch, pivots, rendezvous, substrings, suffixes
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -188,3 +188,21 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.fit(docs.select("doc_id", "text", "lang").filter(~langid.held_out(F.col("doc_id"))))
     found = langid.predict(docs.select("doc_id", "text"), model)
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "accepted")
+
+
+@query(
+    """
+    WITH vectors AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+      SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+      FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+    )
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 10
+    """
+)
+def op2_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten best rows for every hundredth vector."""
+    return pivots.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
