@@ -19,6 +19,9 @@ from arealoom.llm.words import _BYTE_POWERS, _BYTE_VALUES, gather, mix, slices,
 PIECE_WINDOWS = 4096
 #: Symbols up to which a level of induced sorting works bucket by bucket on arrays.
 SMALL_ALPHABET = 512
+#: Bytes of pieces that are sorted at once.
+SHARD_BYTES = 1 << 20
+_COUNT = (1 << 31) - 1
 
 
 # ---------------------------------------------------------------------------------------------
@@ -44,21 +47,24 @@ def suffix_array(text: np.ndarray, symbols: int) -> np.ndarray:
         return np.arange(n)
     smaller = suffix_types(text)
     least = np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1  # leftmost smaller places
-    induce = _induce_arrays if symbols <= SMALL_ALPHABET else _induce_lists
-    first = induce(text, symbols, smaller, least)
-    is_least = np.zeros(n, bool)
-    is_least[least] = True
-    in_order = first[is_least[first]]
-    if len(least) > 1:
-        names = _names(text, least, in_order)
-        highest = int(names.max()) + 1
-        if highest < len(least):
-            in_order = least[suffix_array(names, highest)]
-        else:
-            in_order = np.empty_like(least)
-            in_order[names] = least
-        return induce(text, symbols, smaller, in_order)
-    return first
+    small = symbols <= SMALL_ALPHABET
+    induce = _induce_arrays if small else _induce_lists
+    if len(least) < 2:
+        return induce(text, symbols, smaller, least)
+    if small:
+        first = induce(text, symbols, smaller, least)
+        is_least = np.zeros(n, bool)
+        is_least[least] = True
+        names = _names(text, least, first[is_least[first]])
+    else:
+        names = _substring_ranks(text, smaller, least)
+    highest = int(names.max()) + 1
+    if highest < len(least):
+        in_order = least[suffix_array(names, highest)]
+    else:
+        in_order = np.empty_like(least)
+        in_order[names] = least
+    return induce(text, symbols, smaller, in_order)
 
 
 def _names(text: np.ndarray, least: np.ndarray, in_order: np.ndarray) -> np.ndarray:
@@ -82,6 +88,33 @@ def _names(text: np.ndarray, least: np.ndarray, in_order: np.ndarray) -> np.ndar
     return names
 
 
+def _substring_ranks(text: np.ndarray, smaller: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """The same ranks by sorting symbol after symbol, a larger suffix before a smaller one of equal
+    symbol; only substrings that are not alone in their rank go on."""
+    code = np.append(text.astype(np.int64) * 2 + smaller + 1, 0)
+    ends = np.append(least[1:], len(text))  # the last one runs over the end
+    rank = np.zeros(len(least), np.int64)
+    active, step = np.arange(len(least)), 0
+    while len(active):
+        at = least[active] + step
+        key = np.where(at <= ends[active], code[np.minimum(at, len(text))], 0)
+        order = np.lexsort((key, rank[active]))
+        old, new = rank[active][order], key[order]
+        lead = np.ones(len(order), bool)
+        same_old = old[1:] == old[:-1]
+        lead[1:] = ~same_old | (new[1:] != new[:-1])
+        # a rank is the number of substrings before its group
+        start = np.flatnonzero(np.concatenate([[True], ~same_old]))
+        group_start = np.repeat(start, np.diff(np.append(start, len(order))))
+        lead_at = np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))
+        rank[active[order]] = old + lead_at - group_start
+        sizes = np.diff(np.append(np.flatnonzero(lead), len(order)))
+        more = np.repeat(sizes > 1, sizes) & (new > 0)
+        active = np.sort(active[order][more])
+        step += 1
+    return np.unique(rank, return_inverse=True)[1]
+
+
 def _induce_arrays(text: np.ndarray, symbols: int, smaller: np.ndarray, least: np.ndarray) -> np.ndarray:
     """Order all suffixes from the leftmost-smaller ones, bucket by bucket.
 
@@ -100,7 +133,7 @@ def _induce_arrays(text: np.ndarray, symbols: int, smaller: np.ndarray, least: n
     def put(places: np.ndarray, heads: np.ndarray, step: int) -> None:
         chars = text[places]
         order = np.argsort(chars, kind="stable")
-        chars, places = chars[order], places[order]
+        chars, places = chars[order].astype(np.int64), places[order]
         lead = np.flatnonzero(np.concatenate([[True], chars[1:] != chars[:-1]]))
         sizes = np.diff(np.append(lead, len(chars)))
         at = heads[chars] + step * (np.arange(len(chars)) - np.repeat(lead, sizes))
@@ -213,10 +246,10 @@ def earliest_windows(pieces: np.ndarray, bounds: np.ndarray, width: int) -> tupl
     text of all pieces, and a number that equal windows share."""
     sizes = np.diff(bounds)
     n = int(bounds[-1]) + len(sizes)
-    text = np.zeros(n, np.int32)
+    text = np.zeros(n, np.uint16)  # stable sorts of 16 bits are radix sorts
     start = bounds[:-1] + np.arange(len(sizes))  # after each piece stands the symbol 0
     index = np.arange(bounds[-1]) + np.repeat(np.arange(len(sizes)), sizes)
-    text[index] = pieces.astype(np.int32) + 1
+    text[index] = pieces.astype(np.uint16) + 1
     rest = np.zeros(n, np.int64)
     rest[index] = np.repeat(start + sizes, sizes) - index
     order = suffix_array(text, 257)
@@ -244,14 +277,14 @@ def _slide(values: np.ndarray, span: int, choose: np.ufunc) -> np.ndarray:
     return values
 
 
-def _minimisers(data: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _minimisers(data: np.ndarray, bounds: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The places of all windows within rows, for each the least hash of its ``gram``-byte runs, and
-    the hashes of all runs that are the least of some window."""
+    the places and hashes of all runs that are the least of some window."""
     n = len(data)
     starts = np.arange(n)
     ok = starts + width <= np.repeat(bounds[1:], np.diff(bounds))
     if not ok.any():
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     up, down = _BYTE_POWERS.get(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[data] * up[:n], out=sums[1:])
@@ -260,13 +293,13 @@ def _minimisers(data: np.ndarray, bounds: np.ndarray, width: int, gram: int) ->
     least = _slide(grams, span, np.minimum)
     inside = np.zeros(len(least) + 2 * (span - 1), np.uint64)
     inside[span - 1 : span - 1 + len(least)] = np.where(ok[: len(least)], least, np.uint64(0))
-    chosen = grams[_slide(inside, span, np.maximum) == grams]
+    chosen = np.flatnonzero(_slide(inside, span, np.maximum) == grams)
     starts = np.flatnonzero(ok)
-    return starts, least[starts], chosen
+    return starts, least[starts], chosen, grams[chosen]
 
 
 def _parts(rows: pa.Table, width: int, gram: int):
-    """(first row, bytes, bounds, window places, minimisers, chosen hashes, base) of the slices of a block."""
+    """(first row, bytes, bounds, window places, minimisers, chosen places, their hashes, base) of the slices of a block."""
     base = 0
     for low, _, data, bounds in slices(blocks.text_column(rows)):
         yield low, data, bounds, *_minimisers(data, bounds, width, gram), base
@@ -284,6 +317,14 @@ def _runs(starts: np.ndarray, least: np.ndarray) -> np.ndarray:
     return np.flatnonzero(within % PIECE_WINDOWS == 0)
 
 
+def _repeating(starts: np.ndarray, counts: np.ndarray, keys: np.ndarray, span: int, chosen: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which runs hold their minimiser at two places at least, so that they may repeat themselves."""
+    low, high = np.searchsorted(chosen, starts), np.searchsorted(chosen, starts + counts - 1 + span)
+    run = np.repeat(np.arange(len(starts)), high - low)
+    at = np.arange(len(run)) + np.repeat(low - np.concatenate([[0], np.cumsum(high - low)[:-1]]), high - low)
+    return np.bincount(run[hashes[at] == keys[run]], minlength=len(starts)) > 1
+
+
 def _content(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """A hash of the bytes and the length of each span."""
     up, down = _BYTE_POWERS.get(len(data) + 1)
@@ -292,6 +333,37 @@ def _content(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nd
     return mix((sums[starts + lengths] - sums[starts]) * down[starts] + lengths.astype(np.uint64))
 
 
+def _repeats(width: int, own, texts, ids, contents, keys, offsets, windows):
+    """Runs of windows (block, place, count) of a shard that also start earlier."""
+    repeating, windows, offsets = windows >> 31 > 0, (windows & _COUNT).astype(np.int64), offsets.astype(np.int64)
+    lengths = windows + width - 1
+    ends = np.cumsum(lengths)
+    first = blocks.firsts(ids, own, offsets, contents)
+    # equal pieces: every window of a later one is a repeat
+    spans = [(own[~first], offsets[~first], windows[~first])]
+    # a minimiser of one content that holds it once has no two equal windows left
+    _, which, counts = np.unique(keys[first], return_inverse=True, return_counts=True)
+    chosen = np.flatnonzero(first)[(counts[which] > 1) | repeating[first]]
+    # in the order of documents, so that the place in the text of all pieces tells who is earlier
+    chosen = chosen[np.lexsort((offsets[chosen], own[chosen], ids[chosen]))]
+    parts = max(1, -(-int(lengths[chosen].sum()) // SHARD_BYTES))
+    shard = (keys[chosen] >> np.uint64(8)) % np.uint64(parts)
+    for part in range(parts):
+        mine = chosen[shard == part]
+        body, bounds = gather(texts, ends[mine] - lengths[mine], lengths[mine])
+        place, group = earliest_windows(body, bounds, width)
+        lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
+        least = np.minimum.reduceat(place, lead) if len(lead) else place
+        later = np.sort(place[place != np.repeat(least, np.diff(np.append(lead, len(place))))])
+        piece = np.searchsorted(bounds, later, side="right") - 1
+        run = np.ones(len(later), bool)
+        run[1:] = (later[1:] != later[:-1] + 1) | (piece[1:] != piece[:-1])
+        lead = np.flatnonzero(run)
+        at = mine[piece[lead]]
+        spans.append((own[at], offsets[at] + later[lead] - bounds[piece[lead]], np.diff(np.append(lead, len(later)))))
+    return spans
+
+
 def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 100) -> DataFrame:
     """Remove every byte in a string of ``width`` bytes that also starts earlier.
 
@@ -311,8 +383,8 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
 
     def minimiser_hashes(rows: pa.Table) -> np.ndarray:
         found = []
-        for *_, chosen, _ in _parts(rows, width, gram):
-            found.append(np.unique(chosen))
+        for *_, own, _ in _parts(rows, width, gram):
+            found.append(np.unique(own))
         return np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]))
 
     def pieces(rows: pa.Table, replies: pa.Table) -> pa.Table:
@@ -323,10 +395,10 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
         ids = rows.column("first").to_numpy()
         parts = list(_parts(rows, width, gram))
         # a hash at two places of one run, as in a periodic text, counts twice
-        hashes, counts = np.unique(np.concatenate([chosen for *_, chosen, _ in parts]), return_counts=True)
+        hashes, counts = np.unique(np.concatenate([own for *_, own, _ in parts]), return_counts=True)
         shared = np.union1d(blocks.shared_hashes(hashes, replies, n), hashes[counts > 1])
         keys, contents, offsets, windows, owners, texts, sizes = [], [], [], [], [], [], []
-        for low, data, bounds, starts, least, _, base in parts:
+        for low, data, bounds, starts, least, chosen, own, base in parts:
             lead = _runs(starts, least)
             count = np.diff(np.append(lead, len(starts)))
             wanted = np.isin(least[lead], shared)
@@ -335,7 +407,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
             keys.append(least[lead])
             contents.append(_content(data, at, length))
             offsets.append(at + base)
-            windows.append(count)
+            windows.append(count | _repeating(at, count, least[lead], width - gram + 1, chosen, own).astype(np.int64) << 31)
             owners.append(ids[low + np.searchsorted(bounds, at, side="right") - 1])
             body, _ = gather(data, at, length)
             texts.append(body)
@@ -344,62 +416,40 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
         _, lead = np.unique(contents, return_index=True)
         mask = np.zeros(len(keys), bool)
         mask[lead] = True
-        out = [blocks.message(block, block % n, 1, np.stack([offsets[~mask], windows[~mask]]).astype(np.uint32))]
+        out = [blocks.message(block, block % n, 1, np.stack([offsets[~mask], windows[~mask] & _COUNT]).astype(np.uint32))]
         ends = np.cumsum(sizes)
         chosen = np.flatnonzero(mask)
         for b, index in blocks.by_bucket(blocks.buckets(keys[chosen], n), n):
             index = chosen[index]
             body, _ = gather(texts, ends[index] - sizes[index], sizes[index])
             head = np.stack([offsets[index], windows[index]]).astype(np.uint32)
-            out.append(blocks.message(block, b, 0, body, owners[index].tobytes() + contents[index].tobytes() + head.tobytes()))
+            out.append(blocks.message(block, b, 0, body, owners[index].tobytes() + contents[index].tobytes() + keys[index].tobytes() + head.tobytes()))
         return blocks.message_table(out)
 
     def sort_shard(rows: pa.Table) -> pa.Table:
-        out, own, texts, ids, contents, offsets, windows = [], [], [], [], [], [], []
+        out, own, texts, ids, contents, keys, offsets, windows = [], [], [], [], [], [], [], []
         for row in rows.to_pylist():
             if row["kind"] == 1:
                 out.append(row)
                 continue
-            count = len(row["extra"]) // 24
+            count = len(row["extra"]) // 32
             own.append(np.full(count, row["block"]))
             texts.append(np.frombuffer(row["body"], np.uint8))
             ids.append(np.frombuffer(row["extra"], np.int64, count))
             contents.append(np.frombuffer(row["extra"], np.uint64, count, 8 * count))
-            offsets.append(np.frombuffer(row["extra"], np.uint32, count, 16 * count))
-            windows.append(np.frombuffer(row["extra"], np.uint32, count, 20 * count))
+            keys.append(np.frombuffer(row["extra"], np.uint64, count, 16 * count))
+            offsets.append(np.frombuffer(row["extra"], np.uint32, count, 24 * count))
+            windows.append(np.frombuffer(row["extra"], np.uint32, count, 28 * count))
         if own:
-            own, texts, ids, contents, offsets, windows = map(np.concatenate, (own, texts, ids, contents, offsets, windows))
-            _shard_marks(out, own, texts, ids, contents, offsets.astype(np.int64), windows.astype(np.int64))
+            spans = _repeats(width, *map(np.concatenate, (own, texts, ids, contents, keys, offsets, windows)))
+            owner, offset, count = (np.concatenate(x) for x in zip(*spans, strict=True))
+            order = np.argsort(owner, kind="stable")
+            cuts = np.flatnonzero(np.diff(owner[order])) + 1
+            for index in np.split(order, cuts):
+                if len(index):
+                    out.append(blocks.message(owner[index[0]], 0, 1, np.stack([offset[index], count[index]]).astype(np.uint32)))
         return blocks.message_table(out)
 
-    def _shard_marks(out: list, own, texts, ids, contents, offsets, windows) -> None:
-        lengths = windows + width - 1
-        ends = np.cumsum(lengths)
-        first = blocks.firsts(ids, own, offsets, contents)
-        # equal pieces: every window of a later one is a repeat
-        spans = [(own[~first], offsets[~first], windows[~first])]
-        chosen = np.flatnonzero(first)
-        # in the order of documents, so that the place in the text of all pieces tells who is earlier
-        chosen = chosen[np.lexsort((offsets[chosen], own[chosen], ids[chosen]))]
-        body, bounds = gather(texts, ends[chosen] - lengths[chosen], lengths[chosen])
-        place, group = earliest_windows(body, bounds, width)
-        lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
-        least = np.minimum.reduceat(place, lead) if len(lead) else place
-        later = np.sort(place[place != np.repeat(least, np.diff(np.append(lead, len(place))))])
-        piece = np.searchsorted(bounds, later, side="right") - 1
-        run = np.ones(len(later), bool)
-        run[1:] = (later[1:] != later[:-1] + 1) | (piece[1:] != piece[:-1])
-        lead = np.flatnonzero(run)
-        count = np.diff(np.append(lead, len(later)))
-        at = chosen[piece[lead]]
-        spans.append((own[at], offsets[at] + later[lead] - bounds[piece[lead]], count))
-        owner, offset, count = (np.concatenate(x) for x in zip(*spans, strict=True))
-        order = np.argsort(owner, kind="stable")
-        cuts = np.flatnonzero(np.diff(owner[order])) + 1
-        for index in np.split(order, cuts):
-            if len(index):
-                out.append(blocks.message(owner[index[0]], 0, 1, np.stack([offset[index], count[index]]).astype(np.uint32)))
-
     def cut(rows: pa.Table, marks: pa.Table) -> pa.Table:
         bodies = [np.frombuffer(x, np.uint32).reshape(2, -1) for x in marks.column("body").to_pylist()]
         starts, counts = np.concatenate(bodies or [np.zeros((2, 0), np.uint32)], axis=1).astype(np.int64)
