@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, decontaminate, langid, oddsketch, pivots, rendezvous, substrings, suffixes
+from arealoom.llm import bpe, decontaminate, langid, oddsketch, ordinal, pivots, rendezvous, substrings, suffixes, toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -206,3 +206,23 @@ def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op2_pivot_top_k(spark: SparkSession, folder: str) -> DataFrame:
     """Ten best rows for every hundredth vector."""
     return pivots.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op1_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
+    """Junk, then toxicity given junk, for every document; learnt from the labelled ones."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    chain = toxicity.fit(docs.join(labels, "doc_id"), ["junk", "toxic"])
+    found = toxicity.predict(docs, chain)
+    return found.select("doc_id", "p_junk", "is_junk", "p_toxic", "is_toxic")
+
+
+@query()
+def op8_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Grades: 0 of no quality, 1 toxic, 2 neither; texts of grade 2 are selected."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    rated = docs.join(table(spark, folder, "labels").select("doc_id", grade.alias("grade")), "doc_id")
+    model = ordinal.fit(rated, levels=3, wanted=2)
+    return ordinal.predict(docs, model).select("doc_id", "expected_grade", "p_wanted", "selected")
