@@ -1,8 +1,8 @@
 """Weighted correspondences between geographies: shares, allocation, dominant region, audits.
 
 A bridge is an edge list (from code, to code, ratio). Group figures are aggregated and joined back
-rather than taken over a window, so one code holding a large part of the edges is split by AQE
-instead of landing in a single task.
+with ``spread_join`` rather than taken over a window, so the edges of one code are dealt over several
+tasks.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from arealoom.functions.measures import plain_number
 from arealoom.operators.audit import Check, run_checks
+from arealoom.operators.joins import spread_join
 from arealoom.session import col_name
 
 
@@ -23,11 +24,13 @@ def allocatable(bridge: DataFrame, from_col: str, to_col: str, ratio: str) -> Da
 
 
 def flag_split(bridge: DataFrame, from_col: str, to_col: str, name: str = "allocation_required") -> DataFrame:
-    """Mark edges whose source code has more than one target."""
-    split = bridge.groupBy(from_col).agg((F.min(to_col) != F.max(to_col)).alias(name))
-    return bridge.join(split, from_col, "left").withColumn(
-        name, F.coalesce(name, F.lit(False))
-    )
+    """Mark edges whose source code has more than one target.
+
+    Targets are made distinct and counted, both by hash: a least and greatest text would be sorted."""
+    pairs = bridge.select(from_col, to_col).distinct()
+    split = pairs.groupBy(from_col).agg((F.count(to_col) > 1).alias(name))
+    plain = bridge.drop(name) if name in bridge.columns else bridge
+    return spread_join(plain, split, [(F.col(col_name(from_col)), from_col)]).withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def allocate(
@@ -46,9 +49,8 @@ def allocate(
     ratio range.
     """
     edges = flag_split(allocatable(bridge, from_col, to_col, ratio), from_col, to_col, "__split")
-    carried = edges.select(from_col, to_col, ratio, "__split").join(
-        values.select(from_col, *measures), from_col, "inner"
-    )
+    edges = edges.select(from_col, to_col, ratio, "__split")
+    carried = spread_join(edges, values.select(from_col, *measures), [(F.col(col_name(from_col)), from_col)], "inner")
 
     def total(m):
         s = F.sum(F.col(m) * F.col(ratio))
@@ -125,7 +127,8 @@ def share_of_total(
         F.sum(value).alias(value), F.count("*").alias("unit_count")
     )
     totals = summed.groupBy(*groups).agg(F.sum(value).alias(total))
-    return summed.join(totals, groups).withColumn(share, F.try_divide(F.col(value), F.col(total)))
+    joined = spread_join(summed, totals, [(F.col(col_name(g)), g) for g in groups], "inner")
+    return joined.withColumn(share, F.try_divide(F.col(value), F.col(total)))
 
 
 def ratio_sum_check(

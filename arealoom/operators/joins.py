@@ -1,7 +1,9 @@
 """Contract-checked joins.
 
 No join carries a broadcast hint: Spark broadcasts a side only when its measured size is under
-``spark.sql.autoBroadcastJoinThreshold``, and AQE splits hot keys of the larger side otherwise.
+``spark.sql.autoBroadcastJoinThreshold``. Beyond that AQE splits the hot keys of a join of two tables,
+but not of a join onto an aggregate of the same key: the aggregate stands between its exchange and
+the join. ``spread_join`` deals the keys of such joins over several tasks.
 """
 
 from __future__ import annotations
@@ -16,6 +18,34 @@ from arealoom.operators.audit import ContractError, expect_unique
 from arealoom.session import col_name
 
 
+#: Tasks that the rows of one key may go to. The largest task gets about 1/SALTS of a hot key.
+SALTS = 8
+
+
+def spread_join(
+    left: DataFrame, right: DataFrame, on: list[tuple[Column, str]], how: str = "left", salts: int = SALTS
+) -> DataFrame:
+    """Join onto ``right``, which has one row per key, with the rows of each key dealt over ``salts`` tasks.
+
+    ``on`` pairs a key of the left with a column of ``right``; the key columns of ``right`` are left
+    out of the result. The salt is a hash of the whole left row, the same on every run; ``right`` is
+    repeated once per salt. Rows of the left that are equal in every column share a salt.
+    """
+    hashed = [F.col(col_name(f.name)) for f in left.schema if "map" not in f.dataType.simpleString()]
+    keys = [f"__on{i}" for i in range(len(on))]
+    others = [F.col(col_name(c)) for c in right.columns if c not in [name for _, name in on]]
+    repeated = right.select(
+        *[F.col(col_name(name)).alias(k) for k, (_, name) in zip(keys, on, strict=True)],
+        *others,
+        F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("__salt"),
+    )
+    dealt = left.withColumn("__dealt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
+    same = F.col("__dealt") == F.col("__salt")
+    for k, (column, _) in zip(keys, on, strict=True):
+        same = same & (column == F.col(k))
+    return dealt.join(repeated, same, how).drop("__dealt", "__salt", *keys)
+
+
 def _names(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
@@ -144,15 +174,16 @@ def fallback_join(
     )
     if on_ambiguous == "raise" and not short.filter("__ambiguous").limit(1).isEmpty():
         raise ContractError(f"derived key {rd} stands for several values of {re_}")
-    first = left.join(known, F.col(le) == F.col("__re"), "left").drop("__re")
+    first = spread_join(left, known, [(F.col(le), "__re")])
     if scope == "table" and not first.filter("__known").limit(1).isEmpty():
         short = short.limit(0)
-    settled = first.join(short, F.col(ld) == F.col("__rd"), "left").select(
+    short = short.withColumn("__short", F.lit(True))
+    settled = spread_join(first, short, [(F.col(ld), "__rd")]).select(
         *[F.col(col_name(c)) for c in left.columns],
         F.when(F.col("__known"), F.col(le)).when(~F.col("__ambiguous"), F.col("__only")).alias("__key"),
         F.when(F.col("__known"), "exact_key")
         .when(F.col("__ambiguous"), "ambiguous_derived_key")
-        .when(F.col("__rd").isNotNull(), "derived_key")
+        .when(F.col("__short"), "derived_key")
         .otherwise("unmatched")
         .alias("join_method"),
     )
@@ -162,7 +193,8 @@ def fallback_join(
 def flag_membership(df: DataFrame, members: DataFrame, key, name: str) -> DataFrame:
     keys = _names(key)
     marked = members.select(*keys).distinct().withColumn(name, F.lit(True))
-    return df.join(marked, keys, "left").withColumn(name, F.coalesce(name, F.lit(False)))
+    found = spread_join(df, marked, [(F.col(k), k) for k in keys])
+    return found.withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def reconcile_paths(
@@ -197,11 +229,9 @@ def reconcile_paths(
     )
     same = here.groupBy(F.col("__here").alias("__same")).agg(F.min("__path").alias("__valid"))
     low = F.lower(path)
-    joined = (
-        register.join(same, low == F.col("__same"), "left")
-        .join(planned, low == F.col("__from"), "left")
-        .join(by_name, F.lower(path_parts(path)["file_name"]) == F.col("__name"), "left")
-    )
+    joined = spread_join(register, same, [(low, "__same")])
+    joined = spread_join(joined, planned, [(low, "__from")])
+    joined = spread_join(joined, by_name, [(F.lower(path_parts(path)["file_name"]), "__name")])
     status = (
         F.when(F.col("__valid").isNotNull(), "path_still_valid")
         .when(F.col("__planned").isNotNull(), "reconciled_from_move_plan")
@@ -213,7 +243,7 @@ def reconcile_paths(
     )
     found = F.coalesce("__valid", "__planned", "__first_active", "__first_archive")
     return joined.select(
-        *[register[col_name(c)] for c in register.columns],
+        *[F.col(col_name(c)) for c in register.columns],
         F.coalesce(found, F.col(path)).alias("new_path"),
         status.alias("path_status"),
     )
@@ -232,12 +262,9 @@ def lookup_manifest(
         F.max_by("__v", "__o").alias("__by_name")
     )
     low = F.lower(path)
-    return (
-        files.join(by_path, low == F.col("__p"), "left")
-        .join(by_name, F.substring_index(low, "/", -1) == F.col("__n"), "left")
-        .withColumn(value, F.coalesce("__by_path", "__by_name"))
-        .drop("__p", "__n", "__by_path", "__by_name")
-    )
+    found = spread_join(files, by_path, [(low, "__p")])
+    found = spread_join(found, by_name, [(F.substring_index(low, "/", -1), "__n")])
+    return found.withColumn(value, F.coalesce("__by_path", "__by_name")).drop("__by_path", "__by_name")
 
 
 def lookup_any(
@@ -257,7 +284,7 @@ def lookup_any(
             .groupBy(f"__k{i}")
             .agg(F.min("__row").alias(f"__row{i}"))
         )
-        joined = joined.join(first, left_key == F.col(f"__k{i}"), "left")
+        joined = spread_join(joined, first, [(left_key, f"__k{i}")])
         names.append(f"__row{i}")
     best = F.array_min(F.array_compact(F.array(*names)))
     return joined.withColumn("__best", best).select(

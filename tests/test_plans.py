@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from arealoom.checks import QUERIES
 from arealoom.checks.registry import table
+from arealoom.operators import bridges as B
+from arealoom.operators import joins as J
 from arealoom.operators import windows as W
 from arealoom.operators.bridges import allocate, dominant
 from arealoom.operators.period import select_period
@@ -62,3 +64,49 @@ def test_ffill_of_a_hot_partition(spark):
     filled = W.ffill(df, "p", "n", ["v"], block=256)
     assert filled.count() == 20_000
     assert filled.filter("p = -1 and n >= 2991 and v is null").count() == 0
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def hot(spark, n=60_000):
+    """Rows of which four fifths have one key."""
+    key = F.when(F.col("id") % 5 < 4, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 400).cast("string")))
+    return spark.range(n).select("id", key.alias("k"), (F.col("id") % 7).cast("string").alias("t"), F.lit(1.0).alias("v"))
+
+
+SPREAD = {
+    "flag_split": lambda df: B.flag_split(df, "k", "t"),
+    "share_of_total": lambda df: B.share_of_total(df, "k", ["t", "id"], "v"),
+    "flag_membership": lambda df: J.flag_membership(df, df.select("k"), "k", "member"),
+    "lookup_any": lambda df: J.lookup_any(df, df.select("k", F.col("id").alias("o"), F.col("t").alias("u")), [(F.col("k"), F.col("k"))], "o", ["u"]),
+    "lookup_manifest": lambda df: J.lookup_manifest(df, df.select(F.col("k").alias("p"), F.col("t").alias("w"), F.col("id").alias("o")), "k", "p", "w", "o"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(SPREAD))
+def test_a_hot_key_is_dealt_over_tasks(spark, no_broadcast, name):
+    df = hot(spark)
+    tasks = [r["count"] for r in SPREAD[name](df).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(tasks) == df.count()
+    assert max(tasks) < 0.35 * sum(tasks)
+
+
+def test_spread_join_is_a_left_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "b"), (3, "b")], "n int, k string")
+    right = spark.createDataFrame([("a", 10), (None, 20), ("c", 30)], "k string, x int")
+    got = sorted((r.n, r.k or "", r.x or 0) for r in J.spread_join(left, right, [(F.col("k"), "k")]).collect())
+    assert got == [(1, "a", 10), (2, "", 0), (3, "b", 0), (3, "b", 0)]
