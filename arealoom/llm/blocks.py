@@ -27,8 +27,9 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def deal(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id`` (integer), ``text``, the order of documents and their block.
+def deal(docs: DataFrame, doc_id: str, text: str, carry: bool = False) -> DataFrame:
+    """``doc_id`` (integer), ``text``, the order of documents and their block; with ``carry`` all other
+    columns and the id as a struct ``row``.
 
     Documents are ordered by id, null last; rows of one id by the hash of their text, by block and by
     place in it. The block depends on the input split too, so rows repeated without end are spread.
@@ -40,6 +41,7 @@ def deal(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         F.xxhash64(F.col(f"`{text}`")).alias("second"),
         F.col(f"`{text}`").alias("text"),
         F.spark_partition_id().alias("split"),
+        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row")] if carry else []),
     )
     block = F.pmod(F.xxhash64("first", "second", "split"), F.lit(n * BLOCKS_PER_PARTITION)).cast("int")
     return ordered.withColumn("block", block).drop("split").repartition(n, "block")
@@ -118,7 +120,7 @@ def shared_hashes(hashes: np.ndarray, replies: pa.Table, n: int) -> np.ndarray:
     return hashes[mask]
 
 
-def with_replies(dealt: DataFrame, replies: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
+def with_replies(dealt: DataFrame, replies: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:
     """``work`` on each ordered block and the messages to it."""
 
     def run(rows: pa.Table, messages: pa.Table) -> pa.Table:

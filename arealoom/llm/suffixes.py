@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from arealoom.llm import blocks
 from arealoom.llm.words import _BYTE_POWERS, _BYTE_VALUES, gather, mix, slices, strings
@@ -364,7 +365,7 @@ def _repeats(width: int, own, texts, ids, contents, keys, offsets, windows):
     return spans
 
 
-def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 100) -> DataFrame:
+def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 100, carry: bool = False) -> DataFrame:
     """Remove every byte in a string of ``width`` bytes that also starts earlier.
 
     Texts are UTF-8 bytes; matches never cross documents; earlier is at a smaller id or, in one
@@ -375,11 +376,12 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     A null text is empty. A null id comes after all others. Rows that share an id are documents one
     after another in a fixed order (by text hash, then by place), so of rows repeated whole the first
     is kept. Texts shorter than a window are kept. An empty table gives an empty table; other
-    columns, whatever their names, are not read.
+    columns, whatever their names, are not read, or with ``carry`` come back with the id in a struct
+    ``row``.
     """
     n = blocks.partitions(docs.sparkSession)
     gram = max(1, (width * 3) // 8)
-    dealt = blocks.deal(docs, doc_id, text)
+    dealt = blocks.deal(docs, doc_id, text, carry)
 
     def minimiser_hashes(rows: pa.Table) -> np.ndarray:
         found = []
@@ -465,20 +467,40 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
             begins[inner] = removed[inner]
             gone = np.concatenate([[0], np.cumsum(removed)])[bounds]
             spans = np.concatenate([[0], np.cumsum(begins)])[bounds]
-            part = rows.slice(low, len(bounds) - 1).column("doc_id").combine_chunks()
-            ids = part.chunk(0) if isinstance(part, pa.ChunkedArray) else part
-            out.append(
-                pa.RecordBatch.from_arrays(
-                    [ids, pa.array(np.diff(bounds)), pa.array(np.diff(gone)), pa.array(np.diff(spans)), strings(data[~removed], bounds - gone, pa.binary())],
-                    schema=_RESULT,
-                )
-            )
+            part = rows.slice(low, len(bounds) - 1)
+            made = [np.diff(bounds), np.diff(gone), np.diff(spans), strings(data[~removed], bounds - gone, pa.binary())]
+            extra = {"row": part.column("row")} if carry else {}
+            out.append(pa.table({"doc_id": part.column("doc_id")} | dict(zip(_COUNTS, made, strict=True)) | extra))
             base += len(data)
-        return pa.Table.from_batches(out, _RESULT)
+        return pa.concat_tables(out) if out else _empty(rows, carry)
 
     asked = blocks.ask(dealt, minimiser_hashes)
     found = blocks.with_replies(dealt, asked, pieces, blocks.MESSAGE).groupBy("bucket").applyInArrow(sort_shard, blocks.MESSAGE)
-    return blocks.with_replies(dealt, found, cut, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
+    fields = [T.StructField(name, T.LongType()) for name in ("doc_id", *_COUNTS[:3])]
+    fields += [T.StructField("kept", T.BinaryType())] + ([dealt.schema["row"]] if carry else [])
+    return blocks.with_replies(dealt, found, cut, T.StructType(fields))
 
 
-_RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+_COUNTS = ("n_bytes", "n_removed", "n_spans", "kept")
+
+
+def _empty(rows: pa.Table, carry: bool) -> pa.Table:
+    kinds = {"doc_id": pa.int64()} | dict.fromkeys(_COUNTS[:3], pa.int64()) | {"kept": pa.binary()}
+    kinds |= {"row": rows.schema.field("row").type} if carry else {}
+    return pa.table({name: pa.array([], kind) for name, kind in kinds.items()})
+
+
+def as_text(df: DataFrame, column: str) -> DataFrame:
+    """A binary column as text: bytes that are no whole UTF-8 character, as at the ends of a cut, are
+    left out. Null stays null; all other columns pass."""
+    at = df.columns.index(column)
+    fields = [T.StructField(f.name, T.StringType()) if i == at else f for i, f in enumerate(df.schema.fields)]
+
+    def run(batches):
+        for batch in batches:
+            for low, high, _, _ in slices(batch.column(at)):
+                part = batch.slice(low, high - low)
+                texts = pa.array([None if b is None else b.decode("utf-8", "ignore") for b in part.column(at).to_pylist()], pa.string())
+                yield pa.RecordBatch.from_arrays([texts if i == at else part.column(i) for i in range(part.num_columns)], part.schema.names)
+
+    return df.mapInArrow(run, T.StructType(fields))
