@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from arealoom.llm.words import slices
 
@@ -187,30 +188,30 @@ def _share(df: DataFrame, vocab: Vocabulary):
     return df.sparkSession.sparkContext.broadcast((hash((len(vocab.tokens), vocab.tokens[-1])), vocab))
 
 
-def _with_columns(df: DataFrame, column: str, fields: str, work) -> DataFrame:
-    """Add binary columns made by ``work`` from the bytes of ``column``, slice by slice."""
-    names = [f.split()[0] for f in fields.split(", ")]
-    clash = set(names) & set(df.columns)
-    if clash:
-        raise ValueError(f"columns already there: {sorted(clash)}")
-    schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
+def _with_columns(df: DataFrame, column: str, names: list[str], work) -> DataFrame:
+    """Add binary columns made by ``work`` from ``column``, slice by slice; columns of these names are
+    replaced."""
+    keep = [i for i, f in enumerate(df.schema.fields) if f.name not in names]
+    schema = T.StructType([*[df.schema.fields[i] for i in keep], *[T.StructField(n, T.BinaryType()) for n in names]])
+    at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(batch.schema.get_field_index(column))
+            values = batch.column(at)
             for low, high, _, _ in slices(values):
+                part = batch.slice(low, high - low)
                 made = work(values.slice(low, high - low))
-                yield pa.RecordBatch.from_arrays([*batch.slice(low, high - low).columns, *made], [*batch.schema.names, *names])
+                yield pa.RecordBatch.from_arrays([*[part.column(i) for i in keep], *made], schema.names)
 
-    return df.mapInArrow(run, f"{schema}, {fields}")
+    return df.mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of every whole text as packed little-endian unsigned 32-bit integers.
 
     Null and empty texts have no ids (an empty binary). Other columns pass unchanged; one named like
-    the new column raises ``ValueError``. Rows are handled one by one, so repeated rows, ties and
-    null keys need no rule, and an empty table gives an empty table.
+    the new column is replaced. Rows are handled one by one, so repeated rows, ties and null keys need
+    no rule, and an empty table gives an empty table.
     """
     shared = _share(df, vocab)
 
@@ -218,7 +219,7 @@ def encode(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text", i
         codec = _codec(shared, pattern)
         return [pa.array([codec.encode(x) if x else b"" for x in values.to_pylist()], pa.binary())]
 
-    return _with_columns(df, text, f"{ids} binary", work)
+    return _with_columns(df, text, [ids], work)
 
 
 def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -231,7 +232,7 @@ def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", decoded: str = "d
             pa.array([b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in values.to_pylist()], pa.binary())
         ]
 
-    return _with_columns(df, ids, f"{decoded} binary", work)
+    return _with_columns(df, ids, [decoded], work)
 
 
 def round_trip(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -243,4 +244,4 @@ def round_trip(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text
         made = [codec.encode(x) if x else b"" for x in values.to_pylist()]
         return [pa.array(made, pa.binary()), pa.array(map(codec.decode, made), pa.binary())]
 
-    return _with_columns(df, text, f"{ids} binary, {decoded} binary", work)
+    return _with_columns(df, text, [ids, decoded], work)

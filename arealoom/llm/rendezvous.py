@@ -43,10 +43,8 @@ def shard_of(key: Column, weights: Mapping[int, float]) -> Column:
 
 
 def assign(df: DataFrame, key: str, weights: Mapping[int, float], shard: str = "shard") -> DataFrame:
-    """Add the shard of each row: one pass without a shuffle. Raises ``ValueError`` if the column is
-    there already. Rows with equal keys share a shard; an empty table stays empty."""
-    if shard in df.columns:
-        raise ValueError(f"column {shard!r} is there already")
+    """Add the shard of each row: one pass without a shuffle. A column of that name is replaced. Rows
+    with equal keys share a shard; an empty table stays empty."""
     return df.withColumn(shard, shard_of(F.col(f"`{key}`"), weights))
 
 
@@ -56,10 +54,14 @@ def number(df: DataFrame, key: str, shard: str = "shard", slot: str = "slot") ->
 
     Rows are counted per distinct row first, so a row repeated any number of times is one row in the
     shuffles; its copies are made in parts of ``COPIES`` after the numbering. No task holds more
-    than one block of a shard. Columns must be sortable; long texts should be hashed before.
+    than one block of a shard. Columns must be sortable; long texts should be hashed before. A column
+    named like the slot is replaced.
     """
-    if {slot, "_block", "_n", "_before", "_part", "_start", "_copy"} & set(df.columns):
-        raise ValueError("a column of the numbering is there already")
+    df = df.drop(slot) if slot != key else df
+    named = df.columns
+    df = df.toDF(*[c if c in (key, shard) else f"c{i}" for i, c in enumerate(named)])
+    if {"_block", "_n", "_before", "_part", "_start", "_copy"} & {key, shard, slot}:
+        raise ValueError("the key, shard and slot must not be named like the numbering's own columns")
     others = [c for c in df.columns if c not in (key, shard)]
     block = F.substring(F.md5(key_text(F.col(f"`{key}`"))), 1, BLOCK_DIGITS)
     cells = df.withColumn("_block", block).groupBy(shard, "_block", *[f"`{c}`" for c in [key, *others]]).agg(F.count("*").alias("_n"))
@@ -75,7 +77,7 @@ def number(df: DataFrame, key: str, shard: str = "shard", slot: str = "slot") ->
     )
     last = F.least(F.col("_n"), (F.col("_part") + 1) * COPIES) - 1
     copies = parts.withColumn("_copy", F.explode(F.sequence(F.col("_part") * COPIES, last)))
-    return copies.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_before") + F.col("_start") + F.col("_copy")).alias(slot))
+    return copies.select(*[F.col(f"`{c}`").alias(name) for c, name in zip(df.columns, named, strict=True)], (F.col("_before") + F.col("_start") + F.col("_copy")).alias(slot))
 
 
 def moved(df: DataFrame, key: str, before: Mapping[int, float], after: Mapping[int, float]) -> DataFrame:
