@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from arealoom.checks.registry import SQL_BRIDGE, SQL_INVENTORY, check, inventory, order_bridge, r, table
 from arealoom.operators import audit as A
+from arealoom.operators.audit import ContractError
 from arealoom.operators import bridges as B
 
 
@@ -120,12 +121,21 @@ def validate_register(spark, sf):
     return A.validate_register(register, "id", {"o_orderstatus": ["O", "F"]}).drop("notes")
 
 
-@check("aud9_gate", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1")
+@check(
+    "aud9_gate",
+    """SELECT l_suppkey, count(*) AS n, CASE WHEN (SELECT count(*) FROM lineitem WHERE l_quantity > 10) > 0
+ THEN 'failed checks: [''small_quantities'']' ELSE 'open' END AS second_gate FROM lineitem GROUP BY 1""",
+)
 def gate(spark, sf):
-    """Rows come out only because every check passes."""
+    """Rows come out because the first gate opens; the second one closes, and its message is a column."""
     lines = table(spark, sf, "lineitem")
     A.gate(A.run_checks(lines, [A.Check("rows", F.count("*"), lambda v: v > 0)]))
-    return lines.groupBy("l_suppkey").agg(F.count("*").alias("n"))
+    second = "open"
+    try:
+        A.gate(A.run_checks(lines, [A.Check("small_quantities", F.count_if(F.col("l_quantity") > 10), lambda v: v == 0)]))
+    except ContractError as error:
+        second = str(error)
+    return lines.groupBy("l_suppkey").agg(F.count("*").alias("n")).withColumn("second_gate", F.lit(second))
 
 
 @check(

@@ -162,6 +162,8 @@ def geography_from_values(spark, sf):
         F.lpad((F.col("c_nationkey") + 10000).cast("string"), 5, "0").alias("district"),
         F.col("c_mktsegment").alias("segment"),
         F.when(F.col("c_custkey") % 2 == 0, "Northern PHN").otherwise("x").alias("note"),
+        (F.col("c_custkey") % 2000).cast("string").alias("plain_count"),
+        F.when(F.col("c_custkey") == 1, "Australia").otherwise("-").alias("remark"),
     )
     return P.geography_from_values(rows)
 

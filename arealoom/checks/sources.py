@@ -98,15 +98,23 @@ def json_keys(spark, sf):
     return T.json_keys(spark, f"{out}/objects").select("key")
 
 
-@check("src6_file_inventory", "SELECT lang, 1 AS found FROM documents GROUP BY 1")
+@check(
+    "src6_file_inventory",
+    """SELECT lang, CAST(sum(33) AS BIGINT) AS size, true AS named, 'live' AS folder FROM documents GROUP BY 1""",
+)
 def file_inventory(spark, sf):
+    """Each document is a line of 32 characters; sizes by language, names and folders of the live files."""
     out = scratch_path(spark, "tree")
-    docs = table(spark, sf, "documents").select("doc_id", "lang")
-    docs.write.partitionBy("lang").option("header", True).csv(f"{out}/live")
-    docs.write.partitionBy("lang").option("header", True).csv(f"{out}/archive")
+    docs = table(spark, sf, "documents").select(F.md5(F.col("doc_id").cast("string")).alias("value"), "lang")
+    docs.write.partitionBy("lang").text(f"{out}/live")
+    docs.write.partitionBy("lang").text(f"{out}/archive")
     docs.write.partitionBy("lang").parquet(f"{out}/other")
-    listed = FI.file_inventory(spark, out, [".csv"]).withColumn("lang", F.regexp_extract("path", "lang=([^/]+)", 1))
-    return listed.filter("size > 0").groupBy("lang").agg(F.lit(1).alias("found"))
+    listed = FI.file_inventory(spark, out, [".txt"])
+    return listed.groupBy(F.regexp_extract("path", "lang=([^/]+)", 1).alias("lang")).agg(
+        F.sum("size").alias("size"),
+        F.bool_and(F.col("file_name").rlike(r"^part-.*\.txt$")).alias("named"),
+        F.max(F.regexp_extract("path", "/([^/]+)/lang=", 1)).alias("folder"),
+    )
 
 
 def _archives(spark, sf):

@@ -192,17 +192,13 @@ def duplicate_groups(spark, sf):
 
 @check(
     "ord1_sort_nulls_last",
-    """SELECT place, o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY p NULLS LAST, o_totalprice DESC NULLS LAST,
- o_orderkey) AS place FROM (SELECT *, nullif(o_orderpriority, '1-URGENT') AS p FROM orders)) WHERE place <= 1000""",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY p NULLS LAST, o_totalprice DESC NULLS LAST,
+ o_orderkey) AS place FROM (SELECT *, nullif(o_orderpriority, '1-URGENT') AS p FROM orders)""",
 )
 def sort_nulls_last(spark, sf):
     rows = table(spark, sf, "orders").withColumn("p", F.nullif("o_orderpriority", F.lit("1-URGENT")))
-    top = W.sort_nulls_last(rows, "p", "-o_totalprice", "o_orderkey").limit(1000)
-    # The report of the first thousand rows is numbered on its own.
-    from pyspark.sql import Window
-
-    w = Window.orderBy(F.col("p").asc_nulls_last(), F.col("o_totalprice").desc_nulls_last(), "o_orderkey")
-    return top.select(F.row_number().over(w).cast("long").alias("place"), "o_orderkey")
+    rows = rows.select("o_orderkey", "p", "o_totalprice")
+    return W.numbered_sort(rows, "p", "-o_totalprice", "o_orderkey").select("place", "o_orderkey")
 
 
 @check("ord2_head", "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem ORDER BY l_extendedprice DESC,"
@@ -265,11 +261,12 @@ def apply_hold_rules(spark, sf):
 
 @check(
     "flt6_rows_containing",
-    """SELECT doc_id FROM documents WHERE regexp_matches(lower(text), 'fail|error|forbidden|exception')
- OR regexp_matches(lower(source), 'fail|error|forbidden|exception')""",
+    """SELECT doc_id FROM documents WHERE regexp_matches(lower(text), 'pathetic|license')
+ OR regexp_matches(lower(source), 'src1$')""",
 )
 def rows_containing(spark, sf):
-    return FL.rows_containing(table(spark, sf, "documents"), columns=["text", "source"]).select("doc_id")
+    docs = table(spark, sf, "documents")
+    return FL.rows_containing(docs, "pathetic|license|^src1$", columns=["text", "source"]).select("doc_id")
 
 
 @check(

@@ -78,6 +78,15 @@ def slug(c, max_len: int = 140, variant: str = "and", empty: str = "unnamed") ->
     return F.rtrim(F.substring(text, 1, max_len), F.lit("_"))
 
 
+def key_slug(c, max_len: int = 140, variant: str = "and", empty: str = "unnamed") -> Column:
+    """``slug`` for names that tell rows apart: one that would be cut ends in eight digits of a hash of
+    the whole text."""
+    whole = slug(c, 1 << 20, variant, empty)
+    short = F.rtrim(F.substring(whole, 1, max_len - 9), F.lit("_"))
+    digest = F.substring(F.md5(_col(c).cast("string")), 1, 8)
+    return F.when(F.length(whole) <= max_len, whole).otherwise(F.concat_ws("_", short, digest))
+
+
 def alnum_key(c) -> Column:
     return F.regexp_replace(F.lower(_col(c).cast("string")), "[^a-z0-9]+", "")
 

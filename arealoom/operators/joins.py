@@ -135,19 +135,27 @@ def compose_bridge(fine_to_a: DataFrame, fine_to_b: DataFrame, unit, how: str =
 def merge_wide(frames: list[DataFrame], key) -> DataFrame:
     """Full outer merge of tables that hold one row per key; a column seen before is skipped.
 
-    The tables are stacked and folded by key, so any number of them costs one shuffle.
+    The tables are stacked and folded by key, so any number of them costs one shuffle. The same
+    aggregate counts the rows of each table and raises where a key has two in one.
     """
     keys = _names(key)
     seen, kept = set(keys), []
     for frame in frames:
         fresh = [c for c in frame.columns if c not in seen]
         seen.update(fresh)
-        kept.append(frame.select(*keys, *[col_name(c) for c in fresh]))
+        mark = F.lit(1).alias(f"__row{len(kept)}")
+        kept.append(frame.select(*keys, *[col_name(c) for c in fresh], mark))
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kept)
-    values = [c for c in stacked.columns if c not in keys]
-    return stacked.groupBy(*keys).agg(
-        *[F.first(col_name(c), ignorenulls=True).alias(c) for c in values]
+    marks = [f"__row{i}" for i in range(len(kept))]
+    values = [c for c in stacked.columns if c not in keys and c not in marks]
+    folded = stacked.groupBy(*keys).agg(
+        *[F.first(col_name(c), ignorenulls=True).alias(c) for c in values],
+        F.greatest(*[F.count(m) for m in marks], F.lit(0), F.lit(0)).alias("__most"),
     )
+    once = F.when(F.col("__most") <= 1, True).otherwise(
+        F.raise_error(F.concat(F.lit("a table to merge has several rows for key "), F.to_json(F.struct(*keys))))
+    )
+    return folded.filter(once).drop("__most")
 
 
 def fallback_join(

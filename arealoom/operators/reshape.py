@@ -5,18 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealoom.functions.text import slug
+from arealoom.functions.text import key_slug
 from arealoom.session import col_name
 
 
+def listed(name, names: list[str]) -> Column:
+    """The name where it is listed; any other raises when the row is read. Null stays null."""
+    column = F.col(name) if isinstance(name, str) else name
+    unknown = F.raise_error(F.concat(F.lit("name not listed for the pivot: "), column.cast("string")))
+    return F.when(column.isNull() | column.isin(list(names)), column).otherwise(unknown)
+
+
 def pivot_first(
     df: DataFrame, key, name: str, value: str, names: list[str], order: Column
 ) -> DataFrame:
     """Widen a long table; of repeated cells the first by ``order`` is kept.
 
-    ``names`` is given, so no job is spent on finding them and the columns are stable."""
+    ``names`` is given, so no job is spent on finding them and the columns are stable; a row with
+    another name raises instead of vanishing."""
     keys = [key] if isinstance(key, str) else list(key)
-    return df.groupBy(*keys).pivot(name, names).agg(F.min_by(value, order))
+    checked = df.withColumn("__name", listed(F.col(col_name(name)), names))
+    return checked.groupBy(*keys).pivot("__name", names).agg(F.min_by(value, order))
 
 
 def pivot_sum(
@@ -29,9 +38,11 @@ def pivot_sum(
     prefix: str = "",
     max_len: int = 90,
 ) -> DataFrame:
-    """Widen on the joined descriptors, summing; absent cells become ``fill``."""
+    """Widen on the joined descriptors, summing; absent cells become ``fill``. A label over ``max_len``
+    ends in a hash of the whole, so different descriptors never share a column; a label that is not
+    in ``names`` raises."""
     keys = [key] if isinstance(key, str) else list(key)
-    label = slug(F.concat_ws("__", *descriptors), max_len, "plain")
+    label = listed(key_slug(F.concat_ws("__", *descriptors), max_len, "plain"), names)
     wide = df.withColumn("__label", label).groupBy(*keys).pivot("__label", names).agg(F.sum(value))
     cells = [
         F.col(col_name(n)) if fill is None else F.coalesce(F.col(col_name(n)), F.lit(fill))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealoom.session import col_name
+from arealoom.session import col_name, materialise
 
 
 def _names(keys) -> list[str]:
@@ -226,6 +226,23 @@ def sort_nulls_last(df: DataFrame, *spec: str) -> DataFrame:
     )
 
 
+def numbered_sort(df: DataFrame, *spec: str, name: str = "place") -> DataFrame:
+    """Every row with its place from 1 in the order of ``sort_nulls_last``.
+
+    The sort deals ranges over tasks; each task numbers its own rows, and a table of one row per task
+    holds where each range begins. The sorted rows are written once, as a second sort may cut its
+    ranges elsewhere."""
+    within = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    ranges = sort_nulls_last(df, *spec).withColumns({"__range": F.spark_partition_id(), "__within": within})
+    stored = materialise(ranges, "sorted")
+    along = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    begins = stored.groupBy("__range").agg(F.count("*").alias("__n")).select(
+        "__range", F.coalesce(F.sum("__n").over(along), F.lit(0)).alias("__before")
+    )
+    placed = stored.join(begins, "__range").withColumn(name, F.col("__before") + F.col("__within") + 1)
+    return placed.drop("__range", "__within", "__before")
+
+
 def head(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 

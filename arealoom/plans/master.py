@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arealoom.functions.measures import parse_measure, publication_status
 from arealoom.operators.aggregates import availability_flags, missingness
+from arealoom.operators.audit import expect_unique
 from arealoom.operators.catalog import (
     FeatureSpec, catalog_of, column_roles, resolve_features,
 )
@@ -18,12 +19,18 @@ from arealoom.session import col_name
 def assemble_master(
     spine: DataFrame, key, sources: dict[str, DataFrame], check: bool = True
 ) -> DataFrame:
-    """Left-join one-row-per-area sources onto the spine, each with a presence flag."""
+    """Left-join one-row-per-area sources onto the spine, each with a presence flag.
+
+    The spine and every source are checked once for one row per key, on their key columns alone; joins
+    of checked sides stay one row per area, so what is already joined is not checked again."""
+    keys = [key] if isinstance(key, str) else list(key)
+    if check:
+        for side in (spine, *sources.values()):
+            expect_unique(side, keys)
     out = spine
     for name, source in sources.items():
         out = contract_join(
-            out, source, key, validate="1:1" if check else "m:n",
-            flag=f"source_{name}_present_flag", check=check,
+            out, source, key, validate="m:n", flag=f"source_{name}_present_flag", check=False,
         )
     return out
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealoom.functions.measures import parse_measure
-from arealoom.functions.text import slug, strip_tags, trim_all
+from arealoom.functions.text import key_slug, strip_tags, trim_all
 
 _ANCHOR = r"(?is)<a\s[^>]*?href\s*=\s*[\"']([^\"']*)[\"'][^>]*>(.*?)</a>"
 
@@ -179,11 +179,11 @@ def html_tables_to_long(
 ) -> DataFrame:
     """Pages to long measures: variable name from headings and row label, value, section, topic."""
     rows = page_rows(pages, key, html)
-    label = slug("row_label", 55, "bare", "")
-    parts = [slug(c, 35, "bare", "") for c in ("h2", "h3", "h4", "label_header")]
+    label = key_slug("row_label", 55, "bare", "")
+    parts = [key_slug(c, 35, "bare", "") for c in ("h2", "h3", "h4", "label_header")]
     context = F.array_join(F.filter(F.array(*parts), lambda p: p != ""), "_")
     context = F.when(context == "", F.concat(F.lit("table_"), F.col("table_no"))).otherwise(context)
-    base: Column = slug(F.concat_ws("_", F.lit(prefix), context, label), 180, "bare")
+    base: Column = key_slug(F.concat_ws("_", F.lit(prefix), context, label), 180, "bare")
     kept = rows.filter(
         (F.trim("row_label") != "") & ~F.lower("row_label").isin("nan", "null") & ~label.isin(_NOTES)
     )
