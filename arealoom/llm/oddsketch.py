@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,8 @@ SKETCH_WORDS = 8
 #: Standard deviations that the number of differing samples and, on top, the sketch of a true pair may
 #: show: six of both together.
 DEVIATIONS = 4
+#: Bytes of sets that meet in one task, on either side.
+PART_BYTES = 4 << 20
 _RNG = np.random.Generator(np.random.PCG64(71))
 _FACTORS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 1 << 15
@@ -137,9 +140,8 @@ def sketch_distance(a: Column, b: Column) -> Column:
     return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_WORDS)), F.lit(0))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
-    """The pairs (``a``, ``b``) whose full shingle sets reach the similarity in percent."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+def shingle_sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
+    """The full sorted shingle set (packed) of every document in ``wanted`` (``id``)."""
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,17 +153,18 @@ def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int,
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(bodies, pa.binary())], ["id", "shingles"])
 
     # rows that share an id are told apart by nothing here: a set of any of them may confirm
-    full = materialise(texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id bigint, shingles binary"), "sets")
+    return materialise(texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id bigint, shingles binary"), "sets")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) whose full shingle sets reach the similarity in percent."""
+    full = shingle_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs, doc_id, text, k)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = np.concatenate([x, y])
-                both.sort(kind="stable")
-                shared = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * shared >= percent * (len(both) - shared) > 0)
+                keep.append(_similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y)), percent))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     joined = (
@@ -172,6 +175,74 @@ def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int,
     return joined.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def meetings(members: DataFrame, percent: int) -> DataFrame:
+    """Links (``a``, ``b``) between members of one group (``g``) that are in different components.
+
+    ``members`` has ``g``, ``id``, ``root``, ``open``, ``sketch``, ``shingles`` and the group's numbers of parts
+    ``n_open`` and ``n_all``. Every open member meets every member: a task holds one part of the open ones
+    and one part of all, and gives back found links only. Pairs whose components it has joined
+    already, or whose sketches are too far apart, are not compared.
+    """
+    limit = sketch_limit(percent / 100)
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[int, int]] = []
+        if left.num_rows and right.num_rows:
+            x, y = (_unpacked(t) for t in (left, right))
+            joined: dict[int, int] = {}
+
+            def find(root: int) -> int:
+                while root in joined:
+                    root = joined[root]
+                return root
+
+            for i in range(left.num_rows):
+                far = np.bitwise_count(x.sketches[i] ^ y.sketches).sum(axis=1)
+                for j in np.flatnonzero((far <= limit) & (y.roots != x.roots[i]) & (~y.open | (y.ids > x.ids[i]))):
+                    p, q = find(int(x.roots[i])), find(int(y.roots[j]))
+                    if p != q and _similar(x.sets[i], y.sets[j], percent):
+                        found.append((int(x.ids[i]), int(y.ids[j])))
+                        joined[p] = q
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    part = F.xxhash64("id")
+    columns = ["g", "id", "root", "open", "sketch", "shingles"]
+    asks = members.filter("open").select(*columns, F.pmod(part, "n_open").alias("x"), F.explode(F.expr("sequence(0L, n_all - 1)")).alias("y"))
+    # the aliases keep the columns of both sides apart
+    answers = members.select(*[F.col(c).alias(c) for c in columns], F.explode(F.expr("sequence(0L, n_open - 1)")).alias("x"), F.pmod(part, "n_all").alias("y"))
+    key = ["g", "x", "y"]
+    return asks.groupBy(*key).cogroup(answers.groupBy(*key)).applyInArrow(compare, "a bigint, b bigint")
+
+
+class _Members(NamedTuple):
+    ids: np.ndarray
+    roots: np.ndarray
+    open: np.ndarray
+    sketches: np.ndarray
+    sets: list[np.ndarray]
+
+
+def _unpacked(rows: pa.Table) -> _Members:
+    sketches = rows.column("sketch").combine_chunks()
+    return _Members(
+        rows.column("id").to_numpy(),
+        rows.column("root").to_numpy(),
+        rows.column("open").to_numpy(),
+        sketches.flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, SKETCH_WORDS),
+        [np.frombuffer(b, np.uint64) for b in rows.column("shingles").to_pylist()],
+    )
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
+        return False
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= percent * (len(both) - shared) > 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id`` and the smallest id reachable for every end of a link (``a``, ``b``).
 
@@ -204,9 +275,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ``component_id`` (the smallest id reachable, itself included) and ``kept``.
 
     Documents with equal sets are one class from the start, and only the smallest id of a class is
-    compared. A bucket of a band gives no pairs of all its members: each is compared with one leader,
-    and only members outside the leader's component with members of other components. No partner is
-    dropped: what the sketch lets through is confirmed on full sets.
+    compared. A bucket of a band gives no pairs of all its members: each is compared with one leader.
+    Only members outside the leader's component then meet all others there, part by part, and only
+    links come out. No partner is dropped: what the sketch lets through is confirmed on full sets.
 
     Null and empty texts have an empty set, are linked with nothing and kept. A null id takes no part:
     its ``component_id`` is null and ``kept`` is true. Rows that share an id are one node: their links
@@ -240,23 +311,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = materialise(pairs, "star-pairs")
     links = materialise(verified(pairs, docs, doc_id, text, k, percent), "star-links")
 
-    # members that are not yet with their leader, against all of the bucket
+    # members that are not yet with their leader, against all in the buckets of leaders in its component
     roots = components(links)
     rooted = _with_root(_with_root(members, "id", roots, "root"), "leader", roots, "head")
     rooted = materialise(rooted, "rooted")
-    open_ = rooted.filter("root <> head").select("band", "key", F.col("id").alias("a"), F.col("root").alias("root_a"))
-    busy = open_.select("band", "key").distinct()
-    open_ = open_.join(sketch.select(F.col("doc_id").alias("a"), F.col("sketch").alias("x")), "a")
-    whole = rooted.join(busy, ["band", "key"], "left_semi").select("band", "key", F.col("id").alias("b"), F.col("root").alias("root_b"))
-    whole = whole.join(sketch.select(F.col("doc_id").alias("b"), F.col("sketch").alias("y")), "b")
-    open_, whole = materialise(open_, "open"), materialise(whole, "whole")
-    rest = (
-        open_.join(whole, (open_.band == whole.band) & (open_.key == whole.key) & (F.col("root_a") != F.col("root_b")) & near)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+    busy = rooted.filter("root <> head").select("band", "key").distinct()
+    meet = rooted.join(busy, ["band", "key"], "left_semi").groupBy(F.col("head").alias("g"), "id", "root")
+    meet = materialise(meet.agg(F.max(F.col("root") != F.col("head")).alias("open")), "meet")
+    full = shingle_sets(meet.select("id").distinct(), docs, doc_id, text, k)
+    members = meet.join(sketch.withColumnRenamed("doc_id", "id"), "id").join(full, "id")
+    members = materialise(members.withColumn("size", F.octet_length("shingles") + 8 * SKETCH_WORDS), "meeting")
+    parts = members.groupBy("g").agg(
+        F.ceil(F.sum(F.when(F.col("open"), F.col("size"))) / PART_BYTES).alias("n_open"), F.ceil(F.sum("size") / PART_BYTES).alias("n_all")
     )
-    rest = materialise(rest.join(pairs, ["a", "b"], "left_anti"), "rest-pairs")
-    more = verified(rest, docs, doc_id, text, k, percent)
+    parts = materialise(parts.filter("n_open > 0"), "parts")
+    more = materialise(meetings(members.join(parts, "g"), percent), "more-links")
 
     every = components(links.union(more).union(same)).select(F.col("id").alias("doc_id"), F.col("root"))
     component = F.coalesce("root", "doc_id")
