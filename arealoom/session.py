@@ -62,6 +62,30 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that live as long as a ``with`` block: ``materialise`` for what only the block reads.
+
+    What a block gives back must not read them any more when it is evaluated."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def table(self, df: DataFrame, label: str = "stage") -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for path in self.paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def col_name(name: str) -> str:
     """Quote a column name so dots and spaces in source headers are taken literally."""
     return "`" + name.replace("`", "``") + "`"
