@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealoom.llm.words import LOWER, WHITE_SPACE, find_words, mix, slices, window_hashes
-from arealoom.session import materialise
+from arealoom.session import Scratch, materialise
 
 #: Samples; bands of rows use all of them. A pair of similarity 0.8 shares no band with probability
 #: (1 - 0.8**4)**32, about 5e-8.
@@ -140,7 +140,7 @@ def sketch_distance(a: Column, b: Column) -> Column:
     return sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(SKETCH_WORDS)), F.lit(0))
 
 
-def shingle_sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
+def shingle_sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, scratch: Scratch) -> DataFrame:
     """The full sorted shingle set (packed) of every document in ``wanted`` (``id``)."""
     texts = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
 
@@ -153,12 +153,12 @@ def shingle_sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str, k:
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), pa.array(bodies, pa.binary())], ["id", "shingles"])
 
     # rows that share an id are told apart by nothing here: a set of any of them may confirm
-    return materialise(texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id bigint, shingles binary"), "sets")
+    return scratch.table(texts.join(wanted, "id", "left_semi").mapInArrow(sets, "id bigint, shingles binary"), "sets")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, percent: int, scratch: Scratch) -> DataFrame:
     """The pairs (``a``, ``b``) whose full shingle sets reach the similarity in percent."""
-    full = shingle_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs, doc_id, text, k)
+    full = shingle_sets(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), docs, doc_id, text, k, scratch)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,22 +243,22 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * shared >= percent * (len(both) - shared) > 0
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """``id`` and the smallest id reachable for every end of a link (``a``, ``b``).
 
     Rounds of large and small stars: neighbours move to the smallest one around, until every node
     hangs on the smallest of its component. Each round's links are written to the shared folder.
     """
-    edges = materialise(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "links")
+    edges = scratch.table(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "links")
     seen = None
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialise(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
+        low = scratch.table(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
-        large = materialise(large, "large")
-        least = materialise(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        large = scratch.table(large, "large")
+        least = scratch.table(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
-        edges = materialise(small.filter("u > v").distinct(), "small")
+        edges = scratch.table(small.filter("u > v").distinct(), "small")
         state = edges.agg(F.count("*"), F.sum("v"), F.sum(F.hash("u", "v").cast("long"))).first()
         if state == seen:
             break
@@ -285,18 +285,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     whatever their names, are not read.
     """
     signed = materialise(signatures(docs, doc_id, text, k), "signatures")
+    with Scratch(docs.sparkSession) as scratch:
+        every = materialise(_components_of(signed, docs, doc_id, text, k, percent, scratch), "components")
+    component = F.coalesce("root", "doc_id")
+    return (
+        signed.select("doc_id", "n_shingles")
+        .join(every, "doc_id", "left")
+        .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+    )
+
+
+def _components_of(signed: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int, percent: int, scratch: Scratch) -> DataFrame:
+    """``doc_id`` and ``root`` of every document that has a link."""
     nodes = signed.filter("doc_id IS NOT NULL AND set_a IS NOT NULL")
-    classes = materialise(nodes.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
+    classes = scratch.table(nodes.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
     same = nodes.join(classes.filter("n > 1"), ["set_a", "set_b"]).filter("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    same = materialise(same, "same")
+    same = scratch.table(same, "same")
 
     # one row per class and band, for buckets of two classes at least
     reps = nodes.join(classes.select(F.col("rep").alias("doc_id"), "set_a", "set_b"), ["doc_id", "set_a", "set_b"], "left_semi")
-    reps = materialise(reps.groupBy("doc_id", "set_a", "set_b").agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "reps")
+    reps = scratch.table(reps.groupBy("doc_id", "set_a", "set_b").agg(F.first("sketch").alias("sketch"), F.first("bands").alias("bands")), "reps")
     members = reps.select(F.col("doc_id").alias("id"), F.posexplode("bands").alias("band", "key"))
     buckets = members.groupBy("band", "key").agg(F.min("id").alias("leader"), F.max("id").alias("last")).filter("leader < last")
-    buckets = materialise(buckets.select("band", "key", "leader"), "buckets")
-    members = materialise(members.join(buckets, ["band", "key"]).select("band", "key", "leader", "id"), "members")
+    buckets = scratch.table(buckets.select("band", "key", "leader"), "buckets")
+    members = scratch.table(members.join(buckets, ["band", "key"]).select("band", "key", "leader", "id"), "members")
 
     stars = members.groupBy("id").agg(F.min("leader").alias("leader")).filter("leader < id")
     sketch = reps.select("doc_id", "sketch")
@@ -308,32 +320,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .filter(near)
         .select(F.col("leader").alias("a"), F.col("id").alias("b"))
     )
-    pairs = materialise(pairs, "star-pairs")
-    links = materialise(verified(pairs, docs, doc_id, text, k, percent), "star-links")
+    pairs = scratch.table(pairs, "star-pairs")
+    links = scratch.table(verified(pairs, docs, doc_id, text, k, percent, scratch), "star-links")
 
     # members that are not yet with their leader, against all in the buckets of leaders in its component
-    roots = components(links)
+    roots = components(links, scratch)
     rooted = _with_root(_with_root(members, "id", roots, "root"), "leader", roots, "head")
-    rooted = materialise(rooted, "rooted")
+    rooted = scratch.table(rooted, "rooted")
     busy = rooted.filter("root <> head").select("band", "key").distinct()
     meet = rooted.join(busy, ["band", "key"], "left_semi").groupBy(F.col("head").alias("g"), "id", "root")
-    meet = materialise(meet.agg(F.max(F.col("root") != F.col("head")).alias("open")), "meet")
-    full = shingle_sets(meet.select("id").distinct(), docs, doc_id, text, k)
+    meet = scratch.table(meet.agg(F.max(F.col("root") != F.col("head")).alias("open")), "meet")
+    full = shingle_sets(meet.select("id").distinct(), docs, doc_id, text, k, scratch)
     members = meet.join(sketch.withColumnRenamed("doc_id", "id"), "id").join(full, "id")
-    members = materialise(members.withColumn("size", F.octet_length("shingles") + 8 * SKETCH_WORDS), "meeting")
+    members = scratch.table(members.withColumn("size", F.octet_length("shingles") + 8 * SKETCH_WORDS), "meeting")
     parts = members.groupBy("g").agg(
         F.ceil(F.sum(F.when(F.col("open"), F.col("size"))) / PART_BYTES).alias("n_open"), F.ceil(F.sum("size") / PART_BYTES).alias("n_all")
     )
-    parts = materialise(parts.filter("n_open > 0"), "parts")
-    more = materialise(meetings(members.join(parts, "g"), percent), "more-links")
+    parts = scratch.table(parts.filter("n_open > 0"), "parts")
+    more = scratch.table(meetings(members.join(parts, "g"), percent), "more-links")
 
-    every = components(links.union(more).union(same)).select(F.col("id").alias("doc_id"), F.col("root"))
-    component = F.coalesce("root", "doc_id")
-    return (
-        signed.select("doc_id", "n_shingles")
-        .join(every, "doc_id", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
-    )
+    return components(links.union(more).union(same), scratch).select(F.col("id").alias("doc_id"), F.col("root"))
 
 
 def _with_root(rows: DataFrame, column: str, roots: DataFrame, name: str) -> DataFrame:
