@@ -29,10 +29,18 @@ def _codes(spark, sf):
 _SQL_CODES = "SELECT lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS order_code, o_orderpriority AS priority FROM orders"
 
 
-@check("src1_read_csv_text", _SQL_CODES)
+@check(
+    "src1_read_csv_text",
+    """SELECT lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS order_code, o_orderpriority || CASE WHEN o_orderkey % 5 = 0
+ THEN ' "a"' || chr(10) || 'b' ELSE '' END AS priority FROM orders""",
+)
 def read_csv_text(spark, sf):
+    """Every fifth cell holds a line break and quotes."""
     out = scratch_path(spark, "csv")
-    _codes(spark, sf).toDF("﻿order_code ", " priority").write.option("header", True).csv(out)
+    codes = _codes(spark, sf)
+    broken = F.when(F.col("order_code").cast("long") % 5 == 0, F.concat("priority", F.lit(' "a"\nb'))).otherwise(F.col("priority"))
+    named = codes.select("order_code", broken).toDF("﻿order_code ", " priority")
+    named.write.option("header", True).option("escape", '"').csv(out)
     return T.read_csv_text(spark, out)
 
 
@@ -41,23 +49,28 @@ def read_csv_text(spark, sf):
     "SELECT CAST(doc_id AS VARCHAR) AS doc_id, 'région – ' || source AS place FROM documents",
 )
 def read_csv_any_encoding(spark, sf):
-    """Even documents are written as UTF-8, odd ones as Windows-1252 (the dash is byte 96)."""
+    """Even documents are written as UTF-8, odd ones as Windows-1252 (the dash is byte 96), with the columns
+    the other way round."""
     out = scratch_path(spark, "encodings")
     docs = table(spark, sf, "documents")
     for i, (encoding, dash) in enumerate([("UTF-8", "–"), ("ISO-8859-1", "\x96")]):
         place = F.concat(F.lit(f"région {dash} "), "source").alias("place")
-        part = docs.filter(F.col("doc_id") % 2 == i).select("doc_id", place)
+        part = docs.filter(F.col("doc_id") % 2 == i).select(*(["doc_id", place] if i == 0 else [place, "doc_id"]))
         part.write.option("header", True).option("encoding", encoding).csv(f"{out}/{i}")
     return T.read_csv_any_encoding(spark, [f"{out}/0", f"{out}/1"])
 
 
-@check("src3_detect_delimiter", _SQL_CODES)
+@check(
+    "src3_detect_delimiter",
+    """SELECT lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS order_code, o_orderpriority || ',,;;||' AS priority FROM orders""",
+)
 def detect_delimiter(spark, sf):
+    """Each delimiter also stands inside quotes, more often than outside."""
     out = scratch_path(spark, "delimiters")
-    codes = _codes(spark, sf)
+    codes = _codes(spark, sf).withColumn("priority", F.concat("priority", F.lit(",,;;||")))
     for i, sep in enumerate(T.DELIMITERS):
-        part = codes.filter(F.col("order_code").cast("long") % 4 == i)
-        part.write.option("header", True).option("sep", sep).csv(f"{out}/{i}")
+        part = codes.filter(F.col("order_code").cast("long") % 4 == i).select(*(codes.columns if i % 2 else codes.columns[::-1]))
+        part.write.option("header", True).option("sep", sep).option("quoteAll", True).csv(f"{out}/{i}")
     return T.read_csv_sniffed(spark, [f"{out}/{i}" for i in range(4)])
 
 

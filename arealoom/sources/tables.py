@@ -8,15 +8,23 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealoom.operators.catalog import clean_header
 from arealoom.session import col_name
 
 
-def read_csv_text(spark: SparkSession, path, sep: str = ",", encoding: str = "UTF-8") -> DataFrame:
-    """Every column as text, so leading zeros survive; headers without BOM or stray whitespace."""
+def read_csv_text(
+    spark: SparkSession, path, sep: str = ",", encoding: str = "UTF-8", multi_line: bool | None = None
+) -> DataFrame:
+    """Every column as text, so leading zeros survive; headers without BOM or stray whitespace.
+
+    A quoted cell may hold line breaks: ``multi_line`` reads each file as a whole then. Unless given it is
+    decided by one aggregate over the lines: only where some line has an odd number of quotes."""
+    if multi_line is None:
+        lines = spark.read.text(path)
+        multi_line = bool(lines.agg(F.bool_or(_open_quote(F.col("value"))).alias("m")).first()["m"])
     df = (
         spark.read.option("header", True)
         .option("inferSchema", False)
@@ -24,31 +32,65 @@ def read_csv_text(spark: SparkSession, path, sep: str = ",", encoding: str = "UT
         .option("encoding", encoding)
         .option("quote", '"')
         .option("escape", '"')
+        .option("multiLine", multi_line)
         .csv(path)
     )
     return df.toDF(*[clean_header(c) for c in df.columns])
 
 
-def file_encodings(spark: SparkSession, path) -> DataFrame:
-    """Encoding of each file: UTF-8, else Windows-1252, else Latin-1 where a byte is undefined in
-    Windows-1252. Files are scanned as split text, never as one value."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+def _open_quote(line: Column) -> Column:
+    """Whether a quote that opens on a line is not closed on it."""
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+# Delimiters tried, in order of preference.
+DELIMITERS = [",", "\t", ";", "|"]
+
+
+def file_layouts(spark: SparkSession, path) -> DataFrame:
+    """How each file is to be read, from one pass over split text: ``encoding`` (UTF-8, else Windows-1252,
+    else Latin-1 where a byte is undefined in Windows-1252), ``delimiter`` (outside quotes on most lines,
+    then the most frequent one), ``multi_line`` (a quoted cell goes over a line end), ``header_id`` (a
+    hash of the first line) and ``lines`` that are not empty. No file is ever one value."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("position"),
+        "value",
+    )
     valid = F.is_valid_utf8("value")
     undefined = F.hex(F.col("value").cast("binary")).rlike("^(..)*(81|8D|8F|90|9D)")
-    return (
-        lines.groupBy("path")
-        .agg(
-            F.bool_and(valid).alias("utf8"),
-            F.coalesce(F.bool_or(F.when(~valid, undefined)), F.lit(False)).alias("undefined"),
-        )
-        .select(
-            "path",
-            F.when(F.col("utf8"), "UTF-8")
-            .when(~F.col("undefined"), "windows-1252")
-            .otherwise("ISO-8859-1")
-            .alias("encoding"),
-        )
+    bare = F.regexp_replace("value", '"[^"]*("|$)', "")
+    counted = [F.length(bare) - F.length(F.replace(bare, F.lit(d), F.lit(""))) for d in DELIMITERS]
+    facts = lines.groupBy("path").agg(
+        F.bool_and(valid).alias("utf8"),
+        F.coalesce(F.bool_or(F.when(~valid, undefined)), F.lit(False)).alias("undefined"),
+        F.bool_or(_open_quote(F.col("value"))).alias("multi_line"),
+        F.min_by(F.sha2(F.col("value").cast("binary"), 256), F.struct("start", "position")).alias("header_id"),
+        F.count_if(F.col("value").cast("binary") != F.lit(b"")).alias("lines"),
+        *[F.count_if(n > 0).alias(f"l{i}") for i, n in enumerate(counted)],
+        *[F.sum(n).alias(f"n{i}") for i, n in enumerate(counted)],
     )
+    ranked = F.array(
+        *[
+            F.struct(F.col(f"l{i}").alias("l"), F.col(f"n{i}").alias("n"), F.lit(-i).alias("p"), F.lit(d).alias("d"))
+            for i, d in enumerate(DELIMITERS)
+        ]
+    )
+    encoding = F.when(F.col("utf8"), "UTF-8").when(~F.col("undefined"), "windows-1252").otherwise("ISO-8859-1")
+    return facts.select(
+        "path", encoding.alias("encoding"), F.array_max(ranked)["d"].alias("delimiter"), "multi_line", "header_id", "lines"
+    )
+
+
+def file_encodings(spark: SparkSession, path) -> DataFrame:
+    """Encoding of each file."""
+    return file_layouts(spark, path).select("path", "encoding")
+
+
+def detect_delimiter(spark: SparkSession, path) -> DataFrame:
+    """Delimiter of each file."""
+    return file_layouts(spark, path).select("path", "delimiter")
 
 
 # Windows-1252 is Latin-1 but for the bytes 80 to 9F, of which five are undefined.
@@ -63,55 +105,41 @@ def from_windows_1252(df: DataFrame) -> DataFrame:
     return fixed.toDF(*[c.translate(str.maketrans(_C1_FROM, _C1_TO)) for c in df.columns])
 
 
-def read_csv_any_encoding(spark: SparkSession, path, sep: str = ",") -> DataFrame:
-    """Read files of mixed encodings as one table. Only (path, encoding) pairs reach the driver,
-    which lists the files for any scan anyway."""
-    by_encoding: dict[str, list[str]] = {}
-    for row in file_encodings(spark, path).collect():
-        by_encoding.setdefault(row["encoding"], []).append(unquote(row["path"]))
+def read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str, multi_line: bool) -> DataFrame:
+    """Files of one layout and header as one table."""
+    windows = encoding == "windows-1252"
+    part = read_csv_text(spark, sorted(paths), sep, "ISO-8859-1" if windows else encoding, multi_line)
+    return from_windows_1252(part) if windows else part
+
+
+def layout_groups(layouts: DataFrame, sep: str | None = None) -> dict[tuple, list[str]]:
+    """Files that one scan can read: (delimiter, encoding, multi-line, header) -> paths. Of each file the
+    driver sees the path, which it lists for any scan anyway, and its layout; no data."""
+    groups: dict[tuple, list[str]] = {}
+    for row in layouts.select("path", "delimiter", "encoding", "multi_line", "header_id").collect():
+        key = (sep or row["delimiter"], row["encoding"], row["multi_line"], row["header_id"])
+        groups.setdefault(key, []).append(unquote(row["path"]))
+    return dict(sorted(groups.items()))
+
+
+def read_delimited(spark: SparkSession, path, sep: str | None = None) -> DataFrame:
+    """Read files of mixed encodings, delimiters and headers as one table: one scan for each layout and
+    header found, united by column name."""
     out = None
-    for encoding in sorted(by_encoding):
-        windows = encoding == "windows-1252"
-        charset = "ISO-8859-1" if windows else encoding
-        part = read_csv_text(spark, sorted(by_encoding[encoding]), sep, charset)
-        part = from_windows_1252(part) if windows else part
+    for (delimiter, encoding, multi_line, _), paths in layout_groups(file_layouts(spark, path), sep).items():
+        part = read_group(spark, paths, delimiter, encoding, multi_line)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-# Delimiters tried, in order of preference.
-DELIMITERS = [",", "\t", ";", "|"]
-
-
-def detect_delimiter(spark: SparkSession, path) -> DataFrame:
-    """Delimiter of each file: the one on most lines, then the most frequent one."""
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
-    counted = [
-        (F.length("value") - F.length(F.replace(F.col("value"), F.lit(d), F.lit("")))) for d in DELIMITERS
-    ]
-    per_file = lines.groupBy("path").agg(
-        *[F.count_if(n > 0).alias(f"l{i}") for i, n in enumerate(counted)],
-        *[F.sum(n).alias(f"n{i}") for i, n in enumerate(counted)],
-    )
-    ranked = F.array(
-        *[
-            F.struct(F.col(f"l{i}").alias("l"), F.col(f"n{i}").alias("n"), F.lit(-i).alias("p"), F.lit(d).alias("d"))
-            for i, d in enumerate(DELIMITERS)
-        ]
-    )
-    return per_file.select("path", F.array_max(ranked)["d"].alias("delimiter"))
+def read_csv_any_encoding(spark: SparkSession, path, sep: str = ",") -> DataFrame:
+    """Read files of mixed encodings as one table."""
+    return read_delimited(spark, path, sep)
 
 
 def read_csv_sniffed(spark: SparkSession, path) -> DataFrame:
-    """Read files of mixed delimiters as one table: one scan per delimiter found."""
-    by_delimiter: dict[str, list[str]] = {}
-    for row in detect_delimiter(spark, path).collect():
-        by_delimiter.setdefault(row["delimiter"], []).append(unquote(row["path"]))
-    out = None
-    for sep in sorted(by_delimiter):
-        part = read_csv_text(spark, sorted(by_delimiter[sep]), sep)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    """Read files of mixed delimiters as one table."""
+    return read_delimited(spark, path)
 
 
 def read_table(spark: SparkSession, base: str) -> DataFrame:
