@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,16 +61,16 @@ def row_sums(features: list[np.ndarray], first: np.ndarray, weights: np.ndarray)
     return out
 
 
-def sample_bags(labelled: DataFrame, key: str, text: str, label: str, make, per_label: int) -> list[tuple]:
+def sample_bags(labels: DataFrame, texts: DataFrame, key: str, label: str, text: str, make, per_label: int) -> list[tuple]:
     """(label, key, buckets, counts) of at most ``per_label`` rows of each label: those of the least key
-    hashes. Labels are few and given as one column; null keys, labels and texts are not used. Only
-    bags of at most ``BUCKETS`` entries of the chosen rows come to the driver."""
-    from pyspark.sql import Window
-
-    rows = labelled.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label"), F.col(f"`{text}`").alias("text"))
-    rows = rows.filter("key IS NOT NULL AND label IS NOT NULL AND text IS NOT NULL")
+    hashes, chosen from the labels alone before any text is read. Labels are few; null keys, labels
+    and texts are not used. Only bags of at most ``BUCKETS`` entries of the chosen rows come to the
+    driver."""
+    rated = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label")).filter("key IS NOT NULL AND label IS NOT NULL")
+    # ties of rows that share a key and label do not matter: they are one
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    chosen = rows.select("key", "label").withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_label).select("key", "label")
+    chosen = rated.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_label).select("key", "label").distinct()
+    rows = texts.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -81,7 +81,7 @@ def sample_bags(labelled: DataFrame, key: str, text: str, label: str, make, per_
                 yield pa.RecordBatch.from_arrays([*batch.slice(low, high - low).columns[:2], *columns], ["label", "key", "buckets", "counts"])
 
     # at most per_label rows of each of a few labels
-    sample = rows.join(F.broadcast(chosen), ["key", "label"]).dropDuplicates(["key", "label"]).select("label", F.col("key").cast("string").alias("key"), "text")
+    sample = rows.join(F.broadcast(chosen), "key").dropDuplicates(["key", "label"]).select("label", F.col("key").cast("string").alias("key"), "text")
     kind = sample.schema["label"].dataType.simpleString()
     found = sample.mapInArrow(run, f"label {kind}, key string, buckets binary, counts binary").collect()
     found.sort(key=lambda row: (str(row.label), row.key))

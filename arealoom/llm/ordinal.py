@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from arealoom.llm import hashed
 
 #: Rows of each grade that a model is fitted on.
-SAMPLE_PER_GRADE = 1200
+SAMPLE_PER_GRADE = 1000
 EPOCHS, RATE, SPARSITY, SCALE = 10, 0.3, 1e-5, 8.0
 #: Share of rows of the wanted grades that the chosen tail probability may leave out on held-out rows.
 LOST_SHARE = 0.001
@@ -85,11 +85,12 @@ def train(bags: list, grades: np.ndarray, levels: int, wanted: int) -> Model:
     return Model(weights, thresholds, wanted, cut)
 
 
-def fit(rated: DataFrame, levels: int, wanted: int, key: str = "doc_id", text: str = "text", grade: str = "grade") -> Model:
-    """Fit on integer grades, at most ``SAMPLE_PER_GRADE`` rows of each; texts of grade ``wanted`` or more
+def fit(rated: DataFrame, texts: DataFrame, levels: int, wanted: int, key: str = "doc_id", text: str = "text", grade: str = "grade") -> Model:
+    """Fit on the integer grades of ``rated``, at most ``SAMPLE_PER_GRADE`` rows of each; texts of grade ``wanted`` or more
     are to be selected. Null keys, texts and grades and grades out of range are not used."""
-    rows = rated.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("_text"), F.col(f"`{grade}`").cast("int").alias("_grade"))
-    found = hashed.sample_bags(rows.filter(F.col("_grade").between(0, levels - 1)), "_key", "_text", "_grade", hashed.styles, SAMPLE_PER_GRADE)
+    rows = rated.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{grade}`").cast("int").alias("_grade"))
+    rows = rows.filter(F.col("_grade").between(0, levels - 1))
+    found = hashed.sample_bags(rows, texts.withColumn("_key", F.col(f"`{key}`")), "_key", "_grade", text, hashed.styles, SAMPLE_PER_GRADE)
     rng = np.random.Generator(np.random.PCG64(9))
     found = [found[i] for i in rng.permutation(len(found))]
     return train([r[2:] for r in found], np.array([r[0] for r in found], int), levels, wanted)

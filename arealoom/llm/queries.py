@@ -213,7 +213,7 @@ def op1_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
     """Junk, then toxicity given junk, for every document; learnt from the labelled ones."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     labels = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
-    chain = toxicity.fit(docs.join(labels, "doc_id"), ["junk", "toxic"])
+    chain = toxicity.fit(labels, docs, ["junk", "toxic"])
     found = toxicity.predict(docs, chain)
     return found.select("doc_id", "p_junk", "is_junk", "p_toxic", "is_toxic")
 
@@ -223,6 +223,6 @@ def op8_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Grades: 0 of no quality, 1 toxic, 2 neither; texts of grade 2 are selected."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
-    rated = docs.join(table(spark, folder, "labels").select("doc_id", grade.alias("grade")), "doc_id")
-    model = ordinal.fit(rated, levels=3, wanted=2)
+    rated = table(spark, folder, "labels").select("doc_id", grade.alias("grade"))
+    model = ordinal.fit(rated, docs, levels=3, wanted=2)
     return ordinal.predict(docs, model).select("doc_id", "expected_grade", "p_wanted", "selected")

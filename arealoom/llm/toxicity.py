@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from arealoom.llm import hashed
 
 #: Rows of each combination of labels that a chain is fitted on, and folds.
-SAMPLE_PER_LABEL, FOLDS = 1500, 4
+SAMPLE_PER_LABEL, FOLDS = 1000, 4
 EPOCHS, RATE, SPARSITY = 12, 0.5, 2e-4
 #: A term counts in a model if it stands in so many rows and its shares with and without the category
 #: differ by so many standard deviations.
@@ -124,12 +124,12 @@ def _threshold(p: np.ndarray, y: np.ndarray) -> float:
     return float((p[order[best]] + after) / 2)
 
 
-def fit(labelled: DataFrame, categories: Sequence[str], key: str = "doc_id", text: str = "text") -> Chain:
-    """Fit a chain on 0/1 columns, in the order given, on at most ``SAMPLE_PER_LABEL`` rows of each
-    combination of labels. Rows with a null key, text or label are not used; without rows nothing is
-    ever predicted."""
+def fit(labels: DataFrame, texts: DataFrame, categories: Sequence[str], key: str = "doc_id", text: str = "text") -> Chain:
+    """Fit a chain on the 0/1 columns ``categories`` of ``labels``, in the order given, on at most
+    ``SAMPLE_PER_LABEL`` rows of each combination of labels. Rows with a null key, text or label are not
+    used; without rows nothing is ever predicted."""
     mixed = F.concat(*[F.col(f"`{c}`").cast("int").cast("string") for c in categories])
-    rows = hashed.sample_bags(labelled.select(F.col(f"`{key}`"), F.col(f"`{text}`"), mixed.alias("_mixed")), key, text, "_mixed", marks, SAMPLE_PER_LABEL)
+    rows = hashed.sample_bags(labels.select(F.col(f"`{key}`").alias("_key"), mixed.alias("_mixed")), texts.withColumn("_key", F.col(f"`{key}`")), "_key", "_mixed", text, marks, SAMPLE_PER_LABEL)
     rng = np.random.Generator(np.random.PCG64(3))
     rows = [rows[i] for i in rng.permutation(len(rows))]
     labels = np.array([[c == "1" for c in r[0]] for r in rows], float).reshape(len(rows), len(categories))

@@ -104,7 +104,7 @@ def test_toxicity_on_held_out_labels(spark):
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
     rows = spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id").select("doc_id", "text", "junk", "toxic")
-    chain = toxicity.fit(rows.filter("doc_id % 3 <> 0"), ["junk", "toxic"])
+    chain = toxicity.fit(rows.filter("doc_id % 3 <> 0").select("doc_id", "junk", "toxic"), rows.select("doc_id", "text"), ["junk", "toxic"])
     got = toxicity.predict(rows.filter("doc_id % 3 = 0"), chain)
     clean = got.filter("toxic = 0")
     assert clean.filter("is_toxic").count() <= 0.05 * clean.count()
@@ -125,14 +125,15 @@ def test_a_later_model_uses_the_earlier_category():
 def test_classifier_edges(spark, sf, edge_docs, edge_rows, no_docs):
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     rows = spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id")
-    chain = toxicity.fit(rows, ["toxic"])
+    chain = toxicity.fit(rows.select("doc_id", "toxic"), rows.select("doc_id", "text"), ["toxic"])
     got = toxicity.predict(edge_docs, chain).collect()
     assert len(got) == len(edge_rows)
     assert all(r.p_toxic == 0 and not r.is_toxic for r in got if not (r.text or "").strip())
-    nothing = toxicity.fit(rows.filter("doc_id < 0"), ["toxic"])
+    nothing = toxicity.fit(rows.filter("doc_id < 0").select("doc_id", "toxic"), rows.select("doc_id", "text"), ["toxic"])
     assert toxicity.predict(edge_docs, nothing).filter("is_toxic").count() == 0
     assert toxicity.predict(no_docs, chain).count() == 0
-    model = ordinal.fit(rows.withColumn("grade", F.when(F.col("quality") == 0, 0).otherwise(2 - F.col("toxic"))), 3, 2)
+    graded = rows.select("doc_id", F.when(F.col("quality") == 0, 0).otherwise(2 - F.col("toxic")).alias("grade"))
+    model = ordinal.fit(graded, rows.select("doc_id", "text"), 3, 2)
     assert (np.diff(model.thresholds) > 0).all()
     found = ordinal.predict(edge_docs, model).collect()
     assert all((r.expected_grade, r.p_wanted, r.selected) == (0, 0, False) for r in found if not (r.text or "").strip())
@@ -145,7 +146,7 @@ def test_grades_of_held_out_documents(spark):
     grade = F.when(F.col("quality") == 0, 0).otherwise(2 - F.col("toxic"))
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", grade.alias("grade"))
     rows = spark.read.parquet(f"{sf}/documents.parquet").join(labels, "doc_id").select("doc_id", "text", "grade")
-    got = ordinal.predict(rows.filter("doc_id % 3 = 0"), ordinal.fit(rows.filter("doc_id % 3 <> 0"), 3, 2))
+    got = ordinal.predict(rows.filter("doc_id % 3 = 0"), ordinal.fit(rows.filter("doc_id % 3 <> 0").drop("text"), rows.drop("grade"), 3, 2))
     means = {r.grade: r.m for r in got.groupBy("grade").agg(F.avg("expected_grade").alias("m")).collect()}
     assert means[0] < 0.5 < means[2]
     good = got.filter("grade = 2")
