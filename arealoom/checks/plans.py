@@ -333,8 +333,8 @@ def extract_indicators(spark, sf):
 @check(
     "pip13_stage_native",
     """SELECT 'spine' AS family, 'sa2' AS native_geography, 'staged' AS status, count(*) AS rows, 2 AS columns_max FROM customer
- UNION ALL SELECT 'profiles', 'sa3', 'staged', count(*), 2 FROM customer UNION ALL SELECT 'other', 'unknown', 'staged', count(*), 2
- FROM events""",
+ UNION ALL SELECT 'profiles', 'sa3', 'staged', count(*), 2 FROM customer UNION ALL SELECT 'profiles', 'sa2', 'staged', count(*), 2
+ FROM customer UNION ALL SELECT 'other', 'unknown', 'staged', count(*), 2 FROM events""",
 )
 def stage_native(spark, sf):
     out = scratch_path(spark, "stage")
@@ -344,6 +344,10 @@ def stage_native(spark, sf):
     customers.select(
         F.lpad((F.col("c_nationkey") + 10000).cast("string"), 5, "0").alias("region"), "c_acctbal"
     ).write.option("header", True).csv(f"{out}/raw/profiles")
+    # the same header with codes of another level, in Windows-1252 and with another delimiter
+    customers.select(_area("c_custkey").alias("region"), F.concat("c_name", F.lit(" \x96 é")).alias("c_acctbal")).write.option(
+        "header", True
+    ).option("encoding", "ISO-8859-1").option("sep", ";").csv(f"{out}/raw/profiles/fine")
     table(spark, sf, "events").select("event_type", "value").write.option("header", True).csv(f"{out}/raw/other")
     table(spark, sf, "nation").select("n_name").write.text(f"{out}/raw/readme")
     families = [("spine", "/raw/spine/"), ("profiles", "/raw/profiles/"), ("other", "/raw/other/")]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from urllib.parse import unquote
 
@@ -11,24 +12,14 @@ from pyspark.sql import functions as F
 from arealoom.functions import vocab
 from arealoom.functions.labels import classify
 from arealoom.operators.aggregates import summarise_status
-from arealoom.operators.catalog import clean_header, unique_names
+from arealoom.operators.catalog import unique_names
 from arealoom.operators.inventory import apply_hold_rules
+from arealoom.operators.joins import spread_join
 from arealoom.operators.profiling import geography_from_values
+from arealoom.session import col_name, materialise, scratch_path
 from arealoom.sources.files import file_inventory, unpack_members, zip_members
 from arealoom.sources.sinks import write_by_geography
-from arealoom.sources.tables import read_csv_text
-from arealoom.session import scratch_path
-
-
-def first_lines(spark: SparkSession, paths) -> DataFrame:
-    """First line of every file: only the first block of each file is looked at."""
-    lines = spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("start"),
-        "value",
-        F.monotonically_increasing_id().alias("position"),
-    )
-    return lines.filter("start = 0").groupBy("path").agg(F.min_by("value", "position").alias("header"))
+from arealoom.sources.tables import file_layouts, layout_groups, read_group
 
 
 def geography_of(columns: list[str]) -> str:
@@ -39,21 +30,33 @@ def geography_of(columns: list[str]) -> str:
     return "unknown"
 
 
+#: Statuses of archive members that are not staged.
+MEMBER_STATUSES = [("held", "held_member_not_decoded"), ("not_tabular", "held_member_not_tabular"), ("failed", "held_unreadable_archive")]
+
+
 def stage_native(
     spark: SparkSession, root: str, target: str, families: list[tuple[str, str]]
 ) -> DataFrame:
     """Stage every readable table below a folder by its native geography; returns the audit.
 
-    CSV members of zip archives are unpacked to the shared scratch folder and staged alike. Files
-    with the same header are one scan and one write, so the driver loops over distinct headers, not
-    files. Geography comes from the headers, else from the values."""
+    The audit has one row for every file and every archive member, whatever became of it: staged,
+    held by a rule, a workbook, an empty table, or an unreadable archive (files of no byte at all are not
+    listed by Spark's file sources). Delimited members of zip
+    archives are unpacked to the shared scratch folder and staged alike. Encoding, delimiter and header
+    of all files come from one pass; files that agree in them are one scan and one write, so the
+    driver loops over distinct layouts, not files. The level comes from the headers, else from the
+    values of each file. A second run overwrites the tables of the first."""
     inventory = apply_hold_rules(
         file_inventory(spark, root).withColumn("family", classify(F.lower("path"), families, "unknown"))
     )
-    held = inventory.filter("stage_status <> 'process'").select(
-        "family", "path", F.lit("").alias("native_geography"), F.col("stage_status").alias("status"),
-        F.lit(0).cast("long").alias("rows"), F.lit(0).alias("columns"),
+    workbook = (F.col("stage_status") == "process") & ~F.col("file_extension").isin(".csv", ".zip")
+    inventory = inventory.withColumns(
+        {
+            "stage_reason": F.when(workbook, "workbook, not decoded").otherwise(F.col("stage_reason")),
+            "stage_status": F.when(workbook, "held_workbook").otherwise(F.col("stage_status")),
+        }
     )
+    audit = _held(inventory.filter("stage_status <> 'process'"), "path", F.col("stage_status"), F.col("stage_reason"), families)
     todo = inventory.filter("stage_status = 'process'").select("path", "file_extension").collect()
     paths = [unquote(r["path"]) for r in todo if r["file_extension"] == ".csv"]
     archives = [unquote(r["path"]) for r in todo if r["file_extension"] == ".zip"]
@@ -61,56 +64,73 @@ def stage_native(
     if archives:
         unpacked = scratch_path(spark, "members")
         members = unpack_members(zip_members(spark.read.format("binaryFile").load(archives)), unpacked)
+        reason = F.coalesce(*[F.when(F.startswith("member_status", F.lit(s)), F.lit(name)) for s, name in MEMBER_STATUSES])
+        rest = members.filter("member_status <> 'extracted'")
+        audit = audit.unionByName(_held(rest, "member_source", reason, F.col("member_status"), families))
         found = file_inventory(spark, f"{unpacked}/data", exclude_dirs=[]).select("path")
         paths += [unquote(r["path"]) for r in found.collect()]
     if not paths:
-        return held
-    groups: dict[str, list[str]] = {}
-    for row in first_lines(spark, paths).collect():
-        groups.setdefault(clean_header(row["header"]), []).append(unquote(row["path"]))
-    staged = None
-    for header in sorted(groups):
-        raw = read_csv_text(spark, sorted(groups[header]))
-        names = unique_names(raw.columns)
-        level = geography_of(names)
-        table = raw.toDF(*names)
-        if level == "unknown":
-            level = geography_from_values(table).first()["native_geography"]
-        placed = raw.select("*", F.col("_metadata.file_path").alias("source_path")).toDF(*names, "source_path")
-        tagged = _with_member_source(placed, members).select(
-            classify(F.lower("source_path"), families, "unknown").alias("source_family"),
-            "source_path", *names, F.lit(level).alias("native_geography"),
-        ).dropna("all", subset=names)
-        out = f"{target}/schema={abs(hash_name(header))}"
-        write_by_geography(tagged, out)
-        counted = (
-            spark.read.parquet(out).groupBy("source_family", "source_path").agg(F.count("*").alias("rows"))
-            .select(
-                F.col("source_family").alias("family"), F.col("source_path").alias("path"),
-                F.lit(level).alias("native_geography"), F.lit("staged").alias("status"),
-                "rows", F.lit(len(names)).alias("columns"),
-            )
+        return audit
+    layouts = materialise(file_layouts(spark, paths), "layouts")
+    empty = layouts.filter("lines < 2").select(F.col("path").alias("source_path"))
+    audit = audit.unionByName(
+        _held(_with_member_source(empty, members), "source_path", F.lit("held_empty_table"), F.lit("no row below the header"), families)
+    )
+    for key, group in layout_groups(layouts.filter("lines > 1")).items():
+        audit = audit.unionByName(_stage_group(spark, key, group, members, target, families))
+    return audit
+
+
+def _held(rows: DataFrame, path: str, status, reason, families) -> DataFrame:
+    return rows.select(
+        classify(F.lower(path), families, "unknown").alias("family"), F.col(path).alias("path"),
+        F.lit("").alias("native_geography"), status.alias("status"), F.lit(0).cast("long").alias("rows"),
+        F.lit(0).alias("columns"), reason.alias("reason"),
+    )
+
+
+def _stage_group(spark, key: tuple, paths: list[str], members, target: str, families) -> DataFrame:
+    """Write the files of one layout and header, one folder for each level; audit rows by file."""
+    separator, encoding, multi_line, _ = key
+    raw = read_group(spark, paths, separator, encoding, multi_line)
+    names = unique_names(raw.columns)
+    cells = [F.nullif(F.trim(F.col(col_name(c))), F.lit("")).alias(n) for c, n in zip(raw.columns, names)]
+    placed = raw.select(*cells, F.col("_metadata.file_path").alias("source_path")).dropna("all", subset=names)
+    level = geography_of(names)
+    if level == "unknown":
+        levels = geography_from_values(placed, names, by="source_path").select("source_path", "native_geography")
+        leveled = spread_join(placed, levels, [(F.col("source_path"), "source_path")])
+        leveled = leveled.withColumn("native_geography", F.coalesce("native_geography", F.lit("unknown")))
+    else:
+        leveled = placed.withColumn("native_geography", F.lit(level))
+    tagged = _with_member_source(leveled, members).select(
+        classify(F.lower("source_path"), families, "unknown").alias("source_family"), "source_path", *names, "native_geography"
+    )
+    digest = hashlib.sha256(repr((key, names)).encode()).hexdigest()
+    out = f"{target}/layout={digest}"
+    write_by_geography(tagged, out)
+    return (
+        spark.read.schema(tagged.schema).parquet(out)
+        .groupBy("source_family", "source_path", "native_geography")
+        .agg(F.count("*").alias("rows"))
+        .select(
+            F.col("source_family").alias("family"), F.col("source_path").alias("path"),
+            F.when(F.col("native_geography") == "unknown_review", "unknown").otherwise(F.col("native_geography")).alias("native_geography"),
+            F.lit("staged").alias("status"), "rows", F.lit(len(names)).alias("columns"), F.lit("").alias("reason"),
         )
-        staged = counted if staged is None else staged.unionByName(counted)
-    return staged.unionByName(held)
+    )
 
 
 def _with_member_source(df: DataFrame, members: DataFrame | None) -> DataFrame:
     """Name unpacked members by their archive and member; other paths stay."""
     if members is None:
         return df
+    index = members.filter("member_status = 'extracted'").select("member_id", "member_source")
     member = F.regexp_extract("source_path", "/member_id=([^/]+)/", 1)
-    return df.join(members, member == F.col("member_id"), "left").withColumn(
+    return df.join(index, member == F.col("member_id"), "left").withColumn(
         "source_path", F.coalesce("member_source", "source_path")
     ).drop("member_id", "member_source")
 
 
-def hash_name(text: str) -> int:
-    """Stable folder number of a header."""
-    import zlib
-
-    return zlib.crc32(text.encode("utf-8"))
-
-
 def staging_summary(audit: DataFrame) -> DataFrame:
     return summarise_status(audit, ["family", "native_geography", "status"], "path", "rows", "columns")

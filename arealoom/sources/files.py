@@ -153,16 +153,17 @@ def member_lines(members: DataFrame) -> DataFrame:
 
 
 def unpack_members(members: DataFrame, target: str) -> DataFrame:
-    """Write each extracted CSV member as one file below ``target/data``, in a folder named by a
-    hash of its source. Returns the index (member_id, member_source)."""
-    source = F.concat_ws("!", "path", "member")
-    tables = members.filter("member_status = 'extracted' and member_extension = '.csv'").select(
-        F.col("text").alias("value"), source.alias("member_source"), F.sha2(source, 256).alias("member_id")
+    """Write each extracted member as one file below ``target/data``, in a folder named by a hash of its
+    source. Returns the index of all members (member_id, member_source, member_status)."""
+    source = F.concat_ws("!", "path", F.nullif("member", F.lit("")))
+    named = members.select(
+        F.col("text").alias("value"), source.alias("member_source"), F.sha2(source, 256).alias("member_id"), "member_status"
     )
-    tables.write.parquet(f"{target}/members")
-    stored = members.sparkSession.read.parquet(f"{target}/members")
-    stored.select("value", "member_id").write.partitionBy("member_id").text(f"{target}/data")
-    return stored.select("member_id", "member_source")
+    named.write.parquet(f"{target}/members")
+    stored = members.sparkSession.read.schema(named.schema).parquet(f"{target}/members")
+    tables = stored.filter("member_status = 'extracted'").select("value", "member_id")
+    tables.write.partitionBy("member_id").text(f"{target}/data")
+    return stored.select("member_id", "member_source", "member_status")
 
 
 def freeze(inventory: DataFrame, register: DataFrame, by: str) -> DataFrame:

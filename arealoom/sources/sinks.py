@@ -20,9 +20,9 @@ def write_pair(df: DataFrame, base: str, mode: str = "errorifexists") -> DataFra
 
 
 def write_by_geography(
-    df: DataFrame, base: str, geography: str = "native_geography", mode: str = "append"
+    df: DataFrame, base: str, geography: str = "native_geography", mode: str = "overwrite"
 ) -> None:
-    """One folder per geography; an unknown one goes to review.
+    """One folder per geography; an unknown one goes to review. A second run replaces the first.
 
     Rows keep the partitioning they come with, so a geography that holds most of the rows is
     written by all tasks."""

@@ -57,17 +57,29 @@ def test_staging_reads_into_archives(spark, tmp_path):
         z.writestr("2021/a.csv", "SA3 Code 2021,n\r\n10102,5\r\n10103,6\r\n")
         z.writestr("2022/a.csv", "SA3 Code 2021,n\r\n10102,7\r\n")
         z.writestr("notes.pdf", "..")
+        z.writestr("sheet.xlsx", "..")
     (raw / "b 1+.csv").write_text("x,y\n,\n1,é\n")
     (raw / "c.pdf").write_text("..")
+    (raw / "bad.zip").write_text("..")
+    (raw / "book.xlsx").write_text("..")
+    (raw / "empty.csv").write_text("x,y\n")
+    (raw / "nine.csv").write_text("region,n\n" + "".join(f"1{i:08d},{i}.5\n" for i in range(9)))
+    (raw / "five.csv").write_text("region,n\n" + "".join(f"1{i:04d},{i}.5\n" for i in range(9)))
+    (raw / "cp.csv").write_bytes("name;n\nCafé – x;1\n\"a;b\nc\";2\n".encode("cp1252"))
     out = str(tmp_path / "native")
-    audit = stage_native(spark, str(tmp_path / "raw"), out, [("profiles", "/profiles/")])
-    got = sorted((r.path.split("/profiles/")[1], r.native_geography, r.status, r.rows) for r in audit.collect())
-    assert got == [
-        ("all.zip!2021/a.csv", "sa3", "staged", 2), ("all.zip!2022/a.csv", "sa3", "staged", 1),
-        ("b%201+.csv", "unknown", "staged", 1), ("c.pdf", "", "held_report_context", 0),
-    ]
+    for _ in range(2):
+        audit = stage_native(spark, str(tmp_path / "raw"), out, [("profiles", "/profiles/")])
+        got = sorted((r.path.split("/profiles/")[1], r.native_geography, r.status, r.rows) for r in audit.collect())
+        assert got == [
+            ("all.zip!2021/a.csv", "sa3", "staged", 2), ("all.zip!2022/a.csv", "sa3", "staged", 1),
+            ("all.zip!notes.pdf", "", "held_member_not_tabular", 0), ("all.zip!sheet.xlsx", "", "held_member_not_decoded", 0),
+            ("b%201+.csv", "unknown", "staged", 1), ("bad.zip", "", "held_unreadable_archive", 0), ("book.xlsx", "", "held_workbook", 0),
+            ("c.pdf", "", "held_report_context", 0), ("cp.csv", "unknown", "staged", 2), ("empty.csv", "", "held_empty_table", 0),
+            ("five.csv", "sa3", "staged", 9), ("nine.csv", "sa2", "staged", 9),
+        ]
     staged = spark.read.option("mergeSchema", True).parquet(out)
     assert {r.source_family for r in staged.select("source_family").collect()} == {"profiles"}
+    assert {r.name for r in staged.filter("name IS NOT NULL").select("name").collect()} == {"Café – x", "a;b\nc"}
 
 
 def test_headings_reset_and_tables_nest(spark):
