@@ -257,20 +257,28 @@ def melt(spark, sf):
  coalesce(min_by(CASE WHEN event_id % 5 = 0 THEN 'n.p.' ELSE 'ok' END, event_id)
  FILTER (event_type = 'click' AND k = '7'), '') AS clicks_7_publication_status,
  coalesce(min_by(props, event_id) FILTER (event_type = 'view'), '') AS views_source_value,
- 'not_found_in_extract' AS never_publication_status FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
+ 'not_found_in_extract' AS never_publication_status, coalesce(min_by(props, event_id) FILTER (event_type = 'view' AND
+ event_id % 2 = 0), '') AS views_2020, coalesce(min_by(props, event_id) FILTER (event_type = 'view' AND event_id % 2 = 1), '') AS
+ views_2021, 'not_found_in_extract' AS views_2022 FROM (SELECT *, json_extract_string(props, '$.k') AS k FROM events)
  GROUP BY 1""",
 )
 def select_measures(spark, sf):
     events = table(spark, sf, "events").select(
         "user_id", "event_id", "event_type", "value", "props", F.get_json_object("props", "$.k").alias("k"),
-        F.when(F.col("event_id") % 5 == 0, "n.p.").otherwise("ok").alias("status"),
+        F.when(F.col("event_id") % 5 == 0, "n.p.").otherwise("ok").alias("status"), (F.col("event_id") % 2 + 2020).alias("year"),
     )
     specs = {
         "clicks_7": {"event_type": "click", "k": "7"}, "views": {"event_type": "view"}, "never": {"event_type": "absent"},
     }
     out = R.select_measures(events, "user_id", specs, "value", "props", "status", F.col("event_id"))
-    return out.select(
-        "user_id", r(F.coalesce("clicks_7", F.lit(-1.0)), 2).alias("clicks_7"),
+    views = {"views": specs["views"]}
+    yearly = R.select_measures(events, "user_id", views, "value", "props", "status", F.col("event_id"), "year", [2020, 2021, 2022])
+    yearly = yearly.select(
+        "user_id", *[F.coalesce(f"views_{y}_source_value", F.lit("")).alias(f"views_{y}") for y in (2020, 2021)],
+        F.col("views_2022_publication_status").alias("views_2022"),
+    )
+    return out.join(yearly, "user_id").select(
+        "user_id", "views_2020", "views_2021", "views_2022", r(F.coalesce("clicks_7", F.lit(-1.0)), 2).alias("clicks_7"),
         F.coalesce("clicks_7_publication_status", F.lit("")).alias("clicks_7_publication_status"),
         F.coalesce("views_source_value", F.lit("")).alias("views_source_value"), "never_publication_status",
     )

@@ -133,7 +133,8 @@ def parse_period(c, month_day: str = "last") -> Column:
     Month labels give the month end, or day one with ``month_day="first"``.
     """
     # Digits split by spaces are one number only when there is nothing else.
-    solid = F.regexp_replace(_clean(c), r"(?<=^[0-9 ]{1,20}) +(?=[0-9 ]*$)", "")
+    text = _clean(c)
+    solid = F.when(text.rlike("^[0-9 ]+$"), F.replace(text, F.lit(" "), F.lit(""))).otherwise(text)
     return _resolve(solid, month_day)
 
 

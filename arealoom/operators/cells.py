@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from arealoom.functions import vocab
 from arealoom.functions.text import clean_text, slug, trim_all
 from arealoom.operators.audit import ContractError
-from arealoom.operators.windows import ffill
+from arealoom.operators.windows import ffill, top_n
 
 _SHEET = ["file", "sheet"]
 
@@ -50,7 +50,9 @@ def combine_headers(cells: DataFrame, header_rows: DataFrame, window: int = 5, s
         .join(last, _SHEET)
         .select(*_SHEET, "col_idx", F.explode(F.sequence(first, F.col("__last"))).alias("row_idx"))
     )
-    texts = cells.select(*_SHEET, "row_idx", "col_idx", clean_text("value").alias("value"))
+    # only the cells of the header rows are cleaned and dealt out
+    near = (F.col("row_idx") >= first) & (F.col("row_idx") <= F.col("__last"))
+    texts = cells.join(last, _SHEET).filter(near).select(*_SHEET, "row_idx", "col_idx", clean_text("value").alias("value"))
     full = grid.join(texts, [*_SHEET, "row_idx", "col_idx"], "left")
     # One row of a sheet has at most 16,384 columns in the formats that hold merged cells.
     filled = ffill(full, [*_SHEET, "row_idx"], "col_idx", ["value"], block=None)
@@ -91,9 +93,7 @@ def choose_table(candidates: DataFrame, group, score: str, order: list[str], min
     """Best candidate parse per group with at least ``min_score``; ``strict`` raises for a group
     without one."""
     groups = [group] if isinstance(group, str) else list(group)
-    rank = F.struct(-F.col(score), *[F.col(o) for o in order])
-    row = F.struct(*[F.col(c) for c in candidates.columns if c not in groups])
-    best = candidates.groupBy(*groups).agg(F.min_by(row, rank).alias("__b")).select(*groups, "__b.*")
+    best = top_n(candidates, groups, [F.col(score).desc_nulls_last(), *[F.col(o) for o in order]], 1)
     if strict:
         weak = best.filter(F.col(score).isNull() | (F.col(score) < min_score))
         if not weak.limit(1).isEmpty():

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from arealoom.functions.labels import score_terms
+from arealoom.operators.windows import top_n
 
 
 def rule_chain(rules: list[tuple[Column, str, str]], default: tuple[str, str]) -> dict[str, Column]:
@@ -87,12 +88,10 @@ def choose_source(
     """Best source per group by weighted terms in its text, when it scores enough."""
     groups = [group] if isinstance(group, str) else list(group)
     scored = inv.withColumn("score", score_terms(text, weights)).filter(F.col("score") >= min_score)
-    rest = [c for c in scored.columns if c not in groups]
-    rank = F.struct(-F.col("score"), *[F.col(o) for o in order])
-    return scored.groupBy(*groups).agg(F.min_by(F.struct(*rest), rank).alias("__b")).select(*groups, "__b.*")
+    # each task keeps one row of a group before the shuffle, so no text sits in an aggregate buffer
+    return top_n(scored, groups, [F.desc("score"), *[F.col(o) for o in order]], 1)
 
 
 def dedupe_inventory(inv: DataFrame, path: str, order: str) -> DataFrame:
     """One row per path in any case, the first by ``order``."""
-    row = F.struct(*[F.col(c) for c in inv.columns])
-    return inv.groupBy(F.lower(path).alias("__p")).agg(F.min_by(row, order).alias("__r")).select("__r.*")
+    return top_n(inv.withColumn("__p", F.lower(path)), "__p", [F.col(order)], 1).drop("__p")

@@ -76,12 +76,17 @@ def select_measures(
     raw: str,
     status: str,
     order: Column,
+    year: str | None = None,
+    years: list | None = None,
 ) -> DataFrame:
-    """Value, raw text and publication status of each specified measure, one row per key.
+    """Value, raw text and publication status of each specified measure, one row per key. With ``years``
+    each measure is taken for each of these values of the column ``year``, named by both.
 
     All measures come from one conditional aggregate. A measure that no row of the whole table
     carries is marked ``not_found_in_extract``; one missing for a key only is null."""
     keys = [key] if isinstance(key, str) else list(key)
+    if years is not None:
+        specs = {f"{name}_{y}": {**spec, year: str(y)} for y in years for name, spec in specs.items()}
     conditions = {name: spec_condition(spec) for name, spec in specs.items()}
     aggs = []
     for name, cond in conditions.items():

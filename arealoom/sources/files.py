@@ -78,9 +78,10 @@ def content_hash_of(spark: SparkSession, root: str, max_size: int = 2_000_000_00
 
 
 def same_content(files: DataFrame, content: str = "content", size: str = "size") -> DataFrame:
-    """Hash only files whose size occurs more than once; others cannot be copies."""
+    """Hashes of the files whose size occurs more than once; others cannot be copies. Bytes are hashed
+    where they are read and do not go through the join; the column is left out."""
     shared = files.groupBy(size).agg(F.count("*").alias("__n")).filter("__n > 1").select(size)
-    return files.join(shared, size, "left_semi").withColumn("sha256", F.sha2(F.col(content), 256))
+    return files.withColumn("sha256", F.sha2(F.col(content), 256)).drop(content).join(shared, size, "left_semi")
 
 
 _MEMBER_SCHEMA = (
