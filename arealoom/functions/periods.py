@@ -56,10 +56,9 @@ def _one_pattern() -> tuple[str, str]:
 
 _PATTERN, _FORM = _one_pattern()
 
-_PREFIXES = (
-    r"^(data\s+)?as\s+at\s+|^quarter\s+ending\s+|^period\s+ending\s+"
-    r"|^report(?:ing)?\s+period\s*:?\s*"
-)
+# Phrases before a period that say nothing about it.
+_PHRASES = ["as at", "data as at", "quarter ending", "period ending", "report period", "reporting period"]
+_PREFIXES = r"^(?:" + "|".join(p.replace(" ", r"\s+") for p in _PHRASES) + r")(?:\s+|\s*:\s*)"
 
 
 def _year(text: Column) -> Column:

@@ -121,16 +121,6 @@ def period_inventory(
     )
 
 
-def period_summary(df: DataFrame, period: str) -> DataFrame:
-    per = df.filter(F.col(period).isNotNull()).groupBy(period).agg(F.count("*").alias("n"))
-    return per.agg(
-        F.count("*").alias("period_count"),
-        F.min(period).alias("period_min"),
-        F.max(period).alias("period_max"),
-        F.sum("n").alias("dated_rows"),
-    )
-
-
 def duplicate_rows(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in full, as one number."""
     per = df.groupBy(*[col_name(c) for c in df.columns]).agg(F.count("*").alias("__n"))

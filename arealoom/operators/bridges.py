@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealoom.functions.measures import plain_number
 from arealoom.operators.audit import Check, run_checks
 from arealoom.operators.joins import spread_join
 from arealoom.session import col_name
@@ -258,8 +257,3 @@ def audit_bridge(
         per_to, [Check("to_codes", F.count("*")), Check("many_to_one", F.count_if("__merge"))]
     )
     return edges.unionByName(sources).unionByName(targets)
-
-
-def typed_bridge(df: DataFrame, from_col: str, to_col: str, ratio: str) -> DataFrame:
-    """A text correspondence with its ratio as a number."""
-    return df.withColumn(ratio, plain_number(ratio)).filter(F.col(from_col).isNotNull())

@@ -356,16 +356,3 @@ def name_parts(catalog: DataFrame, sep: str = "__") -> DataFrame:
         .groupBy("family", "source")
         .agg(F.count("*").alias("column_count"))
     )
-
-
-def find_columns_of(columns: list[str], must=(), any_of=(), exclude=()) -> str | None:
-    """``find_columns`` for one table."""
-    for c in columns:
-        key = re.sub("[^a-z0-9]+", "_", c.lower())
-        if (
-            all(t in key for t in must)
-            and (not any_of or any(t in key for t in any_of))
-            and not any(t in key for t in exclude)
-        ):
-            return c
-    return None

@@ -90,8 +90,3 @@ def choose_source(
     scored = inv.withColumn("score", score_terms(text, weights)).filter(F.col("score") >= min_score)
     # each task keeps one row of a group before the shuffle, so no text sits in an aggregate buffer
     return top_n(scored, groups, [F.desc("score"), *[F.col(o) for o in order]], 1)
-
-
-def dedupe_inventory(inv: DataFrame, path: str, order: str) -> DataFrame:
-    """One row per path in any case, the first by ``order``."""
-    return top_n(inv.withColumn("__p", F.lower(path)), "__p", [F.col(order)], 1).drop("__p")
