@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealoom.llm.words import _BYTE_VALUES, LOWER, NOT_ALNUM, WHITE_SPACE, _hash_spans, find_words, slices
+from arealoom.operators.joins import spread_join
 
 BITS = 18
 BUCKETS = 1 << BITS
@@ -61,15 +62,26 @@ def row_sums(features: list[np.ndarray], first: np.ndarray, weights: np.ndarray)
     return out
 
 
+def least_rows(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
+    """The ``n`` rows of each group whose keys have the least hashes, with their place ``n``.
+
+    Groups are counted first; a hash threshold then leaves about four times the rows wanted of each,
+    so the window that ranks them is small however many rows a group has. Groups must be few."""
+    place = F.xxhash64(key) / float(1 << 64) + 0.5
+    counts = rows.groupBy(group).agg(F.count("*").alias("_all"))
+    near = spread_join(rows.withColumn("_place", place), counts, [(F.col(group), group)], "inner")
+    near = near.filter((F.col("_all") <= 16 * n) | (F.col("_place") * F.col("_all") <= 4 * n))
+    order = Window.partitionBy(group).orderBy("_place", key)
+    return near.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= n).drop("_place", "_all")
+
+
 def sample_bags(labels: DataFrame, texts: DataFrame, key: str, label: str, text: str, make, per_label: int) -> list[tuple]:
     """(label, key, buckets, counts) of at most ``per_label`` rows of each label: those of the least key
     hashes, chosen from the labels alone before any text is read. Labels are few; null keys, labels
     and texts are not used. Only bags of at most ``BUCKETS`` entries of the chosen rows come to the
     driver."""
     rated = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label")).filter("key IS NOT NULL AND label IS NOT NULL")
-    # ties of rows that share a key and label do not matter: they are one
-    order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
-    chosen = rated.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_label).select("key", "label").distinct()
+    chosen = least_rows(rated, "label", "key", per_label).select("key", "label").distinct()
     rows = texts.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

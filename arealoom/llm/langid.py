@@ -14,10 +14,11 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from arealoom.llm.hashed import least_rows
 from arealoom.llm.words import slices
 
 SIZES = (2, 3, 4)
@@ -147,10 +148,9 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
     the model has no language and predicts ``und``. Only bags of at most ``BUCKETS`` shares of the
     chosen rows come to the driver."""
     usable = labelled.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").isNotNull().alias("some"))
-    usable = usable.filter("key IS NOT NULL AND lang IS NOT NULL AND some").withColumn("order", F.xxhash64("key"))
-    by_lang = Window.partitionBy("lang").orderBy("order", "key")
-    chosen = usable.withColumn("n", F.row_number().over(by_lang)).filter(F.col("n") <= SAMPLE_PER_LANGUAGE)
-    chosen = chosen.orderBy("n", "order", "key").limit(SAMPLE_ROWS).select("key", "lang", "n")
+    usable = usable.filter("key IS NOT NULL AND lang IS NOT NULL AND some").select("key", "lang")
+    chosen = least_rows(usable, "lang", "key", SAMPLE_PER_LANGUAGE)
+    chosen = chosen.orderBy("n", "lang", "key").limit(SAMPLE_ROWS).select("key", "lang", "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -327,7 +327,7 @@ def _components_of(signed: DataFrame, docs: DataFrame, doc_id: str, text: str, k
     roots = components(links, scratch)
     rooted = _with_root(_with_root(members, "id", roots, "root"), "leader", roots, "head")
     rooted = scratch.table(rooted, "rooted")
-    busy = rooted.filter("root <> head").select("band", "key").distinct()
+    busy = scratch.table(rooted.filter("root <> head").select("band", "key").distinct(), "busy")
     meet = rooted.join(busy, ["band", "key"], "left_semi").groupBy(F.col("head").alias("g"), "id", "root")
     meet = scratch.table(meet.agg(F.max(F.col("root") != F.col("head")).alias("open")), "meet")
     full = shingle_sets(meet.select("id").distinct(), docs, doc_id, text, k, scratch)

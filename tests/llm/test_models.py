@@ -157,3 +157,16 @@ def test_bags_count_words():
     data = np.frombuffer(b"One two two", np.uint8)
     features, first = hashed.terms(data, np.array([0, 11]))
     assert first.tolist() == [0, 3] and hashed.bag(features[:1], 0, 3)[1].tolist() in ([1, 2], [2, 1])
+
+
+def test_least_rows_are_those_of_the_least_hashes(spark):
+    rows = spark.range(4000).select(F.col("id").alias("key"), F.when(F.col("id") % 10 == 0, "rare").otherwise("common").alias("g"))
+    rows = rows.union(spark.createDataFrame([(-1, "once")], "key long, g string"))
+    got = {}
+    for r in hashed.least_rows(rows, "g", "key", 50).collect():
+        got.setdefault(r.g, set()).add(r.key)
+    want = {}
+    for r in rows.withColumn("h", F.xxhash64("key")).orderBy("h").collect():
+        if len(want.setdefault(r.g, set())) < 50:
+            want[r.g].add(r.key)
+    assert got == want
