@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from arealoom.llm.words import slices
 
 #: Entries of the memo of pieces and of the memo of compatible pairs in each worker.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 
 
 class Vocabulary(NamedTuple):

@@ -28,6 +28,8 @@ SAMPLE_PER_LANGUAGE, SAMPLE_ROWS = 300, 3000
 #: Share of right predictions that the threshold may reject, and its highest value.
 REJECTED_SHARE, HIGHEST_THRESHOLD = 0.002, 0.5
 NO_LANGUAGE = "und"
+#: Bytes of texts that are scored at once.
+SLICE_BYTES = 1 << 20
 _LETTER = regex.compile(r"\p{L}")
 _ASCII_LETTER = np.zeros(256, bool)
 _ASCII_LETTER[0x41:0x5B] = _ASCII_LETTER[0x61:0x7B] = True
@@ -190,7 +192,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
         languages = np.array([*model.languages, NO_LANGUAGE], object)
         for batch in batches:
             column = batch.column(batch.schema.get_field_index(text))
-            for low, high, data, bounds in slices(column):
+            for low, high, data, bounds in slices(column, SLICE_BYTES):
                 letters = np.diff(np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])[bounds]) > 0
                 for i in np.flatnonzero(~letters & (np.diff(bounds) > 0)):
                     letters[i] = _LETTER.search(data[bounds[i] : bounds[i + 1]].tobytes().decode("utf-8", "replace")) is not None

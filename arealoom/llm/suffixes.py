@@ -8,6 +8,9 @@ window's length stand side by side, and all but the earliest are repeats.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +25,8 @@ PIECE_WINDOWS = 4096
 SMALL_ALPHABET = 512
 #: Bytes of pieces that are sorted at once.
 SHARD_BYTES = 1 << 20
+#: Bytes of documents that are hashed at once.
+SLICE_BYTES = 1 << 20
 _COUNT = (1 << 31) - 1
 
 
@@ -299,11 +304,26 @@ def _minimisers(data: np.ndarray, bounds: np.ndarray, width: int, gram: int) ->
     return starts, least[starts], chosen, grams[chosen]
 
 
-def _parts(rows: pa.Table, width: int, gram: int):
-    """(first row, bytes, bounds, window places, minimisers, chosen places, their hashes, base) of the slices of a block."""
+class _Part(NamedTuple):
+    """A slice of a block: its runs of windows under one minimiser."""
+
+    low: int  # first row
+    data: np.ndarray
+    bounds: np.ndarray
+    at: np.ndarray  # first window of each run
+    count: np.ndarray  # windows of each run
+    keys: np.ndarray  # minimiser of each run
+    chosen: np.ndarray  # places that are the least of some window
+    hashes: np.ndarray
+    base: int  # bytes of the block before the slice
+
+
+def _parts(rows: pa.Table, width: int, gram: int) -> Iterator[_Part]:
     base = 0
-    for low, _, data, bounds in slices(blocks.text_column(rows)):
-        yield low, data, bounds, *_minimisers(data, bounds, width, gram), base
+    for low, _, data, bounds in slices(blocks.text_column(rows), SLICE_BYTES):
+        starts, least, chosen, hashes = _minimisers(data, bounds, width, gram)
+        lead = _runs(starts, least)
+        yield _Part(low, data, bounds, starts[lead], np.diff(np.append(lead, len(starts))), least[lead], chosen, hashes, base)
         base += len(data)
 
 
@@ -365,7 +385,7 @@ def _repeats(width: int, own, texts, ids, contents, keys, offsets, windows):
     return spans
 
 
-def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 100, carry: bool = False) -> DataFrame:
+def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 100, carry: bool = False, as_text: bool = False) -> DataFrame:
     """Remove every byte in a string of ``width`` bytes that also starts earlier.
 
     Texts are UTF-8 bytes; matches never cross documents; earlier is at a smaller id or, in one
@@ -377,7 +397,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     after another in a fixed order (by text hash, then by place), so of rows repeated whole the first
     is kept. Texts shorter than a window are kept. An empty table gives an empty table; other
     columns, whatever their names, are not read, or with ``carry`` come back with the id in a struct
-    ``row``.
+    ``row``. With ``as_text`` what is kept is a string, without bytes that are no whole character.
     """
     n = blocks.partitions(docs.sparkSession)
     gram = max(1, (width * 3) // 8)
@@ -385,8 +405,8 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
 
     def minimiser_hashes(rows: pa.Table) -> np.ndarray:
         found = []
-        for *_, own, _ in _parts(rows, width, gram):
-            found.append(np.unique(own))
+        for part in _parts(rows, width, gram):
+            found.append(np.unique(part.hashes))
         return np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]))
 
     def pieces(rows: pa.Table, replies: pa.Table) -> pa.Table:
@@ -397,21 +417,20 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
         ids = rows.column("first").to_numpy()
         parts = list(_parts(rows, width, gram))
         # a hash at two places of one run, as in a periodic text, counts twice
-        hashes, counts = np.unique(np.concatenate([own for *_, own, _ in parts]), return_counts=True)
+        hashes, counts = np.unique(np.concatenate([part.hashes for part in parts]), return_counts=True)
         shared = np.union1d(blocks.shared_hashes(hashes, replies, n), hashes[counts > 1])
         keys, contents, offsets, windows, owners, texts, sizes = [], [], [], [], [], [], []
-        for low, data, bounds, starts, least, chosen, own, base in parts:
-            lead = _runs(starts, least)
-            count = np.diff(np.append(lead, len(starts)))
-            wanted = np.isin(least[lead], shared)
-            lead, count = lead[wanted], count[wanted]
-            at, length = starts[lead], count + width - 1
-            keys.append(least[lead])
-            contents.append(_content(data, at, length))
-            offsets.append(at + base)
-            windows.append(count | _repeating(at, count, least[lead], width - gram + 1, chosen, own).astype(np.int64) << 31)
-            owners.append(ids[low + np.searchsorted(bounds, at, side="right") - 1])
-            body, _ = gather(data, at, length)
+        for part in parts:
+            wanted = np.isin(part.keys, shared)
+            at, count, key = part.at[wanted], part.count[wanted], part.keys[wanted]
+            length = count + width - 1
+            keys.append(key)
+            contents.append(_content(part.data, at, length))
+            offsets.append(at + part.base)
+            twice = _repeating(at, count, key, width - gram + 1, part.chosen, part.hashes)
+            windows.append(count | twice.astype(np.int64) << 31)
+            owners.append(ids[part.low + np.searchsorted(part.bounds, at, side="right") - 1])
+            body, _ = gather(part.data, at, length)
             texts.append(body)
             sizes.append(length)
         keys, contents, offsets, windows, owners, texts, sizes = map(np.concatenate, (keys, contents, offsets, windows, owners, texts, sizes))
@@ -458,7 +477,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
         order = np.argsort(starts)
         starts, counts = starts[order], counts[order]
         out, base = [], 0
-        for low, _, data, bounds in slices(blocks.text_column(rows)):
+        for low, _, data, bounds in slices(blocks.text_column(rows), SLICE_BYTES):
             mine = slice(*np.searchsorted(starts, [base, base + len(data)]))
             removed = blocks.covered(len(data), starts[mine] - base, counts[mine] + width - 1)
             begins = removed.copy()
@@ -468,39 +487,26 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
             gone = np.concatenate([[0], np.cumsum(removed)])[bounds]
             spans = np.concatenate([[0], np.cumsum(begins)])[bounds]
             part = rows.slice(low, len(bounds) - 1)
-            made = [np.diff(bounds), np.diff(gone), np.diff(spans), strings(data[~removed], bounds - gone, pa.binary())]
+            kept = strings(data[~removed], bounds - gone, pa.binary())
+            if as_text:
+                kept = pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
+            made = [np.diff(bounds), np.diff(gone), np.diff(spans), kept]
             extra = {"row": part.column("row")} if carry else {}
             out.append(pa.table({"doc_id": part.column("doc_id")} | dict(zip(_COUNTS, made, strict=True)) | extra))
             base += len(data)
-        return pa.concat_tables(out) if out else _empty(rows, carry)
+        return pa.concat_tables(out) if out else _empty(rows, carry, as_text)
 
     asked = blocks.ask(dealt, minimiser_hashes)
     found = blocks.with_replies(dealt, asked, pieces, blocks.MESSAGE).groupBy("bucket").applyInArrow(sort_shard, blocks.MESSAGE)
     fields = [T.StructField(name, T.LongType()) for name in ("doc_id", *_COUNTS[:3])]
-    fields += [T.StructField("kept", T.BinaryType())] + ([dealt.schema["row"]] if carry else [])
+    fields += [T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + ([dealt.schema["row"]] if carry else [])
     return blocks.with_replies(dealt, found, cut, T.StructType(fields))
 
 
 _COUNTS = ("n_bytes", "n_removed", "n_spans", "kept")
 
 
-def _empty(rows: pa.Table, carry: bool) -> pa.Table:
-    kinds = {"doc_id": pa.int64()} | dict.fromkeys(_COUNTS[:3], pa.int64()) | {"kept": pa.binary()}
+def _empty(rows: pa.Table, carry: bool, as_text: bool) -> pa.Table:
+    kinds = {"doc_id": pa.int64()} | dict.fromkeys(_COUNTS[:3], pa.int64()) | {"kept": pa.string() if as_text else pa.binary()}
     kinds |= {"row": rows.schema.field("row").type} if carry else {}
     return pa.table({name: pa.array([], kind) for name, kind in kinds.items()})
-
-
-def as_text(df: DataFrame, column: str) -> DataFrame:
-    """A binary column as text: bytes that are no whole UTF-8 character, as at the ends of a cut, are
-    left out. Null stays null; all other columns pass."""
-    at = df.columns.index(column)
-    fields = [T.StructField(f.name, T.StringType()) if i == at else f for i, f in enumerate(df.schema.fields)]
-
-    def run(batches):
-        for batch in batches:
-            for low, high, _, _ in slices(batch.column(at)):
-                part = batch.slice(low, high - low)
-                texts = pa.array([None if b is None else b.decode("utf-8", "ignore") for b in part.column(at).to_pylist()], pa.string())
-                yield pa.RecordBatch.from_arrays([texts if i == at else part.column(i) for i in range(part.num_columns)], part.schema.names)
-
-    return df.mapInArrow(run, T.StructType(fields))

@@ -57,7 +57,7 @@ def test_bytes_of_repeated_strings_go(edge_docs, edge_rows, width):
 
 
 def test_other_columns_are_carried(edge_docs, edge_rows):
-    got = suffixes.as_text(suffixes.remove(edge_docs, carry=True), "kept")
+    got = suffixes.remove(edge_docs, carry=True, as_text=True)
     assert got.count() == len(edge_rows)
     assert got.filter("row.kept <> 'x' OR NOT row.doc_id <=> doc_id").count() == 0
     whole = {r.doc_id: r.kept for r in got.filter("n_removed = 0").collect()}
