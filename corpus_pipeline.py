@@ -36,9 +36,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that also start earlier go; a character that a cut would split goes with
     them. Every document stays, with what is left of its text (empty for a null text)."""
-    cut = suffixes.remove(docs.select(*COLUMNS), carry=True)
-    texts = suffixes.as_text(cut.select("row", "kept"), "kept")
-    return texts.select(
+    cut = suffixes.remove(docs.select(*COLUMNS), carry=True, as_text=True)
+    return cut.select(
         "row.doc_id",
         F.col("kept").alias("text"),
         "row.lang",
