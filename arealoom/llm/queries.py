@@ -96,7 +96,27 @@ def op4_prefix_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+@query(
+    """
+    WITH crc AS (
+      SELECT list(c ORDER BY i) AS steps FROM (SELECT i, list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS r(i))
+    ), texts AS (
+      SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
+    ), sums AS (
+      SELECT doc_id, n + 1 AS size, xor(list_reduce(list_prepend(4294967295, list_transform(range(n),
+        lambda i: ('0x' || substr(h, 2 * i + 1, 2))::BIGINT)), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+      FROM texts, crc
+    ), scored AS (
+      SELECT doc_id, shard, ('0x' || substr(md5(doc_id || '/' || shard), 1, 13))::BIGINT AS score FROM documents, range(9) AS r(shard)
+    ), placed AS (
+      SELECT doc_id, arg_max(shard, score) FILTER (shard < 8) AS shard, arg_max(shard, score) AS grown FROM scored GROUP BY doc_id
+    )
+    SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+      row_number() OVER (PARTITION BY shard ORDER BY substr(md5(doc_id::VARCHAR), 1, 3), doc_id) - 1 AS slot, grown::INTEGER AS grown_shard
+    FROM sums JOIN placed USING (doc_id)
+    """
+)
 def op6_rendezvous_shards(spark: SparkSession, folder: str) -> DataFrame:
     """Law ``key``: eight shards of equal weight, and where a ninth would take the row."""
     eight, nine = ({shard: 1.0 for shard in range(n)} for n in (8, 9))
@@ -127,18 +147,19 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     r"""
     WITH texts AS (
       SELECT doc_id, hex(coalesce(text, '')) AS h, strlen(coalesce(text, '')) AS n FROM documents
-    ), places AS (
-      SELECT doc_id, i, substr(h, 2 * i + 1, 200) AS phrase, i + 100 <= n AS whole
+    ), places AS MATERIALIZED (
+      SELECT doc_id, i, substr(h, 2 * i + 1, 2) AS pair, CASE WHEN i + 100 <= n THEN md5_number(substr(h, 2 * i + 1, 200)) END AS phrase
       FROM (SELECT doc_id, h, n, unnest(range(0, n)) AS i FROM texts)
     ), later AS (
-      SELECT doc_id, i FROM places WHERE whole QUALIFY row_number() OVER (PARTITION BY md5(phrase) ORDER BY doc_id, i) > 1
+      SELECT doc_id, i FROM places JOIN (SELECT phrase, min(doc_id * 1000000000 + i) AS first_at FROM places WHERE phrase IS NOT NULL
+        GROUP BY phrase HAVING count(*) > 1) USING (phrase) WHERE doc_id * 1000000000 + i > first_at
     ), removed AS (
       SELECT DISTINCT doc_id, unnest(range(i, i + 100)) AS i FROM later
     ), spans AS (
       SELECT doc_id, count(*) AS n_removed, count(*) FILTER (WHERE previous IS NULL OR previous < i - 1) AS n_spans
       FROM (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS previous FROM removed) GROUP BY doc_id
     ), kept AS (
-      SELECT doc_id, string_agg(substr(phrase, 1, 2), '' ORDER BY i) AS h FROM places ANTI JOIN removed USING (doc_id, i) GROUP BY doc_id
+      SELECT doc_id, string_agg(pair, '' ORDER BY i) AS h FROM places ANTI JOIN removed USING (doc_id, i) GROUP BY doc_id
     )
     SELECT doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
       sha256(unhex(coalesce(kept.h, ''))) AS kept_sha256
