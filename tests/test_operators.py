@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from arealoom.functions.text import key_slug
 from arealoom.operators import aggregates as AG
 from arealoom.operators import audit as AU
 from arealoom.operators import bridges as B
@@ -12,8 +13,11 @@ from arealoom.operators import catalog as C
 from arealoom.operators import joins as J
 from arealoom.operators import period as P
 from arealoom.operators import profiling as PR
+from arealoom.operators import reshape as RS
 from arealoom.operators import windows as W
+from arealoom.operators.audit import ContractError
 from arealoom.operators.cells import combine_headers, detect_header_row
+from arealoom.plans.master import assemble_master
 
 
 def rows(df, *order):
@@ -240,3 +244,49 @@ def test_header_of_a_sparse_grid(spark):
 def test_duplicate_null_key_is_a_group(spark):
     df = spark.createDataFrame([(None,), (None,), ("a",)], "k string")
     assert rows(AG.duplicate_keys(df, "k")) == [(None, 2)]
+
+
+def test_merge_wide_raises_on_a_repeated_key(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "y")], "k int, c string")
+    b = spark.createDataFrame([(1, 5)], "k int, d int")
+    with pytest.raises(Exception, match="several rows for key"):
+        J.merge_wide([a, b], "k").collect()
+
+
+def test_an_unlisted_pivot_name_raises(spark):
+    long = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0), (1, None, 3.0)], "k int, name string, v double")
+    assert RS.pivot_first(long, "k", "name", "v", ["a", "b"], F.col("v")).first().asDict() == {"k": 1, "a": 1.0, "b": 2.0}
+    with pytest.raises(Exception, match="not listed"):
+        RS.pivot_first(long, "k", "name", "v", ["a"], F.col("v")).collect()
+
+
+def test_long_labels_stay_apart(spark):
+    stem = "m" * 120
+    long = spark.createDataFrame([(1, stem + "one", 1.0), (1, stem + "two", 2.0)], "k int, name string, v double")
+    labels = [r.s for r in long.select(key_slug("name", 90, "plain").alias("s")).collect()]
+    assert len(set(labels)) == 2 and all(len(s) <= 90 for s in labels)
+    assert set(RS.pivot_sum(long, "k", ["name"], "v", labels).first()[1:]) == {1.0, 2.0}
+
+
+def test_places_of_a_whole_sort(spark):
+    df = spark.range(5000).select(F.col("id"), F.when(F.col("id") % 7 > 0, F.col("id") % 13).alias("v")).repartition(9)
+    got = {r.id: r.place for r in W.numbered_sort(df, "-v", "id").collect()}
+    want = sorted(range(5000), key=lambda i: (i % 7 == 0, -(i % 13) if i % 7 else 0, i))
+    assert [i for i, _ in sorted(got.items(), key=lambda x: x[1])] == want and sorted(got.values()) == list(range(1, 5001))
+
+
+def test_a_master_checks_each_side_once(spark):
+    spine = spark.range(20).withColumnRenamed("id", "k")
+    sources = {f"s{i}": spark.range(10).select(F.col("id").alias("k"), F.lit(i).alias(f"v{i}")) for i in range(5)}
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("master", "checks of a master")
+    try:
+        out = assemble_master(spine, "k", sources)
+        jobs = len(tracker.getJobIdsForGroup("master"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # one check of each side, each a few jobs of adaptive stages, whatever the number of joins before it
+    assert jobs <= 4 * 6
+    assert out.count() == 20 and out.filter("source_s4_present_flag").count() == 10
+    with pytest.raises(ContractError):
+        assemble_master(spine, "k", {"twice": sources["s0"].union(sources["s0"])})
