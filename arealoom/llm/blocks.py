@@ -55,6 +55,8 @@ def ordered_block(rows: pa.Table) -> pa.Table:
 
 def text_column(rows: pa.Table) -> pa.Array:
     column = rows.column("text")
+    if column.num_chunks > 1:
+        raise ValueError("a block holds over 2 GiB of text: raise spark.sql.shuffle.partitions")
     return column.chunk(0) if column.num_chunks else pa.array([], pa.string())
 
 

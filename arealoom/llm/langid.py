@@ -146,11 +146,11 @@ def train(rows: list[tuple[str, np.ndarray, np.ndarray]], dimension: int = 16, e
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """Train on at most ``SAMPLE_PER_LANGUAGE`` rows of each language and ``SAMPLE_ROWS`` in all, those of
-    the least key hashes. Rows without a label, a key or a text are not used; without any usable row
-    the model has no language and predicts ``und``. Only bags of at most ``BUCKETS`` shares of the
-    chosen rows come to the driver."""
-    usable = labelled.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").isNotNull().alias("some"))
-    usable = usable.filter("key IS NOT NULL AND lang IS NOT NULL AND some").select("key", "lang")
+    the least key hashes. Rows without a label or a key are not chosen, chosen ones without a text not
+    used; without any usable row the model has no language and predicts ``und``. Only bags of at most
+    ``BUCKETS`` shares of the chosen rows come to the driver."""
+    # chosen by key and label alone, so that this scan reads no text
+    usable = labelled.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").alias("lang")).filter("key IS NOT NULL AND lang IS NOT NULL")
     chosen = least_rows(usable, "lang", "key", SAMPLE_PER_LANGUAGE)
     chosen = chosen.orderBy("n", "lang", "key").limit(SAMPLE_ROWS).select("key", "lang", "n")
 
