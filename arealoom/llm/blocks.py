@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from arealoom.llm.words import release
+
 #: Blocks for each shuffle partition.
 BLOCKS_PER_PARTITION = 2
 MESSAGE = "block int, bucket int, kind int, body binary, extra binary"
@@ -92,6 +94,7 @@ def ask(dealt: DataFrame, hashes_of: Callable[[pa.Table], np.ndarray]) -> DataFr
     n = partitions(dealt.sparkSession)
 
     def questions(rows: pa.Table) -> pa.Table:
+        release()
         hashes = hashes_of(ordered_block(rows))
         block = rows.column("block")[0].as_py()
         low = hashes.astype(np.uint32)
@@ -126,6 +129,7 @@ def with_replies(dealt: DataFrame, replies: DataFrame, work: Callable[[pa.Table,
     """``work`` on each ordered block and the messages to it."""
 
     def run(rows: pa.Table, messages: pa.Table) -> pa.Table:
+        release()
         return work(ordered_block(rows), messages)
 
     return dealt.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)

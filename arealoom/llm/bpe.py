@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from arealoom.llm.words import slices
+from arealoom.llm.words import release, slices
 
 #: Entries of the memo of pieces and of the memo of compatible pairs in each worker.
 MEMO_ENTRIES = 150_000
@@ -105,6 +105,11 @@ class Codec:
         self.fits: dict[int, bool] = {}
         self.memo = _PieceMemo(self)
 
+    def forget(self) -> None:
+        """Empty both memos."""
+        self.memo.clear()
+        self.fits.clear()
+
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave ``a`` and ``b`` apart where they stand side by side."""
         if len(self.fits) >= MEMO_ENTRIES:
@@ -183,6 +188,13 @@ def _codec(shared, pattern: str) -> Codec:
     return _CODECS[key]
 
 
+def _forget() -> None:
+    """Between tasks a worker keeps its codec but no memos."""
+    for codec in _CODECS.values():
+        codec.forget()
+    release()
+
+
 def _share(df: DataFrame, vocab: Vocabulary):
     """The vocabulary as a broadcast: its size does not depend on the data."""
     return df.sparkSession.sparkContext.broadcast((hash((len(vocab.tokens), vocab.tokens[-1])), vocab))
@@ -202,6 +214,7 @@ def _with_columns(df: DataFrame, column: str, names: list[str], work) -> DataFra
                 part = batch.slice(low, high - low)
                 made = work(values.slice(low, high - low))
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in keep], *made], schema.names)
+        _forget()
 
     return df.mapInArrow(run, schema)
 

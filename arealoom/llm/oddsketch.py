@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from arealoom.llm.words import LOWER, WHITE_SPACE, find_words, mix, slices, window_hashes
+from arealoom.llm.words import LOWER, WHITE_SPACE, find_words, mix, release, slices, window_hashes
 from arealoom.session import Scratch, materialise
 
 #: Samples; bands of rows use all of them. A pair of similarity 0.8 shares no band with probability
@@ -131,6 +131,7 @@ def signatures(docs: DataFrame, doc_id: str, text: str, k: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low), pa.array(counts), *[pa.array(x.view(np.int64), mask=empty) for x in sums], *lists], schema=_SIGNATURE
                 )
+        release()
 
     schema = "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, sketch array<bigint>, bands array<bigint>"
     return docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, schema)

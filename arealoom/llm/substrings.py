@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from arealoom.llm import blocks
-from arealoom.llm.words import WHITE_SPACE, Words, find_words, gather, slices, strings, window_hashes
+from arealoom.llm.words import WHITE_SPACE, Words, find_words, gather, release, slices, strings, window_hashes
 
 #: Perfect difference sets, every distance modulo the period is a difference of two.
 COVERS = {1: (0,), 3: (0, 1), 7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18)}
@@ -94,6 +94,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
         return blocks.message_table(out)
 
     def repeats(rows: pa.Table) -> pa.Table:
+        release()
         out, own, hashes, ids, places = [], [], [], [], []
         for row in rows.to_pylist():
             if row["kind"] == 1:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from arealoom.llm import blocks
-from arealoom.llm.words import _BYTE_POWERS, _BYTE_VALUES, gather, mix, slices, strings
+from arealoom.llm.words import _BYTE_POWERS, _BYTE_VALUES, gather, mix, release, slices, strings
 
 #: Windows of one piece; a longer run under one minimiser (a periodic text) is cut.
 PIECE_WINDOWS = 4096
@@ -448,6 +448,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
         return blocks.message_table(out)
 
     def sort_shard(rows: pa.Table) -> pa.Table:
+        release()
         out, own, texts, ids, contents, keys, offsets, windows = [], [], [], [], [], [], [], []
         for row in rows.to_pylist():
             if row["kind"] == 1:
