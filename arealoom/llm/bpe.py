@@ -10,6 +10,7 @@ linear in the text. Vocabulary strings are bytes seen as Latin-1 characters.
 from __future__ import annotations
 
 import base64
+import weakref
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -71,7 +72,7 @@ class _PieceMemo(dict):
 
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec = codec
+        self.codec = weakref.proxy(codec)  # else the pair would wait for the cycle collector
 
     def __missing__(self, piece: str) -> bytes:
         codec = self.codec
@@ -84,7 +85,7 @@ class _PieceMemo(dict):
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary, built once in each worker."""
+    """Encoder and decoder of one vocabulary, built once in each task."""
 
     def __init__(self, vocab: Vocabulary, pattern: str):
         self.tokens, self.pattern = vocab.tokens, regex.compile(pattern)
@@ -105,11 +106,6 @@ class Codec:
         self.fits: dict[int, bool] = {}
         self.memo = _PieceMemo(self)
 
-    def forget(self) -> None:
-        """Empty both memos."""
-        self.memo.clear()
-        self.fits.clear()
-
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave ``a`` and ``b`` apart where they stand side by side."""
         if len(self.fits) >= MEMO_ENTRIES:
@@ -189,9 +185,8 @@ def _codec(shared, pattern: str) -> Codec:
 
 
 def _forget() -> None:
-    """Between tasks a worker keeps its codec but no memos."""
-    for codec in _CODECS.values():
-        codec.forget()
+    """A worker lives on between tasks: it keeps neither codec nor memos. Building takes a third of a second."""
+    _CODECS.clear()
     release()
 
 
