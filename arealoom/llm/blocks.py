@@ -22,6 +22,8 @@ from arealoom.llm.words import release
 BLOCKS_PER_PARTITION = 2
 MESSAGE = "block int, bucket int, kind int, body binary, extra binary"
 _MESSAGE_SCHEMA = pa.schema([("block", pa.int32()), ("bucket", pa.int32()), ("kind", pa.int32()), ("body", pa.binary()), ("extra", pa.binary())])
+#: Bytes that a hash of a block counts at least; only larger sizes travel with a question.
+LIGHT_BYTES = 256
 _LAST = (1 << 63) - 1
 
 
@@ -84,45 +86,61 @@ def by_bucket(bucket: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(b), order[bounds[b] : bounds[b + 1]]
 
 
-def ask(dealt: DataFrame, hashes_of: Callable[[pa.Table], np.ndarray]) -> DataFrame:
+def ask(dealt: DataFrame, hashes_of: Callable[[pa.Table], np.ndarray | tuple[np.ndarray, np.ndarray]], heavy: int | None = None) -> DataFrame:
     """Which of its distinct hashes each block shares with another block.
 
     ``hashes_of`` gives the sorted distinct 64-bit hashes of an ordered block. The reply to a block and
     bucket is a bit mask over its hashes of that bucket in their order. Only 32 bits of a hash travel:
     a chance match makes a hash count as shared, never the reverse.
+
+    With ``heavy``, ``hashes_of`` gives the bytes of each hash too, and a second mask (``extra``) tells
+    the hashes with more bytes than that in all blocks together, each block's taken as
+    ``LIGHT_BYTES`` at least. All blocks that have a hash are told the same.
     """
     n = partitions(dealt.sparkSession)
 
     def questions(rows: pa.Table) -> pa.Table:
         release()
         hashes = hashes_of(ordered_block(rows))
+        hashes, sizes = hashes if heavy is not None else (hashes, np.zeros(len(hashes), np.int64))
         block = rows.column("block")[0].as_py()
         low = hashes.astype(np.uint32)
-        return message_table([message(block, b, 0, low[index]) for b, index in by_bucket(buckets(hashes, n), n)])
+        sizes = np.minimum(sizes, (1 << 32) - 1)
+        out = []
+        for b, index in by_bucket(buckets(hashes, n), n):
+            large = np.flatnonzero(sizes[index] > LIGHT_BYTES)
+            out.append(message(block, b, 0, low[index], np.stack([large, sizes[index[large]]]).astype(np.uint32)))
+        return message_table(out)
 
     def answers(rows: pa.Table) -> pa.Table:
         bodies = [np.frombuffer(x, np.uint32) for x in rows.column("body").to_pylist()]
-        everything = np.concatenate([np.unique(x) for x in bodies])
-        everything.sort()
-        shared = np.unique(everything[1:][everything[1:] == everything[:-1]])
+        values, counts = np.unique(np.concatenate([np.unique(x) for x in bodies]), return_counts=True)
+        shared, busy = values[counts > 1], values[:0]
+        if heavy is not None:
+            total = counts * LIGHT_BYTES
+            for body, extra in zip(bodies, rows.column("extra").to_pylist(), strict=True):
+                at, size = np.frombuffer(extra, np.uint32).reshape(2, -1).astype(np.int64)
+                np.add.at(total, np.searchsorted(values, body[at]), size - LIGHT_BYTES)
+            busy = values[total > heavy]
         out = []
         for block, bucket, body in zip(rows.column("block").to_pylist(), rows.column("bucket").to_pylist(), bodies, strict=True):
-            mask = np.isin(body, shared)
-            if mask.any():
-                out.append(message(block, bucket, 0, np.packbits(mask)))
+            mask, hot = np.isin(body, shared), np.isin(body, busy)
+            if mask.any() or hot.any():
+                out.append(message(block, bucket, 0, np.packbits(mask), np.packbits(hot) if hot.any() else b""))
         return message_table(out)
 
     return dealt.groupBy("block").applyInArrow(questions, MESSAGE).groupBy("bucket").applyInArrow(answers, MESSAGE)
 
 
-def shared_hashes(hashes: np.ndarray, replies: pa.Table, n: int) -> np.ndarray:
-    """Those of a block's sorted distinct hashes that another block has."""
-    masks = dict(zip(replies.column("bucket").to_pylist(), replies.column("body").to_pylist(), strict=True))
-    mask = np.zeros(len(hashes), bool)
+def shared_hashes(hashes: np.ndarray, replies: pa.Table, n: int, mask: str = "body") -> np.ndarray:
+    """Those of a block's sorted distinct hashes that another block has, or with the mask ``extra``
+    those that are heavy."""
+    masks = dict(zip(replies.column("bucket").to_pylist(), replies.column(mask).to_pylist(), strict=True))
+    told = np.zeros(len(hashes), bool)
     for b, index in by_bucket(buckets(hashes, n), n):
-        if b in masks:
-            mask[index] = np.unpackbits(np.frombuffer(masks[b], np.uint8), count=len(index)).astype(bool)
-    return hashes[mask]
+        if masks.get(b):
+            told[index] = np.unpackbits(np.frombuffer(masks[b], np.uint8), count=len(index)).astype(bool)
+    return hashes[told]
 
 
 def with_replies(dealt: DataFrame, replies: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema) -> DataFrame:

@@ -3,7 +3,8 @@
 Documents are cut into pieces around the least hash of each window (its minimiser), and pieces with
 one minimiser go to one shard: equal windows always meet. A shard sorts the suffixes of its distinct
 pieces by induced sorting and takes their common prefixes in text order; suffixes that share a
-window's length stand side by side, and all but the earliest are repeats.
+window's length stand side by side, and all but the earliest are repeats. The windows under a
+minimiser with more bytes than one sort takes are dealt one by one by their own hash instead.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from arealoom.llm.words import _BYTE_POWERS, _BYTE_VALUES, gather, mix, release,
 PIECE_WINDOWS = 4096
 #: Symbols up to which a level of induced sorting works bucket by bucket on arrays.
 SMALL_ALPHABET = 512
-#: Bytes of pieces that are sorted at once.
+#: Bytes of pieces that are sorted at once; a minimiser with more is busy.
 SHARD_BYTES = 1 << 20
 #: Bytes of documents that are hashed at once.
 SLICE_BYTES = 1 << 20
@@ -403,14 +404,21 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
     gram = max(1, (width * 3) // 8)
     dealt = blocks.deal(docs, doc_id, text, carry)
 
-    def minimiser_hashes(rows: pa.Table) -> np.ndarray:
-        found = []
+    def minimiser_sizes(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        # the bytes of a minimiser's distinct pieces
+        found, keys, contents, sizes = ([np.zeros(0, np.uint64)] for _ in range(4))
         for part in _parts(rows, width, gram):
             found.append(np.unique(part.hashes))
-        return np.unique(np.concatenate(found or [np.zeros(0, np.uint64)]))
+            keys.append(part.keys)
+            contents.append(_content(part.data, part.at, part.count + width - 1))
+            sizes.append((part.count + width - 1).astype(np.uint64))
+        found, keys, contents, sizes = np.unique(np.concatenate(found)), *map(np.concatenate, (keys, contents, sizes))
+        _, lead = np.unique(contents, return_index=True)
+        return found, np.bincount(np.searchsorted(found, keys[lead]), sizes[lead], minlength=len(found)).astype(np.int64)
 
     def pieces(rows: pa.Table, replies: pa.Table) -> pa.Table:
-        # kind 0: pieces for a shard; kind 1: runs of windows that the block itself decides
+        # kind 0: pieces for a shard; kind 1: runs of windows that the block itself decides;
+        # kind 2: windows under busy minimisers
         if not rows.num_rows:
             return blocks.message_table([])
         block = rows.column("block")[0].as_py()
@@ -419,9 +427,17 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
         # a hash at two places of one run, as in a periodic text, counts twice
         hashes, counts = np.unique(np.concatenate([part.hashes for part in parts]), return_counts=True)
         shared = np.union1d(blocks.shared_hashes(hashes, replies, n), hashes[counts > 1])
+        busy = blocks.shared_hashes(hashes, replies, n, "extra")
         keys, contents, offsets, windows, owners, texts, sizes = [], [], [], [], [], [], []
+        single, places, holders = [], [], []
         for part in parts:
-            wanted = np.isin(part.keys, shared)
+            wanted, hot = np.isin(part.keys, shared), np.isin(part.keys, busy)
+            count = part.count[hot]
+            at = np.repeat(part.at[hot] - np.cumsum(count) + count, count) + np.arange(count.sum())
+            single.append(_content(part.data, at, np.full(len(at), width)))
+            places.append(at + part.base)
+            holders.append(part.low + np.searchsorted(part.bounds, at, side="right") - 1)
+            wanted &= ~hot
             at, count, key = part.at[wanted], part.count[wanted], part.keys[wanted]
             length = count + width - 1
             keys.append(key)
@@ -445,15 +461,32 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
             body, _ = gather(texts, ends[index] - sizes[index], sizes[index])
             head = np.stack([offsets[index], windows[index]]).astype(np.uint32)
             out.append(blocks.message(block, b, 0, body, owners[index].tobytes() + contents[index].tobytes() + keys[index].tobytes() + head.tobytes()))
+        if len(busy):
+            single, places, holders = map(np.concatenate, (single, places, holders))
+            _, lead = np.unique(single, return_index=True)
+            mask = np.ones(len(single), bool)
+            mask[lead] = False
+            later, holder = places[mask], holders[mask]
+            run = np.flatnonzero(np.concatenate([[True], (later[1:] != later[:-1] + 1) | (holder[1:] != holder[:-1])])[: len(later)])
+            out.append(blocks.message(block, block % n, 1, np.stack([later[run], np.diff(np.append(run, len(later)))]).astype(np.uint32)))
+            for b, index in blocks.by_bucket(blocks.buckets(single[lead], n), n):
+                index = lead[index]
+                out.append(blocks.message(block, b, 2, single[index], ids[holders[index]].tobytes() + places[index].astype(np.uint32).tobytes()))
         return blocks.message_table(out)
 
     def sort_shard(rows: pa.Table) -> pa.Table:
         release()
         out, own, texts, ids, contents, keys, offsets, windows = [], [], [], [], [], [], [], []
+        spans, single = [], []
         for row in rows.to_pylist():
             if row["kind"] == 1:
                 out.append(row)
                 continue
+            if row["kind"] == 2:
+                found = np.frombuffer(row["body"], np.uint64)
+                held = np.frombuffer(row["extra"], np.int64, len(found)), np.full(len(found), row["block"])
+                single.append((*held, np.frombuffer(row["extra"], np.uint32, offset=8 * len(found)), found))
+                continue
             count = len(row["extra"]) // 32
             own.append(np.full(count, row["block"]))
             texts.append(np.frombuffer(row["body"], np.uint8))
@@ -462,8 +495,13 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
             keys.append(np.frombuffer(row["extra"], np.uint64, count, 16 * count))
             offsets.append(np.frombuffer(row["extra"], np.uint32, count, 24 * count))
             windows.append(np.frombuffer(row["extra"], np.uint32, count, 28 * count))
+        if single:
+            holder, block, place, found = (np.concatenate(x) for x in zip(*single, strict=True))
+            later = ~blocks.firsts(holder, block, place, found)
+            spans.append((block[later], place[later], np.ones(later.sum(), np.int64)))
         if own:
-            spans = _repeats(width, *map(np.concatenate, (own, texts, ids, contents, keys, offsets, windows)))
+            spans += _repeats(width, *map(np.concatenate, (own, texts, ids, contents, keys, offsets, windows)))
+        if spans:
             owner, offset, count = (np.concatenate(x) for x in zip(*spans, strict=True))
             order = np.argsort(owner, kind="stable")
             cuts = np.flatnonzero(np.diff(owner[order])) + 1
@@ -497,7 +535,7 @@ def remove(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: i
             base += len(data)
         return pa.concat_tables(out) if out else _empty(rows, carry, as_text)
 
-    asked = blocks.ask(dealt, minimiser_hashes)
+    asked = blocks.ask(dealt, minimiser_sizes, SHARD_BYTES)
     found = blocks.with_replies(dealt, asked, pieces, blocks.MESSAGE).groupBy("bucket").applyInArrow(sort_shard, blocks.MESSAGE)
     fields = [T.StructField(name, T.LongType()) for name in ("doc_id", *_COUNTS[:3])]
     fields += [T.StructField("kept", T.StringType() if as_text else T.BinaryType())] + ([dealt.schema["row"]] if carry else [])

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from arealoom.llm import substrings, suffixes
+from tests_llm_brute import brute_cut
 
 
 def in_order(rows):
@@ -66,6 +67,30 @@ def test_other_columns_are_carried(edge_docs, edge_rows):
     assert cut.kept and set(cut.kept) == {"中", "文"}
 
 
+def test_windows_of_a_busy_minimiser_are_dealt_one_by_one(spark, monkeypatch):
+    rng = random.Random(3)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    passage = letters(300)
+    rows = [(i, letters(150) + passage + letters(150)) for i in range(300)]
+    rows += [(400 + i, letters(60) + rows[i][1][100:400] + letters(60)) for i in range(20)] + [(500, "xyz" * 9000), (501, "yzx" * 50)]
+    made = []
+    answer = suffixes.blocks.with_replies
+    monkeypatch.setattr(suffixes.blocks, "with_replies", lambda *a: made.append(answer(*a)) or made[-1])
+    monkeypatch.setattr(suffixes, "SHARD_BYTES", 20_000)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: bytes(r.kept) for r in suffixes.remove(docs).collect()}
+    want = brute_cut(rows)
+    assert got == want
+    size = {}
+    for row in made[0].filter("kind = 0").collect():
+        count = len(row.extra) // 32
+        keys = np.frombuffer(row.extra, np.uint64, count, 16 * count).tolist()
+        windows = np.frombuffer(row.extra, np.uint32, count, 28 * count) & suffixes._COUNT
+        for key, n in zip(keys, windows.tolist(), strict=True):
+            size[key] = size.get(key, 0) + n + 99
+    assert max(size.values()) <= 20_000
+
+
 def test_empty_tables(no_docs):
     assert substrings.remove(no_docs).count() == 0
     assert suffixes.remove(no_docs, carry=True).count() == 0
