@@ -66,13 +66,14 @@ def content_hash(files: DataFrame, content: str = "content", size: str = "size",
 
 def content_hash_of(spark: SparkSession, root: str, max_size: int = 2_000_000_000) -> DataFrame:
     """Inventory with hashes. The size filter is pushed to the file source, so files that cannot
-    be held as one value are listed but not opened."""
+    be held as one value are listed but not opened; ``hash_status`` is ``too_large`` for them and
+    ``hashed`` for all others."""
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
     hashed = raw.filter(F.col("length") <= max_size).select(
-        "path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256")
+        "path", F.col("length").alias("size"), F.sha2("content", 256).alias("sha256"), F.lit("hashed").alias("hash_status")
     )
     skipped = raw.filter(F.col("length") > max_size).select(
-        "path", F.col("length").alias("size"), F.lit(None).cast("string").alias("sha256")
+        "path", F.col("length").alias("size"), F.lit(None).cast("string").alias("sha256"), F.lit("too_large").alias("hash_status")
     )
     return hashed.unionByName(skipped)
 
@@ -168,10 +169,16 @@ def unpack_members(members: DataFrame, target: str) -> DataFrame:
 
 
 def freeze(inventory: DataFrame, register: DataFrame, by: str) -> DataFrame:
-    """Snapshot roll-up: files, bytes and hashes per family, against the families registered."""
+    """Snapshot roll-up: files, bytes and hashes per family, against the families registered. Files
+    whose ``hash_status`` (where the inventory has it) is ``too_large`` are no hash failures; they
+    are counted apart and keep a family from being ready."""
+    missing = F.col("sha256").isNull()
+    large = missing & F.col("hash_status").eqNullSafe("too_large") if "hash_status" in inventory.columns else F.lit(False)
     rolled = rollup_inventory(inventory, by, "size", ["file_extension"]).join(
         inventory.groupBy(by).agg(
-            F.count("sha256").alias("hashed_files"), F.count_if(F.col("sha256").isNull()).alias("hash_failures")
+            F.count("sha256").alias("hashed_files"),
+            F.count_if(missing & ~large).alias("hash_failures"),
+            F.count_if(large).alias("too_large_files"),
         ),
         by,
     )
@@ -181,5 +188,6 @@ def freeze(inventory: DataFrame, register: DataFrame, by: str) -> DataFrame:
         F.when(F.col("file_count").isNull(), "registered_without_files")
         .when(F.col("__known").isNull(), "files_without_register")
         .when(F.col("hash_failures") > 0, "review_hash_failures")
+        .when(F.col("too_large_files") > 0, "review_too_large_files")
         .otherwise("ready"),
     ).drop("__known")

@@ -119,6 +119,18 @@ def test_hash_of_files(spark, tmp_path):
     assert got[3].startswith("ba7816bf") and got[6] is None
 
 
+def test_large_files_are_no_hash_failures(spark, tmp_path):
+    (tmp_path / "a").write_text("abc")
+    (tmp_path / "b").write_text("abcdef")
+    files = FI.content_hash_of(spark, str(tmp_path), max_size=4)
+    assert {r.size: r.hash_status for r in files.collect()} == {3: "hashed", 6: "too_large"}
+    files = files.withColumns({"file_extension": F.lit(""), "family": F.lit("x")})
+    got = FI.freeze(files, files, "family").first()
+    assert (got.hashed_files, got.hash_failures, got.too_large_files) == (1, 0, 1)
+    assert got.freeze_status == "review_too_large_files"
+    assert FI.freeze(files.drop("hash_status"), files, "family").first().freeze_status == "review_hash_failures"
+
+
 def test_delimiters(spark, tmp_path):
     (tmp_path / "a.txt").write_text("x;y\n1,5;2\n")
     (tmp_path / "b.txt").write_text("x\ty\n1\t2\n")
