@@ -260,7 +260,7 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         least = scratch.table(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         edges = scratch.table(small.filter("u > v").distinct(), "small")
-        state = edges.agg(F.count("*"), F.sum("v"), F.sum(F.hash("u", "v").cast("long"))).first()
+        state = edges.agg(F.count("*"), F.sum(F.col("v").cast("decimal(20,0)")), F.sum(F.hash("u", "v").cast("long"))).first()
         if state == seen:
             break
         seen = state

@@ -58,6 +58,16 @@ def test_stages_and_their_decisions(spark, sf):
     assert coded.count() == docs.count() and coded.filter("NOT intact OR n_tokens * 4 <> octet_length(ids)").count() == 0
 
 
+def test_rows_that_share_an_id_are_judged_by_their_own_texts(spark, sf):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(80)) for x in "abc")
+    rows = [(1, a, "en"), (5, a, "en"), (5, b, "en"), (7, b, "en"), (8, c, "en"), (8, c, "de"), (9, "", "en"), (None, a, "en"), (None, a, "en")]
+    docs = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = dict(corpus_pipeline.STAGES)["minhash_near_dedup"](spark, docs, sf)
+    assert got.columns == docs.columns
+    want = [(1, a, "en"), (5, b, "en"), (8, c, "de"), (9, "", "en"), (None, a, "en"), (None, a, "en")]
+    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.text, r.lang)) for r in got.collect())
+
+
 def test_the_whole_pipeline(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert 0 < out.count() <= 200 and out.filter("NOT intact").count() == 0
