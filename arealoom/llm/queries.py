@@ -239,11 +239,17 @@ def op1_toxicity_chain(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "p_junk", "is_junk", "p_toxic", "is_toxic")
 
 
+def quality_grade() -> Column:
+    """Null where quality, or with quality the toxic flag, is null."""
+    good, toxic = F.col("quality") == 1, F.col("toxic")
+    return F.when(F.col("quality") == 0, 0).when(good & (toxic == 1), 1).when(good & (toxic == 0), 2)
+
+
 @query()
 def op8_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
-    """Grades: 0 of no quality, 1 toxic, 2 neither; texts of grade 2 are selected."""
+    """Grades: 0 of no quality, 1 toxic, 2 neither; texts of grade 2 are selected. Labels that do not
+    tell the grade are not learnt from."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
-    rated = table(spark, folder, "labels").select("doc_id", grade.alias("grade"))
+    rated = table(spark, folder, "labels").select("doc_id", quality_grade().alias("grade"))
     model = ordinal.fit(rated, docs, levels=3, wanted=2)
     return ordinal.predict(docs, model).select("doc_id", "expected_grade", "p_wanted", "selected")

@@ -9,7 +9,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, hashed, langid, ordinal, toxicity
+from arealoom.llm import bpe, hashed, langid, ordinal, queries, toxicity
 
 PATTERN = public_tokenizers.PATTERN
 
@@ -170,3 +170,15 @@ def test_least_rows_are_those_of_the_least_hashes(spark):
         if len(want.setdefault(r.g, set())) < 50:
             want[r.g].add(r.key)
     assert got == want
+
+
+def test_labels_without_a_grade_are_not_learnt_from(spark, tmp_path, monkeypatch):
+    labels = [(1, 0, None), (2, 1, 1), (3, 1, 0), (4, None, 0), (5, None, None), (6, 1, None), (7, None, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "a")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+    monkeypatch.setattr(queries.ordinal, "fit", lambda rated, *a, **b: seen.append(rated))
+    monkeypatch.setattr(queries.ordinal, "predict", lambda df, model: df.withColumns(dict.fromkeys(["expected_grade", "p_wanted", "selected"], F.lit(0))))
+    queries.op8_ordinal_quality(spark, str(tmp_path))
+    grades = {r.doc_id: r.grade for r in seen[0].collect()}
+    assert grades == {1: 0, 2: 1, 3: 2, 4: None, 5: None, 6: None, 7: None}
