@@ -8,6 +8,7 @@ are evaluated in the order of their bounds until the next bound is beyond the k-
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,18 +20,18 @@ from arealoom.session import materialise
 
 #: Rows that pivots and the first thresholds are taken from, pivots, rows of a block, queries of a pass.
 SAMPLE_ROWS, PIVOTS, BLOCK_ROWS, PASS_QUERIES = 512, 32, 1024, 1 << 15
-#: Rows of a block evaluated at once, and the slack for distances held in 32 bits.
+#: Rows of a block evaluated at once, and the least slack for rounded distances.
 STEP_ROWS, SLACK = 64, 0.05
 
 
 def quantised(df: DataFrame, vec_id: str, vector: str, scale: int = 1024) -> DataFrame:
-    """``vec_id`` and ``vec``: floor of ``scale`` times each component as double. Rows with a null id, a
+    """``vec_id`` and ``vec``: floor of ``scale`` times each component as double, a long. Rows with a null id, a
     null vector or a null or non-finite component are left out."""
     column = F.col(f"`{vector}`")
     finite = F.forall(column, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = df.filter(F.col(f"`{vec_id}`").isNotNull() & column.isNotNull()).filter(finite)
     return rows.select(
-        F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.transform(column, lambda x: F.floor(x.cast("double") * scale).cast("int")).alias("vec")
+        F.col(f"`{vec_id}`").cast("long").alias("vec_id"), F.transform(column, lambda x: F.floor(x.cast("double") * scale)).alias("vec")
     )
 
 
@@ -65,6 +66,12 @@ def _query_distances(q: np.ndarray, pivots: np.ndarray, top: float) -> np.ndarra
     return np.sqrt(np.maximum(0, (q * q).sum(1)[:, None] + top - 2 * q @ pivots.T))
 
 
+def slack(top: float, width: int) -> float:
+    """More than the rounding of three distances computed as doubles, one of them held in 32 bits,
+    for squared norms of at most ``top``."""
+    return max(SLACK, math.sqrt(top) * (2.0**-22 + 8 * math.sqrt((width + 8) * 2.0**-52)))
+
+
 class _Best:
     """The k best of every query so far, by score and then smaller id."""
 
@@ -92,7 +99,8 @@ def top_k(df: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", v
     go to the smaller id; fewer candidates give fewer rows. Returns ``query_id``, ``rank`` from 1,
     ``vec_id``, ``score``. Vectors that are null or hold a null or non-finite component, and null ids,
     take no part; a shorter vector counts as ended with zeros; rows that share an id are candidates
-    one by one, and one query each if their vectors differ; an empty table gives no rows.
+    one by one, and one query each if their vectors differ; an empty table gives no rows. Scores are
+    exact; a squared norm of 2**63 or more (after ``scale``) is an error, as its score is no long.
 
     Pivots come from ``SAMPLE_ROWS`` rows of the least id hashes. All rows are in the table of distances,
     in blocks of about ``BLOCK_ROWS`` around the nearest pivot. Queries are searched in passes of
@@ -106,16 +114,18 @@ def top_k(df: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", v
     if not facts.n:
         return spark.createDataFrame([], schema)
     width, top = facts.width, float(facts.top)
+    # squared norms bound components and scores
+    held, exact = np.int32 if facts.top < 1 << 60 else np.int64, np.float64 if facts.top < 1 << 52 else np.int64
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id", "vec").limit(SAMPLE_ROWS).collect()
     sample_ids = np.array([r.vec_id for r in sample])
-    sample_rows = _matrix(pa.array([r.vec for r in sample], pa.list_(pa.int32())), width)
+    sample_rows = _matrix(pa.array([r.vec for r in sample], pa.list_(pa.int64())), width)
     pivots = choose_pivots(sample_rows, PIVOTS)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = _matrix(batch.column(1), width)
             distances = _row_distances(x, pivots, top)
-            made = [pa.array([r.tobytes() for r in y], pa.binary()) for y in (x.astype(np.int32), distances.astype(np.float32))]
+            made = [pa.array([r.tobytes() for r in y], pa.binary()) for y in (x.astype(held), distances.astype(np.float32))]
             yield pa.RecordBatch.from_arrays([batch.column(0), *made, pa.array(distances.argmin(axis=1), pa.int32())], ["vec_id", "vec", "far", "cell"])
 
     measured = materialise(rows.mapInArrow(measure, "vec_id bigint, vec binary, far binary, cell int"), "distances")
@@ -129,7 +139,7 @@ def top_k(df: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", v
     asked = measured.filter(queries).select("vec_id", "vec").distinct()
     asked = materialise(asked.withColumn("pass", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(max(1, -(-facts.n // PASS_QUERIES))))), "queries")
     passes = [r["pass"] for r in asked.select("pass").distinct().orderBy("pass").collect()]
-    found = [_search(table, asked.filter(F.col("pass") == p), pivots, top, width, k, sample_ids, sample_rows) for p in passes]
+    found = [_search(table, asked.filter(F.col("pass") == p), pivots, top, width, k, sample_ids, sample_rows, held, exact) for p in passes]
     if not found:
         return spark.createDataFrame([], schema)
     every = found[0]
@@ -139,11 +149,12 @@ def top_k(df: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", v
     return every.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _search(table: DataFrame, asked: DataFrame, pivots, top: float, width: int, k: int, sample_ids, sample_rows) -> DataFrame:
+def _search(table: DataFrame, asked: DataFrame, pivots, top: float, width: int, k: int, sample_ids, sample_rows, held, exact) -> DataFrame:
     queries = asked.select("vec_id", "vec", F.xxhash64("vec").alias("hash")).orderBy("vec_id", "vec").collect()
     ids = np.array([r.vec_id for r in queries], np.int64)
     hashes = np.array([r["hash"] for r in queries], np.int64)
-    q = np.array([np.frombuffer(r.vec, np.int32) for r in queries]).astype(float).reshape(len(ids), width)
+    q = np.array([np.frombuffer(r.vec, held) for r in queries]).astype(float).reshape(len(ids), width)
+    loose = slack(top, width)
     shared = table.sparkSession.sparkContext.broadcast((ids, hashes, q, _query_distances(q, pivots, top), (q * q).sum(1) + top))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,11 +165,11 @@ def _search(table: DataFrame, asked: DataFrame, pivots, top: float, width: int,
         if len(sample_ids) > k:
             scores = np.where(sample_ids == ids[:, None], -np.inf, q @ sample_rows.T)
             kth = np.sort(scores, axis=1)[:, -k]
-            limit = np.where(np.isfinite(kth), np.sqrt(np.maximum(0, base - 2 * kth)), np.inf) + SLACK
+            limit = np.where(np.isfinite(kth), np.sqrt(np.maximum(0, base - 2 * kth)), np.inf) + loose
         for batch in batches:
             block = batch.column(3).to_numpy()
             rows = batch.column(0).to_numpy()
-            vectors = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.int32).reshape(len(rows), -1).astype(float)
+            vectors = np.frombuffer(b"".join(batch.column(1).to_pylist()), held).reshape(len(rows), -1).astype(exact)
             distances = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.float32).reshape(len(rows), -1).astype(float)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(rows)]])
             for low, high in zip(cuts[:-1], cuts[1:], strict=True):
@@ -171,10 +182,10 @@ def _search(table: DataFrame, asked: DataFrame, pivots, top: float, width: int,
                     at = 0
                     while at < len(order) and bound[order[at]] <= limit[i]:
                         chosen = low + order[at : at + STEP_ROWS]
-                        best.add(i, rows[chosen], vectors[chosen] @ q[i])
+                        best.add(i, rows[chosen], vectors[chosen] @ q[i].astype(exact))
                         worst = best.worst(i)
                         if np.isfinite(worst):
-                            limit[i] = min(limit[i], np.sqrt(max(0.0, base[i] - 2 * worst)) + SLACK)
+                            limit[i] = min(limit[i], np.sqrt(max(0.0, base[i] - 2 * worst)) + loose)
                         at += STEP_ROWS
         for i, (found, scores) in best.found.items():
             n = len(found)

@@ -1,10 +1,12 @@
 """Near-duplicates, decontamination, pivot search and sharding against brute force."""
 
 import itertools
+import math
 import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -133,6 +135,30 @@ def test_top_k_with_ties_nulls_and_repeats(spark):
     assert [r["rank"] for r in few] == [1, 2, 3]
 
 
+@pytest.mark.parametrize("size", [1e3, 1e5, 2.0**21])
+def test_search_is_exact_for_large_vectors(spark, size):
+    rng = random.Random(8)
+    rows = [(i, [rng.uniform(-s, s) for s in [1.2 * size] + [size / 4] * 5]) for i in range(700)]
+    for i in range(0, 700, 7):  # neighbours that differ by little
+        rows[i] = (i, [x + rng.uniform(-1, 1) / 512 for x in rows[3][1]])
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    whole = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows]
+    want = {}
+    for q, x in whole[::10]:
+        scored = sorted((-sum(a * b for a, b in zip(x, y, strict=True)), i) for i, y in whole if i != q)[:10]
+        want[q] = [(n, i, -s) for n, (s, i) in enumerate(scored, 1)]
+    got = {}
+    for r in pivots.top_k(df, F.col("vec_id") % 10 == 0).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    assert {q: sorted(v) for q, v in got.items()} == want
+
+
+def test_slack_grows_with_the_norms():
+    top = 1e14
+    assert pivots.slack(top, 64) > 2 * np.spacing(np.float32(2 * math.sqrt(top)))
+    assert pivots.slack(1e6, 64) == pivots.SLACK
+
+
 def test_shards(edge_docs, edge_rows, no_docs):
     weights = {0: 1.0, 1: 1.0, 2: 2.0}
     placed = rendezvous.assign(edge_docs.select("doc_id", "text", "block"), "doc_id", weights)
