@@ -20,6 +20,8 @@ from arealoom.session import materialise
 
 #: Rows that pivots and the first thresholds are taken from, pivots, rows of a block, queries of a pass.
 SAMPLE_ROWS, PIVOTS, BLOCK_ROWS, PASS_QUERIES = 512, 32, 1024, 1 << 15
+#: Queries scored against the sample at once.
+QUERY_STEP = 1024
 #: Rows of a block evaluated at once, and the least slack for rounded distances.
 STEP_ROWS, SLACK = 64, 0.05
 
@@ -104,7 +106,7 @@ def top_k(df: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", v
 
     Pivots come from ``SAMPLE_ROWS`` rows of the least id hashes. All rows are in the table of distances,
     in blocks of about ``BLOCK_ROWS`` around the nearest pivot. Queries are searched in passes of
-    ``PASS_QUERIES``, broadcast one pass at a time; every task keeps ``k`` rows per query.
+    about ``PASS_QUERIES``, broadcast one pass at a time; every task keeps ``k`` rows per query.
     """
     spark = df.sparkSession
     rows = quantised(df, vec_id, vector, scale)
@@ -137,7 +139,7 @@ def top_k(df: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_id", v
     table = materialise(table.repartition("block").sortWithinPartitions("block").select("vec_id", "vec", "far", F.hash("block").alias("block")), "blocks")
 
     asked = measured.filter(queries).select("vec_id", "vec").distinct()
-    asked = materialise(asked.withColumn("pass", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(max(1, -(-facts.n // PASS_QUERIES))))), "queries")
+    asked = materialise(asked.withColumn("pass", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(max(1, -(-asked.count() // PASS_QUERIES))))), "queries")
     passes = [r["pass"] for r in asked.select("pass").distinct().orderBy("pass").collect()]
     found = [_search(table, asked.filter(F.col("pass") == p), pivots, top, width, k, sample_ids, sample_rows, held, exact) for p in passes]
     if not found:
@@ -163,8 +165,11 @@ def _search(table: DataFrame, asked: DataFrame, pivots, top: float, width: int,
         # thresholds from the sample; its own rows are found again with all others
         limit = np.full(len(ids), np.inf)
         if len(sample_ids) > k:
-            scores = np.where(sample_ids == ids[:, None], -np.inf, q @ sample_rows.T)
-            kth = np.sort(scores, axis=1)[:, -k]
+            kth = np.empty(len(ids))
+            for low in range(0, len(ids), QUERY_STEP):
+                some = slice(low, low + QUERY_STEP)
+                scores = np.where(sample_ids == ids[some, None], -np.inf, q[some] @ sample_rows.T)
+                kth[some] = np.sort(scores, axis=1)[:, -k]
             limit = np.where(np.isfinite(kth), np.sqrt(np.maximum(0, base - 2 * kth)), np.inf) + loose
         for batch in batches:
             block = batch.column(3).to_numpy()

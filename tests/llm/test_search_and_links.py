@@ -159,6 +159,16 @@ def test_slack_grows_with_the_norms():
     assert pivots.slack(1e6, 64) == pivots.SLACK
 
 
+def test_passes_follow_the_number_of_queries(spark, monkeypatch):
+    calls, search = [], pivots._search
+    monkeypatch.setattr(pivots, "_search", lambda *a: calls.append(1) or search(*a))
+    monkeypatch.setattr(pivots, "PASS_QUERIES", 8)
+    rows = [(i, [float(i % 13), float(i % 7)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    assert pivots.top_k(df, F.col("vec_id") % 100 == 0).count() == 40
+    assert len(calls) == 1
+
+
 def test_shards(edge_docs, edge_rows, no_docs):
     weights = {0: 1.0, 1: 1.0, 2: 2.0}
     placed = rendezvous.assign(edge_docs.select("doc_id", "text", "block"), "doc_id", weights)
