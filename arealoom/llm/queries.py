@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.llm import bpe, decontaminate, langid, oddsketch, ordinal, pivots, rendezvous, substrings, suffixes, toxicity
+from arealoom.llm import bpe, decontaminate, langid, oddsketch, ordinal, pieces, pivots, rendezvous, runs, substrings, suffixes, toxicity, whitening
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -253,3 +253,61 @@ def op8_ordinal_quality(spark: SparkSession, folder: str) -> DataFrame:
     rated = table(spark, folder, "labels").select("doc_id", quality_grade().alias("grade"))
     model = ordinal.fit(rated, docs, levels=3, wanted=2)
     return ordinal.predict(docs, model).select("doc_id", "expected_grade", "p_wanted", "selected")
+
+
+@query()
+def op11_polynomial_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Every usable vector on the eight leading components; one row for each component."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    model = whitening.fit(vectors, components=8)
+    found = whitening.whiten(vectors, model)
+    share = F.array(*[F.lit(x) for x in (model.shares if model else [])]).cast("array<double>")
+    rows = found.select("vec_id", "n", F.expr("try_cast(deviation AS bigint)").alias("deviation"), F.posexplode("whitened").alias("place", "whitened"))
+    return rows.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        "n",
+        "deviation",
+        "whitened",
+        F.get(share, F.col("place")).alias("explained"),
+        F.lit(model.error if model else None).cast("double").alias("identity_error"),
+    )
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The rule of the table of operator 12: in every tenth document by ``h = crc32(doc_id)`` the words
+    from place a on repeat the p words that stand there."""
+    planted = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    words = F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    planted = planted.select("doc_id", "text", words.alias("words"), F.expr("h div 10 AS g")).withColumn("n", F.size("words").cast("long"))
+    planted = planted.withColumn("a", F.expr("if(n > 0, g % n, null)")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    place = F.expr("transform(sequence(0L, n - 1), i -> element_at(words, cast(if(i >= a, a + (i - a) % p, i) AS int) + 1))")
+    return planted.select("doc_id", F.when(F.col("n") > 0, F.array_join(place, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_grammar_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words of every document, and its text without their repeats."""
+    found = runs.periodic_runs(with_planted_runs(table(spark, folder, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[F.col(f"strongest.{c}").alias(c) for c in ("start", "length", "period")],
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        text_digest(F.array_join(lines, "")).alias("runs_sha256"),
+        text_digest("collapsed").alias("collapsed_sha256"),
+    )
+
+
+@query()
+def op13_prefix_table_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every whole text by the public piece model, and the text they decode to."""
+    model = pieces.load_model(public_tokenizers.path("piece_bpe_32k.model"))
+    coded = pieces.round_trip(table(spark, folder, "documents").select("doc_id", "text"), model)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        text_digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        text_digest("decoded").alias("decoded_sha256"),
+    )
