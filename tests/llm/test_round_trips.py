@@ -1,5 +1,6 @@
 """Whitening, periodic runs and piece encoding against numpy, brute force and the tokenizer library."""
 
+import functools
 import hashlib
 import random
 import re
@@ -151,11 +152,16 @@ def test_pieces_against_the_library(model, library):
         assert codec.decode(ids) == library.decode(ids), ids
 
 
+@functools.cache
+def both():
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return pieces.Codec(pieces.load_model(path)), sentencepiece.SentencePieceProcessor(model_file=path)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(st.characters(exclude_categories=["Cs"]), max_size=60))
 def test_any_text_as_the_library(text):
-    codec = test_any_text_as_the_library.__dict__.setdefault("codec", pieces.Codec(pieces.load_model(public_tokenizers.path("piece_bpe_32k.model"))))
-    lib = test_any_text_as_the_library.__dict__.setdefault("lib", sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")))
+    codec, lib = both()
     assert ids_of(codec, text) == lib.encode(text)
 
 
