@@ -23,8 +23,12 @@ from pyspark.sql import types as T
 
 from arealoom.llm.words import release, slices
 
-#: Entries of the memo of pieces and of the memo of compatible pairs in each worker.
-MEMO_ENTRIES = 400_000
+#: Bytes of the memo of pieces, and entries of the memo of compatible pairs, in each worker.
+MEMO_BYTES = 96 << 20
+PAIR_ENTRIES = 400_000
+_ENTRY_BYTES = 200
+#: Bytes of text that a worker encodes at a time.
+SLICE_BYTES = 1 << 20
 
 
 class Vocabulary(NamedTuple):
@@ -68,18 +72,21 @@ def vocabulary(ranks: dict[bytes, int]) -> Vocabulary:
 
 
 class _PieceMemo(dict):
-    """Piece of text -> its ids as little-endian bytes; emptied when full."""
+    """Piece of text -> its ids as little-endian bytes; emptied when its bytes reach the bound."""
 
-    def __init__(self, codec: Codec):
+    def __init__(self, codec: Codec, limit: int):
         super().__init__()
         self.codec = weakref.proxy(codec)  # else the pair would wait for the cycle collector
+        self.limit, self.held = limit, 0
 
     def __missing__(self, piece: str) -> bytes:
         codec = self.codec
         ids = b"".join([codec.packed[token] for token in codec.encode_piece(piece.encode())])
         if len(piece) <= 64:
-            if len(self) >= MEMO_ENTRIES:
+            self.held += _ENTRY_BYTES + 2 * len(piece) + len(ids)
+            if self.held > self.limit:
                 self.clear()
+                self.held = 0
             self[piece] = ids
         return ids
 
@@ -87,7 +94,7 @@ class _PieceMemo(dict):
 class Codec:
     """Encoder and decoder of one vocabulary, built once in each task."""
 
-    def __init__(self, vocab: Vocabulary, pattern: str):
+    def __init__(self, vocab: Vocabulary, pattern: str, memo_bytes: int = MEMO_BYTES):
         self.tokens, self.pattern = vocab.tokens, regex.compile(pattern)
         self.ranks = {token: rank for rank, token in enumerate(vocab.tokens)}
         self.left, self.right = vocab.left.tolist(), vocab.right.tolist()
@@ -104,11 +111,12 @@ class Codec:
             self.automaton.add_word(self.tokens[rank].decode("latin-1"), rank)
         self.automaton.make_automaton()
         self.fits: dict[int, bool] = {}
-        self.memo = _PieceMemo(self)
+        self.pair_entries = max(min(PAIR_ENTRIES, memo_bytes // _ENTRY_BYTES), 1)
+        self.memo = _PieceMemo(self, memo_bytes)
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the merges leave ``a`` and ``b`` apart where they stand side by side."""
-        if len(self.fits) >= MEMO_ENTRIES:
+        if len(self.fits) >= self.pair_entries:
             self.fits.clear()
         known = self.fits[a << 32 | b] = self._stay_apart(a, b)
         return known
@@ -173,14 +181,14 @@ class Codec:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
-_CODECS: dict[tuple[int, str], Codec] = {}
+_CODECS: dict[tuple, Codec] = {}
 
 
-def _codec(shared, pattern: str) -> Codec:
-    key = (shared.value[0], pattern)
+def _codec(shared, pattern: str, memo_bytes: int = MEMO_BYTES) -> Codec:
+    key = (shared.value[0], pattern, memo_bytes)
     if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[key] = Codec(shared.value[1], pattern)
+        _CODECS[key] = Codec(shared.value[1], pattern, memo_bytes)
     return _CODECS[key]
 
 
@@ -195,17 +203,18 @@ def _share(df: DataFrame, vocab: Vocabulary):
     return df.sparkSession.sparkContext.broadcast((hash((len(vocab.tokens), vocab.tokens[-1])), vocab))
 
 
-def _with_columns(df: DataFrame, column: str, names: list[str], work) -> DataFrame:
-    """Add binary columns made by ``work`` from ``column``, slice by slice; columns of these names are
-    replaced."""
+def _with_columns(df: DataFrame, column: str, added: list[T.StructField], work, drop: bool = False) -> DataFrame:
+    """Add columns made by ``work`` from ``column``, slice by slice; columns of these names are replaced,
+    and with ``drop`` the column itself is left out."""
+    names = [f.name for f in added] + [column] * drop
     keep = [i for i, f in enumerate(df.schema.fields) if f.name not in names]
-    schema = T.StructType([*[df.schema.fields[i] for i in keep], *[T.StructField(n, T.BinaryType()) for n in names]])
+    schema = T.StructType([*[df.schema.fields[i] for i in keep], *added])
     at = df.columns.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(at)
-            for low, high, _, _ in slices(values):
+            for low, high, _, _ in slices(values, SLICE_BYTES):
                 part = batch.slice(low, high - low)
                 made = work(values.slice(low, high - low))
                 yield pa.RecordBatch.from_arrays([*[part.column(i) for i in keep], *made], schema.names)
@@ -214,6 +223,10 @@ def _with_columns(df: DataFrame, column: str, names: list[str], work) -> DataFra
     return df.mapInArrow(run, schema)
 
 
+def _binary(name: str) -> T.StructField:
+    return T.StructField(name, T.BinaryType())
+
+
 def encode(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of every whole text as packed little-endian unsigned 32-bit integers.
 
@@ -227,7 +240,7 @@ def encode(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text", i
         codec = _codec(shared, pattern)
         return [pa.array([codec.encode(x) if x else b"" for x in values.to_pylist()], pa.binary())]
 
-    return _with_columns(df, text, [ids], work)
+    return _with_columns(df, text, [_binary(ids)], work)
 
 
 def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -240,7 +253,7 @@ def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", decoded: str = "d
             pa.array([b"".join(map(tokens.__getitem__, np.frombuffer(x or b"", "<u4").tolist())) for x in values.to_pylist()], pa.binary())
         ]
 
-    return _with_columns(df, ids, [decoded], work)
+    return _with_columns(df, ids, [_binary(decoded)], work)
 
 
 def round_trip(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -252,4 +265,23 @@ def round_trip(df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text
         made = [codec.encode(x) if x else b"" for x in values.to_pylist()]
         return [pa.array(made, pa.binary()), pa.array(map(codec.decode, made), pa.binary())]
 
-    return _with_columns(df, text, [ids, decoded], work)
+    return _with_columns(df, text, [_binary(ids), _binary(decoded)], work)
+
+
+def checked(
+    df: DataFrame, vocab: Vocabulary, pattern: str, text: str = "text", ids: str = "ids", intact: str = "intact", memo_bytes: int = MEMO_BYTES
+) -> DataFrame:
+    """``encode``, with ``intact`` telling whether the ids decode to the text again (true for null and
+    empty texts). The text itself is left out: neither it nor what was decoded leaves the worker."""
+    shared = _share(df, vocab)
+
+    def work(values: pa.Array) -> list[pa.Array]:
+        codec = _codec(shared, pattern, memo_bytes)
+        made, same = [], []
+        for x in values:
+            whole = x.as_py() or ""
+            made.append(codec.encode(whole) if whole else b"")
+            same.append(codec.decode(made[-1]) == whole.encode())
+        return [pa.array(made, pa.binary()), pa.array(same, pa.bool_())]
+
+    return _with_columns(df, text, [_binary(ids), T.StructField(intact, T.BooleanType())], work, drop=True)

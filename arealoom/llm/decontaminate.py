@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from arealoom.llm.words import LOWER, NOT_ALNUM, Words, find_words, gather, slices, window_hashes
+from arealoom.llm.words import LOWER, NOT_ALNUM, Words, find_words, gather, release, slices, window_hashes
 from arealoom.session import materialise
 
 #: Bits of the filter of wanted tokens. Its size is fixed; more tokens only let more rows through.
@@ -31,6 +31,8 @@ def _joined(data: np.ndarray, words: Words, index: np.ndarray, groups: np.ndarra
     padded = np.append(LOWER[data], np.uint8(0x20))
     text, ends = gather(padded, words.starts[index], words.ends[index] - words.starts[index] + 1)
     text[ends[1:] - 1] = 0x20
+    if len(text) >= 1 << 31:
+        raise ValueError("the words around the hits of one slice take over 2 GiB")
     return pa.Array.from_buffers(pa.string(), len(groups) - 1, [None, pa.py_buffer(ends[groups].astype(np.int32)), pa.py_buffer(text)])
 
 
@@ -58,6 +60,7 @@ def item_windows(items: DataFrame, item_id: str, text: str, width: int, shingle:
                     [batch.column(0).slice(low, high - low).take(pa.array(rows)), _joined(data, words, index, groups), pa.array(widths, pa.int32())],
                     ["item", "window", "width"],
                 )
+        release()
 
     rows = items.select(F.col(item_id).cast("string").alias("item"), F.col(text).alias("text"))
     windows = rows.mapInArrow(run, "item string, window string, width int")
@@ -79,6 +82,7 @@ def item_windows(items: DataFrame, item_id: str, text: str, width: int, shingle:
                     [*batch.slice(low, high - low).columns, pa.array(made, pa.list_(pa.struct([("token", pa.int64()), ("place", pa.int32())])))],
                     [*batch.schema.names, "tokens"],
                 )
+        release()
 
     return distinct.mapInArrow(tokens, "window string, width int, items array<string>, tokens array<struct<token: bigint, place: int>>")
 
@@ -115,6 +119,7 @@ def token_counts(docs: DataFrame, text: str, wanted, shingles: list[int]) -> Dat
                 found += [hashes for _, hashes in _hits(_words(data, bounds), bits, shingles)]
             tokens, counts = np.unique(np.concatenate(found or [np.zeros(0, np.int64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(tokens), pa.array(counts)], ["token", "n"])
+        release()
 
     return docs.select(text).mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -149,6 +154,7 @@ def candidates(docs: DataFrame, text: str, wanted, shingles: list[int], reach: i
                     [*[part.column(i) for i in keep], pa.array(np.diff(words.first)), pa.ListArray.from_arrays(pa.array(offsets), spots)],
                     [*[batch.schema.names[i] for i in keep], "n_words", "spots"],
                 )
+        release()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text)
     return docs.mapInArrow(run, f"{fields}, n_words bigint, spots array<struct<token: bigint, at: int, before: int, near: string>>")

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arealoom.llm.words import _BYTE_VALUES, LOWER, NOT_ALNUM, WHITE_SPACE, _hash_spans, find_words, slices
+from arealoom.llm.words import _BYTE_VALUES, _hash_spans, find_words, LOWER, NOT_ALNUM, release, slices, WHITE_SPACE
 from arealoom.operators.joins import spread_join
 
 BITS = 18
@@ -91,6 +91,7 @@ def sample_bags(labels: DataFrame, texts: DataFrame, key: str, label: str, text:
                 made = [bag(features, first[i], first[i + 1]) for i in range(high - low)]
                 columns = [pa.array([x.astype(kind).tobytes() for x in side], pa.binary()) for side, kind in zip(zip(*made, strict=True), ("<u4", "<u4"), strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.slice(low, high - low).columns[:2], *columns], ["label", "key", "buckets", "counts"])
+        release()
 
     # at most per_label rows of each of a few labels
     sample = rows.join(F.broadcast(chosen), "key").dropDuplicates(["key", "label"]).select("label", F.col("key").cast("string").alias("key"), "text")
@@ -115,5 +116,6 @@ def add_columns(df: DataFrame, text: str, fields: list[tuple[str, T.DataType]],
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(i) for i in keep], *work(data, bounds)], [*[batch.schema.names[i] for i in keep], *names]
                 )
+        release()
 
     return df.mapInArrow(run, schema)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arealoom.llm.hashed import least_rows
-from arealoom.llm.words import slices
+from arealoom.llm.words import release, slices
 
 SIZES = (2, 3, 4)
 BUCKETS = 1 << 14
@@ -163,6 +163,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str
                      pa.array([x.astype(np.float32).tobytes() for _, x in made], pa.binary())],
                     ["lang", "n", "buckets", "shares"],
                 )
+        release()
 
     texts = labelled.select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
     # at most SAMPLE_ROWS keys
@@ -209,6 +210,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     [*[part.column(i) for i in keep], pa.array(languages[best], pa.string()), pa.array(score), pa.array(letters & (score >= model.threshold))],
                     [*[f.name for f in fields], *names],
                 )
+        release()
 
     return kept.mapInArrow(run, schema)
 
