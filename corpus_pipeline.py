@@ -14,12 +14,25 @@ from arealoom.llm import bpe, decontaminate, langid, oddsketch, suffixes
 from arealoom.session import materialise
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Bytes of texts that go to a Python worker at once, and of the memo of pieces that each worker keeps.
+BATCH_BYTES, TOKEN_MEMO_BYTES = 8 << 20, 24 << 20
+
+
+def bound_batches(docs: DataFrame) -> DataFrame:
+    """The table itself; its session sends whole texts to Python in batches of bounded bytes (by number
+    of rows alone a batch of long texts takes hundreds of megabytes on either side)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = docs.sparkSession.conf.get(name, None) or ""
+    if not before.isdigit() or int(before) > BATCH_BYTES:
+        docs.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return docs
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not told with enough confidence go. The model learns from the
-    labelled documents outside the held-out fifth."""
-    docs = docs.select(*COLUMNS)
+    labelled documents outside the held-out fifth. Texts that are null or have no letter have no language
+    and go; rows without an id are judged by their text."""
+    docs = bound_batches(docs).select(*COLUMNS)
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
     return langid.predict(docs, model).filter("accepted").select(*COLUMNS)
 
@@ -31,7 +44,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows that share an id are judged by their own texts: a document is an id and a text hash, and the
     smallest of a group is told by id, then text hash. Of rows with one id and one text, one stays
     (the least by language, source and length). Rows without an id all stay."""
-    docs = docs.select(*COLUMNS)
+    docs = bound_batches(docs).select(*COLUMNS)
     if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
         groups = oddsketch.near_duplicates(docs, k=5, percent=80)
         dropped = materialise(groups.filter(~F.col("kept")).select("doc_id").distinct(), "dropped")
@@ -53,7 +66,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Strings of 100 bytes that also start earlier go; a character that a cut would split goes with
     them. Every document stays, with what is left of its text (empty for a null text)."""
-    cut = suffixes.remove(docs.select(*COLUMNS), carry=True, as_text=True)
+    cut = suffixes.remove(bound_batches(docs).select(*COLUMNS), carry=True, as_text=True)
     return cut.select(
         "row.doc_id",
         F.col("kept").alias("text"),
@@ -67,22 +80,17 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents go of which a twentieth of the words or more stands in 13-word windows of the
     benchmark."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.clean(docs.select(*COLUMNS), items)
+    return decontaminate.clean(bound_batches(docs).select(*COLUMNS), items)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids by the public byte-level ranks (packed, little-endian, 32 bits), and whether they decode to
-    the text again."""
+    the text again. A null text has no ids and is intact; rows without an id pass like all others."""
     vocab = bpe.load_vocabulary(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    coded = bpe.round_trip(docs.select(*COLUMNS), vocab, public_tokenizers.PATTERN)
-    return coded.select(
-        "doc_id",
-        "lang",
-        "source",
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        "ids",
-        (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("intact"),
-    )
+    rows = bound_batches(docs).select("doc_id", "text", "lang", "source")
+    coded = bpe.checked(rows, vocab, public_tokenizers.PATTERN, memo_bytes=TOKEN_MEMO_BYTES)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return coded.select("doc_id", "lang", "source", n_tokens, "ids", "intact")
 
 
 STAGES = [
