@@ -19,7 +19,7 @@ from arealoom.operators.profiling import geography_from_values
 from arealoom.session import col_name, materialise, scratch_path
 from arealoom.sources.files import file_inventory, unpack_members, zip_members
 from arealoom.sources.sinks import write_by_geography
-from arealoom.sources.tables import file_layouts, layout_groups, read_group
+from arealoom.sources.tables import SOURCE, file_layouts, layout_groups, read_group
 
 
 def geography_of(columns: list[str]) -> str:
@@ -92,10 +92,11 @@ def _held(rows: DataFrame, path: str, status, reason, families) -> DataFrame:
 def _stage_group(spark, key: tuple, paths: list[str], members, target: str, families) -> DataFrame:
     """Write the files of one layout and header, one folder for each level; audit rows by file."""
     separator, encoding, multi_line, _ = key
-    raw = read_group(spark, paths, separator, encoding, multi_line)
-    names = unique_names(raw.columns)
-    cells = [F.nullif(F.trim(F.col(col_name(c))), F.lit("")).alias(n) for c, n in zip(raw.columns, names)]
-    placed = raw.select(*cells, F.col("_metadata.file_path").alias("source_path")).dropna("all", subset=names)
+    raw = read_group(spark, paths, separator, encoding, multi_line, with_source=True)
+    headers = [c for c in raw.columns if c != SOURCE]
+    names = unique_names(headers)
+    cells = [F.nullif(F.trim(F.col(col_name(c))), F.lit("")).alias(n) for c, n in zip(headers, names)]
+    placed = raw.select(*cells, F.col(SOURCE).alias("source_path")).dropna("all", subset=names)
     level = geography_of(names)
     if level == "unknown":
         levels = geography_from_values(placed, names, by="source_path").select("source_path", "native_geography")

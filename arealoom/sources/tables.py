@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from arealoom.operators.catalog import clean_header
 from arealoom.session import col_name
+from arealoom.sources.records import SPLITTABLE, quoted_records
 
 
 def read_csv_text(
@@ -20,12 +21,25 @@ def read_csv_text(
 ) -> DataFrame:
     """Every column as text, so leading zeros survive; headers without BOM or stray whitespace.
 
-    A quoted cell may hold line breaks: ``multi_line`` reads each file as a whole then. Unless given it is
-    decided by one aggregate over the lines: only where some line has an odd number of quotes."""
+    A quoted cell may hold line breaks (``multi_line``; unless given it is decided by one aggregate over
+    the lines: only where some line has an odd number of quotes). Such files are read split by split
+    too, by the parity of the quotes before each split."""
     if multi_line is None:
         lines = spark.read.text(path)
         multi_line = bool(lines.agg(F.bool_or(_open_quote(F.col("value"))).alias("m")).first()["m"])
-    df = (
+    if multi_line and encoding.lower() in SPLITTABLE:
+        df = _parsed_records(spark, path, sep, encoding).drop(SOURCE)
+    else:
+        df = _csv(spark, path, sep, encoding, multi_line)
+    return df.toDF(*[clean_header(c) for c in df.columns])
+
+
+#: Column for the file that a row comes from.
+SOURCE = "__source_path"
+
+
+def _csv(spark: SparkSession, path, sep: str, encoding: str, multi_line: bool) -> DataFrame:
+    return (
         spark.read.option("header", True)
         .option("inferSchema", False)
         .option("sep", sep)
@@ -35,7 +49,21 @@ def read_csv_text(
         .option("multiLine", multi_line)
         .csv(path)
     )
-    return df.toDF(*[clean_header(c) for c in df.columns])
+
+
+def _parsed_records(spark: SparkSession, path, sep: str, encoding: str) -> DataFrame:
+    """The cells of every record but the first of each file, under the names that Spark reads from the
+    first file, and the file."""
+    names = _csv(spark, path, sep, encoding, True).columns
+    records = quoted_records(spark, path, encoding)
+    first = records.groupBy("path").agg(F.min(F.struct("block", "place", "crlf")).alias("header"))
+    rows = records.join(first, "path").filter(F.struct("block", "place") > F.struct("header.block", "header.place"))
+    # the line end of the file reads as one sign inside of cells too
+    same_end = F.when(F.col("header.crlf"), F.replace("record", F.lit("\r\n"), F.lit("\n"))).otherwise(F.col("record"))
+    rows = rows.withColumn("record", same_end)
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    cells = rows.select(F.from_csv("record", schema, {"sep": sep, "quote": '"', "escape": '"'}).alias("r"), F.col("path").alias(SOURCE))
+    return cells.select(*[F.col(f"r.c{i}") for i in range(len(names))], SOURCE).toDF(*names, SOURCE)
 
 
 def _open_quote(line: Column) -> Column:
@@ -105,11 +133,21 @@ def from_windows_1252(df: DataFrame) -> DataFrame:
     return fixed.toDF(*[c.translate(str.maketrans(_C1_FROM, _C1_TO)) for c in df.columns])
 
 
-def read_group(spark: SparkSession, paths: list[str], sep: str, encoding: str, multi_line: bool) -> DataFrame:
-    """Files of one layout and header as one table."""
+def read_group(
+    spark: SparkSession, paths: list[str], sep: str, encoding: str, multi_line: bool, with_source: bool = False
+) -> DataFrame:
+    """Files of one layout and header as one table; with the file of each row as ``SOURCE`` if asked."""
     windows = encoding == "windows-1252"
-    part = read_csv_text(spark, sorted(paths), sep, "ISO-8859-1" if windows else encoding, multi_line)
-    return from_windows_1252(part) if windows else part
+    known = "ISO-8859-1" if windows else encoding
+    if multi_line and known.lower() in SPLITTABLE:
+        part = _parsed_records(spark, sorted(paths), sep, known)
+    else:
+        part = _csv(spark, sorted(paths), sep, known, multi_line)
+        part = part.withColumn(SOURCE, F.col("_metadata.file_path"))
+    part = part.toDF(*[clean_header(c) for c in part.columns])
+    if windows:
+        part = from_windows_1252(part)
+    return part if with_source else part.drop(SOURCE)
 
 
 def layout_groups(layouts: DataFrame, sep: str | None = None) -> dict[tuple, list[str]]:

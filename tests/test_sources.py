@@ -137,3 +137,45 @@ def test_delimiters(spark, tmp_path):
     got = {r.path[-5]: r.delimiter for r in T.detect_delimiter(spark, str(tmp_path)).collect()}
     assert got == {"a": ";", "b": "\t"}
     assert T.read_csv_sniffed(spark, [str(tmp_path / n) for n in ("a.txt", "b.txt")]).select(F.sum("y")).first()[0] == 4
+
+
+def _write_quoted(path, rows, end="\r\n"):
+    import csv
+
+    with open(path, "w", newline="", encoding="utf-8") as file:
+        csv.writer(file, lineterminator=end).writerows(rows)
+
+
+def test_quoted_line_ends_are_read_by_several_tasks(spark, tmp_path):
+    """Small splits, cells of many lines (some longer than a split), and every border case around them."""
+    import random
+
+    rng = random.Random(8)
+    cell = ["plain", 'say "hi"', "two\nlines", "a\r\nb", "", ",", '"', "x\n" * 400, '"\n"']
+    rows = [["id", "no te", "z"]] + [[f"{i:05d}", rng.choice(cell), rng.choice(cell)] for i in range(3000)]
+    _write_quoted(tmp_path / "a.csv", rows)
+    _write_quoted(tmp_path / "b.csv", [rows[0], *rows[5:900]], "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+        got = T.read_csv_text(spark, paths)
+        assert got.columns == ["id", "no te", "z"]
+        whole = T._csv(spark, paths, ",", "UTF-8", True)
+        assert whole.rdd.getNumPartitions() == 2 and got.count() == 3895
+        assert got.select(F.spark_partition_id().alias("p")).distinct().count() > 10
+        key = lambda r: tuple(x or "" for x in r)
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, whole.collect()), key=key)
+        want = [[x.replace("\r\n", "\n") or None for x in r] for r in rows[1:]]
+        assert sorted(map(list, T.read_csv_text(spark, paths[0]).collect()), key=key) == sorted(want, key=key)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_an_open_quote_and_empty_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y\n1,"never closed\n2,b\n')
+    whole = [tuple(r) for r in T._csv(spark, str(tmp_path / "a.csv"), ",", "UTF-8", True).collect()]
+    got = [tuple(r) for r in T.read_csv_text(spark, str(tmp_path / "a.csv")).collect()]
+    assert [(a, b.rstrip()) for a, b in got] == [(a, b.rstrip()) for a, b in whole]
+    (tmp_path / "b.csv").write_text("x,y\n")
+    assert T.read_csv_text(spark, str(tmp_path / "b.csv"), multi_line=True).count() == 0
