@@ -71,11 +71,11 @@ def find_columns(spark, sf):
  count(*) FILTER (score = best) > 1 AS ambiguous, count(*) AS candidates FROM z GROUP BY 1, 2""",
 )
 def resolve_features(spark, sf):
-    specs = [
-        C.FeatureSpec("code", ("code",), any_of=("sa2", "lga"), prefer=("code",), prefix_bonus=(("SA2", 25),)),
-        C.FeatureSpec("persons", ("total",), exclude=("not_stated",), suffix="_persons"),
-    ]
-    return C.resolve_features(headers(spark, sf), specs)
+    features = {
+        "code": [(C.MUST, "code"), (C.MUST, "sa2|lga"), (5, "code"), (25, "^sa2")],
+        "persons": [(C.MUST, "total"), (C.MUST, "persons$"), (C.NEVER, "not_stated")],
+    }
+    return C.resolve_features(headers(spark, sf), features)
 
 
 @check(

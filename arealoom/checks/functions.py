@@ -420,15 +420,13 @@ def to_json_notes(spark, sf):
 
 @check(
     "hsh1_content_hash",
-    "SELECT doc_id, CASE WHEN octet_length(CAST(encode(text) AS BLOB)) <= 5000 THEN sha256(text) END AS sha256 FROM documents",
+    "SELECT doc_id, sha256(text) AS sha256 FROM documents",
 )
 def content_hash(spark, sf):
     from arealoom.sources.files import content_hash as hashed
 
-    files = table(spark, sf, "documents").select(
-        "doc_id", F.encode("text", "UTF-8").alias("content"), F.octet_length("text").alias("size")
-    )
-    return hashed(files, max_size=5000).select("doc_id", "sha256")
+    files = table(spark, sf, "documents").select("doc_id", F.encode("text", "UTF-8").alias("content"))
+    return hashed(files).select("doc_id", "sha256")
 
 
 @check(

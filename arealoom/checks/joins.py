@@ -261,6 +261,21 @@ def lookup_any(spark, sf):
     return out.select("doc_id", F.coalesce("row_no", F.lit(-1)).alias("row_no"))
 
 
+@check(
+    "jn14_lookup_ending",
+    f"""WITH {SQL_INVENTORY}, reg AS (SELECT doc_id AS row_no, path FROM files SEMI JOIN labels USING (doc_id)), asked AS (
+ SELECT doc_id, right(file_name, 6 + CAST(doc_id % 4 AS INTEGER)) AS tail FROM files), hits AS (
+ SELECT a.tail, min(row_no) AS row_no FROM (SELECT DISTINCT tail FROM asked) a JOIN reg ON ends_with(reg.path, a.tail) GROUP BY 1)
+ SELECT doc_id, coalesce(row_no, -1) AS row_no FROM asked LEFT JOIN hits USING (tail)""",
+)
+def lookup_ending(spark, sf):
+    files = inventory(spark, sf)
+    register = J.in_spine(files, table(spark, sf, "labels"), "doc_id").select(F.col("doc_id").alias("row_no"), F.col("path").alias("p"))
+    tail = F.right("file_name", (6 + F.col("doc_id") % 4).cast("int"))
+    out = J.lookup_any(files.select("doc_id", tail.alias("tail")), register, [], "row_no", ["row_no"], suffixes=[("tail", "p")])
+    return out.select("doc_id", F.coalesce("row_no", F.lit(-1)).alias("row_no"))
+
+
 @check(
     "jn15_discover_keys",
     """WITH vals AS (SELECT DISTINCT column_name, value FROM (SELECT 'c_nationkey' AS column_name,

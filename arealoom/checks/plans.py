@@ -8,7 +8,7 @@ from arealoom import functions as FN
 from arealoom.checks.registry import (
     SQL_BRIDGE, SQL_NUMBER, check, iso, order_bridge, printed, r, table,
 )
-from arealoom.operators.catalog import FeatureSpec
+from arealoom.operators.catalog import MUST, NEVER
 from arealoom.plans import bridges as PB
 from arealoom.plans import master as PM
 from arealoom.plans import reallocate as PR
@@ -277,12 +277,11 @@ def derive_features(spark, sf):
         F.lit("9").alias("census_qs_housing_rent_median_rent_not_stated_count"),
         F.col("o_totalprice").cast("string").alias("census_qs_dwellings_mortgage_count"),
     )
-    specs = [
-        FeatureSpec("rent", ("housing", "median_rent"), suffix="_count"),
-        FeatureSpec("mortgage", ("mortgage",), any_of=("dwellings", "housing"), exclude=("rent",)),
-        FeatureSpec("absent", ("solar",)),
-    ]
-    features, _ = PM.derive_features(master, ["o_orderkey"], specs[:2])
+    rules = {
+        "rent": [(MUST, "housing"), (MUST, "median_rent"), (MUST, "count$")],
+        "mortgage": [(MUST, "mortgage"), (MUST, "dwellings|housing"), (NEVER, "rent")],
+    }
+    features, _ = PM.derive_features(master, ["o_orderkey"], rules)
     return features.select(
         "o_orderkey", F.coalesce("rent", F.lit(-1.0)).alias("rent"), "mortgage", "features_present_count", "features_complete"
     )

@@ -9,8 +9,8 @@ from arealoom.functions import vocab
 from arealoom.functions.text import _col, bind, trim_all
 
 __all__ = [
-    "canonical_header", "classify", "join_readiness", "labels", "match_text", "score_terms",
-    "signals",
+    "canonical_header", "classify", "join_readiness", "labels", "match_text", "pattern_points",
+    "score_terms", "signals",
 ]
 
 
@@ -61,6 +61,11 @@ def score_terms(c, weights) -> Column:
     return bind(F.lower(F.coalesce(_col(c).cast("string"), F.lit(""))), total)
 
 
+def pattern_points(text: Column, table) -> Column:
+    """Sum of the points of the patterns found; ``table`` is a list of (points, pattern)."""
+    return sum((F.when(text.rlike(pattern), points).otherwise(0) for points, pattern in table), F.lit(0))
+
+
 def join_readiness(flags: dict[str, Column], family: Column | None = None) -> dict[str, Column]:
     """Whether a source can be joined now, from its signals; with the use that follows."""
     bridged = (

@@ -52,6 +52,22 @@ VALUE_SHAPES = [
     ("state", r"^[1-9]$"),
 ]
 
+# Words of column names that are labels, words that make them counts all the same, and
+# points of a name as the count measure.
+LABEL_WORDS = "code|cd2016|cd2021|name|state|territory|sa2|sa3"
+COUNT_WORDS = "participant|count|number|total"
+MEASURE_POINTS = [
+    (20, "participant"),
+    (15, "count|number|num"),
+    (15, "^(participants|participantcount|count|numberofparticipants|totalparticipants)$"),
+    (-20, "rate|percent|percentage|pct|proportion"),
+    (-25, "date|period|quarter|month|year|asat"),
+]
+
+# Points of a column that meets all demands on a feature, and of leftover categories.
+FEATURE_POINTS = 100
+LEFTOVER_POINTS = [(-20, "not_stated"), (-20, "unable_to_determine")]
+
 # Words in cell text that hint at a level, with their weight.
 VALUE_HINTS = [
     ("phn", r"primary health network|\bphn\b", 5),

@@ -1,8 +1,8 @@
 """Weighted correspondences between geographies: shares, allocation, dominant region, audits.
 
 A bridge is an edge list (from code, to code, ratio). Group figures are aggregated and joined back
-with ``spread_join`` rather than taken over a window, so the edges of one code are dealt over several
-tasks.
+with ``spread_join`` rather than taken over a window, so that AQE can deal the edges of a hot code over
+several tasks.
 """
 
 from __future__ import annotations
@@ -47,9 +47,11 @@ def allocate(
     unless ``zero_if_all_null``. Also counts contributing codes, edges and split edges, and the
     ratio range.
     """
-    edges = flag_split(allocatable(bridge, from_col, to_col, ratio), from_col, to_col, "__split")
-    edges = edges.select(from_col, to_col, ratio, "__split")
-    carried = spread_join(edges, values.select(from_col, *measures), [(F.col(col_name(from_col)), from_col)], "inner")
+    edges = allocatable(bridge, from_col, to_col, ratio).select(from_col, to_col, ratio)
+    split = edges.select(from_col, to_col).distinct().groupBy(from_col).agg((F.count(to_col) > 1).alias("__split"))
+    # both sides have one row per code, so the edges take part in one join
+    sources = values.select(from_col, *measures).join(split, from_col)
+    carried = spread_join(edges, sources, [(F.col(col_name(from_col)), from_col)], "inner")
 
     def total(m):
         s = F.sum(F.col(m) * F.col(ratio))

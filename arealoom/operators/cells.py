@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arealoom.functions import vocab
-from arealoom.functions.text import clean_text, slug, trim_all
+from arealoom.functions.text import clean_text, key_slug, trim_all
 from arealoom.operators.audit import ContractError
 from arealoom.operators.windows import ffill, top_n
 
@@ -70,13 +70,13 @@ def combine_headers(cells: DataFrame, header_rows: DataFrame, window: int = 5, s
 
 
 def column_labels(cells: DataFrame, rows: int = 12, keep: int = 5, sep: str = " | ") -> DataFrame:
-    """Label guess of each column: its first few distinct texts among the leading rows."""
+    """Label guess of each column: its first few distinct texts among the leading rows, whole, and told
+    apart by their whole slugs. ``rows`` and ``keep`` are what makes a label a guess at the head of a
+    sheet; both can be any size."""
     text = trim_all("value")
-    short = F.when(F.length(text) > 120, F.concat(F.substring(text, 1, 117), F.lit("..."))).otherwise(text)
-    key = slug(short, 200, "plain", "")
     firsts = (
         cells.filter((F.col("row_idx") < rows) & F.col("value").isNotNull())
-        .select(*_SHEET, "col_idx", "row_idx", short.alias("label"), key.alias("key"))
+        .select(*_SHEET, "col_idx", "row_idx", text.alias("label"), key_slug(text, 200, "plain", "").alias("key"))
         .filter((F.col("key") != "") & ~F.startswith(F.lower("label"), F.lit("unnamed")))
         .groupBy(*_SHEET, "col_idx", "key")
         .agg(F.min(F.struct("row_idx", "label")).alias("__f"))

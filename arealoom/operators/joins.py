@@ -3,7 +3,7 @@
 No join carries a broadcast hint: Spark broadcasts a side only when its measured size is under
 ``spark.sql.autoBroadcastJoinThreshold``. Beyond that AQE splits the hot keys of a join of two tables,
 but not of a join onto an aggregate of the same key: the aggregate stands between its exchange and
-the join. ``spread_join`` deals the keys of such joins over several tasks.
+the join. ``spread_join`` gives such an aggregate an exchange of its own.
 """
 
 from __future__ import annotations
@@ -18,32 +18,33 @@ from arealoom.operators.audit import ContractError, expect_unique
 from arealoom.session import col_name
 
 
-#: Tasks that the rows of one key may go to. The largest task gets about 1/SALTS of a hot key.
-SALTS = 8
+def spread_join(left: DataFrame, right: DataFrame, on: list[tuple[Column, str]], how: str = "left") -> DataFrame:
+    """Join onto ``right``, an aggregate with one row per key, so that AQE can split hot keys of the left.
 
+    ``on`` pairs a key of the left with a column of ``right``; the key columns of ``right`` are left out
+    of the result. AQE splits a join only where both sides come straight from an exchange of their
+    own. A hash of the keys, asked for beside them, gives the aggregate one: it is small (a row per
+    key), and the rows of a hot key are then dealt over tasks by the map tasks they come from, repeated
+    rows too. A side under the broadcast threshold is broadcast by its measured size. Only the columns
+    that are used later are read.
+    """
+    ours = [f.dataType for f in left.select(*[c for c, _ in on]).schema.fields]
+    theirs = [f.dataType for f in right.select(*[col_name(n) for _, n in on]).schema.fields]
 
-def spread_join(
-    left: DataFrame, right: DataFrame, on: list[tuple[Column, str]], how: str = "left", salts: int = SALTS
-) -> DataFrame:
-    """Join onto ``right``, which has one row per key, with the rows of each key dealt over ``salts`` tasks.
+    def common(column: Column, i: int) -> Column:
+        # the type that Spark compares the two keys in
+        if ours[i] == theirs[i]:
+            return column
+        return F.coalesce(F.lit(None).cast(ours[i]), F.lit(None).cast(theirs[i]), column)
 
-    ``on`` pairs a key of the left with a column of ``right``; the key columns of ``right`` are left
-    out of the result. The salt is a hash of the whole left row, the same on every run; ``right`` is
-    repeated once per salt. Rows of the left that are equal in every column share a salt.
-    """
-    hashed = [F.col(col_name(f.name)) for f in left.schema if "map" not in f.dataType.simpleString()]
     keys = [f"__on{i}" for i in range(len(on))]
     others = [F.col(col_name(c)) for c in right.columns if c not in [name for _, name in on]]
-    repeated = right.select(
-        *[F.col(col_name(name)).alias(k) for k, (_, name) in zip(keys, on, strict=True)],
-        *others,
-        F.explode(F.array(*[F.lit(i) for i in range(salts)])).alias("__salt"),
-    )
-    dealt = left.withColumn("__dealt", F.pmod(F.xxhash64(*hashed), F.lit(salts)).cast("int"))
-    same = F.col("__dealt") == F.col("__salt")
+    keyed = right.select(*[F.col(col_name(name)).alias(k) for k, (_, name) in zip(keys, on, strict=True)], *others)
+    keyed = keyed.withColumn("__print", F.xxhash64(*[common(F.col(k), i) for i, k in enumerate(keys)]))
+    same = F.xxhash64(*[common(c, i) for i, (c, _) in enumerate(on)]) == F.col("__print")
     for k, (column, _) in zip(keys, on, strict=True):
         same = same & (column == F.col(k))
-    return dealt.join(repeated, same, how).drop("__dealt", "__salt", *keys)
+    return left.join(keyed, same, how).drop("__print", *keys)
 
 
 def _names(on) -> list[str]:
@@ -172,7 +173,8 @@ def fallback_join(
     (``refuse``) or the join raises. ``scope="table"`` tries the derived key only when no row at
     all matches exactly. Adds ``join_method``.
 
-    Each row's exact key is settled first, from small key tables, and ``right`` is joined once.
+    Keys are settled on the distinct (exact, derived) pairs of the left, where ``right`` is joined too;
+    the rows of the left, which may be wide, take part in one join only.
     """
     (le, re_), (ld, rd) = exact, derived
     pairs = right.select(F.col(re_).alias("__re"), F.col(rd).alias("__rd")).distinct()
@@ -182,20 +184,24 @@ def fallback_join(
     )
     if on_ambiguous == "raise" and not short.filter("__ambiguous").limit(1).isEmpty():
         raise ContractError(f"derived key {rd} stands for several values of {re_}")
-    first = spread_join(left, known, [(F.col(le), "__re")])
+    asked = left.select(F.col(le).alias("__le"), F.col(ld).alias("__ld")).distinct()
+    first = asked.join(known, F.col("__le") == F.col("__re"), "left").drop("__re")
     if scope == "table" and not first.filter("__known").limit(1).isEmpty():
         short = short.limit(0)
     short = short.withColumn("__short", F.lit(True))
-    settled = spread_join(first, short, [(F.col(ld), "__rd")]).select(
-        *[F.col(col_name(c)) for c in left.columns],
-        F.when(F.col("__known"), F.col(le)).when(~F.col("__ambiguous"), F.col("__only")).alias("__key"),
+    settled = first.join(short, F.col("__ld") == F.col("__rd"), "left").select(
+        "__le",
+        "__ld",
+        F.when(F.col("__known"), F.col("__le")).when(~F.col("__ambiguous"), F.col("__only")).alias("__key"),
         F.when(F.col("__known"), "exact_key")
         .when(F.col("__ambiguous"), "ambiguous_derived_key")
         .when(F.col("__short"), "derived_key")
         .otherwise("unmatched")
         .alias("join_method"),
     )
-    return settled.join(right, F.col("__key") == F.col(re_), "left").drop("__key")
+    answer = settled.join(right, F.col("__key") == F.col(re_), "left").drop("__key")
+    joined = left.join(answer, F.equal_null(F.col(le), F.col("__le")) & F.equal_null(F.col(ld), F.col("__ld")))
+    return joined.select(*[left[col_name(c)] for c in left.columns], "join_method", *[answer[col_name(c)] for c in right.columns])
 
 
 def flag_membership(df: DataFrame, members: DataFrame, key, name: str) -> DataFrame:
@@ -235,10 +241,13 @@ def reconcile_paths(
             F.min(F.when(~F.col("__active"), F.col("__path"))).alias("__first_archive"),
         )
     )
-    same = here.groupBy(F.col("__here").alias("__same")).agg(F.min("__path").alias("__valid"))
-    low = F.lower(path)
-    joined = spread_join(register, same, [(low, "__same")])
-    joined = spread_join(joined, planned, [(low, "__from")])
+    by_path = (
+        here.select(F.col("__here").alias("__key"), F.col("__path").alias("__valid"))
+        .unionByName(planned.select(F.col("__from").alias("__key"), "__planned"), allowMissingColumns=True)
+        .groupBy("__key")
+        .agg(F.min("__valid").alias("__valid"), F.min("__planned").alias("__planned"))
+    )
+    joined = spread_join(register, by_path, [(F.lower(path), "__key")])
     joined = spread_join(joined, by_name, [(F.lower(path_parts(path)["file_name"]), "__name")])
     status = (
         F.when(F.col("__valid").isNotNull(), "path_still_valid")
@@ -275,23 +284,43 @@ def lookup_manifest(
     return found.withColumn(value, F.coalesce("__by_path", "__by_name")).drop("__by_path", "__by_name")
 
 
+def ending_with(names: DataFrame, paths: DataFrame, name: str, path: str) -> DataFrame:
+    """The rows of ``paths`` with every distinct ``name`` that their path ends with, as ``name``.
+
+    An equality join: each path is cut to its last n characters for each length n that a name has
+    (lengths are few), and only cuts that are names are kept. Empty names end nothing."""
+    asked = names.select(F.col(name).alias("__n")).filter("length(__n) > 0").distinct()
+    sizes = asked.agg(F.collect_set(F.length("__n"))).scalar()
+    length = F.length(F.col(path))
+    fitting = F.filter("__sizes", lambda n: n <= length)
+    cuts = F.transform(fitting, lambda n: F.substr(F.col(path), length - n + 1, n))
+    ends = paths.filter(F.col(path).isNotNull()).withColumn("__sizes", sizes).withColumn(name, F.explode(cuts)).drop("__sizes")
+    return ends.join(asked, F.col(name) == F.col("__n"), "left_semi")
+
+
 def lookup_any(
-    left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]], order: str, take: list[str]
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[tuple[Column, Column]],
+    order: str,
+    take: list[str],
+    suffixes: list[tuple[str, str]] = (),
 ) -> DataFrame:
-    """First row of ``right``, by ``order``, that agrees with a left row on any of several keys.
+    """First row of ``right``, by ``order``, that agrees with a left row on any of several keys, or whose
+    path ends with a left name; ``suffixes`` pairs columns of names with columns of paths.
 
     The OR is split into one equality per key, and ``right`` is first cut to its first row per
     key value, so a key shared by many rows multiplies nothing.
     """
-    joined, names = left, []
     packed = F.struct(F.col(order).alias("__order"), *[F.col(c).alias(c) for c in take])
-    for i, (left_key, right_key) in enumerate(keys):
-        first = (
-            right.select(right_key.alias(f"__k{i}"), packed.alias("__row"))
-            .filter(F.col(f"__k{i}").isNotNull())
-            .groupBy(f"__k{i}")
-            .agg(F.min("__row").alias(f"__row{i}"))
-        )
+    sides = [(left_key, right.select(right_key.alias("__k"), packed.alias("__row"))) for left_key, right_key in keys]
+    for name, path in suffixes:
+        paths = right.select(F.col(path).alias("__path"), packed.alias("__row"))
+        ends = ending_with(left.select(F.col(name).alias("__k")), paths, "__k", "__path")
+        sides.append((F.col(name), ends.select("__k", "__row")))
+    joined, names = left, []
+    for i, (left_key, side) in enumerate(sides):
+        first = side.filter("__k is not null").groupBy(F.col("__k").alias(f"__k{i}")).agg(F.min("__row").alias(f"__row{i}"))
         joined = spread_join(joined, first, [(left_key, f"__k{i}")])
         names.append(f"__row{i}")
     best = F.array_min(F.array_compact(F.array(*names)))

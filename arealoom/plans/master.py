@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from arealoom.functions.measures import parse_measure, publication_status
 from arealoom.operators.aggregates import availability_flags, missingness
 from arealoom.operators.audit import expect_unique
-from arealoom.operators.catalog import (
-    FeatureSpec, catalog_of, column_roles, resolve_features,
-)
+from arealoom.operators.catalog import catalog_of, column_roles, resolve_features
 from arealoom.operators.joins import contract_join
 from arealoom.operators.reshape import select_measures
 from arealoom.session import col_name
@@ -42,14 +40,15 @@ def master_dictionary(master: DataFrame, name: str = "master", rules=None) -> Da
 
 
 def derive_features(
-    master: DataFrame, keys: list[str], specs: list[FeatureSpec], group: str = "features"
+    master: DataFrame, keys: list[str], rules: dict[str, list], group: str = "features"
 ) -> tuple[DataFrame, DataFrame]:
-    """Resolve features on the column names, parse them in one projection, count what is there.
+    """Resolve features (``rules`` of each as in ``feature_score``) on the column names, parse them in one
+    projection, count what is there.
 
     Returns the features and the mapping, in which ambiguous choices are marked."""
-    mapping = resolve_features(catalog_of(master.sparkSession, {"master": master}), specs)
+    mapping = resolve_features(catalog_of(master.sparkSession, {"master": master}), rules)
     chosen = {r["feature"]: r["column_name"] for r in mapping.collect()}
-    names = [s.output for s in specs]
+    names = list(rules)
     features = master.select(
         *keys,
         *[

@@ -73,6 +73,9 @@ def no_broadcast(spark):
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         "spark.sql.shuffle.partitions": "32",
+        # AQE's bounds for hot partitions are made for full-size data; these fit the table of the tests
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
@@ -93,14 +96,54 @@ SPREAD = {
     "share_of_total": lambda df: B.share_of_total(df, "k", ["t", "id"], "v"),
     "flag_membership": lambda df: J.flag_membership(df, df.select("k"), "k", "member"),
     "lookup_any": lambda df: J.lookup_any(df, df.select("k", F.col("id").alias("o"), F.col("t").alias("u")), [(F.col("k"), F.col("k"))], "o", ["u"]),
+    "allocate": lambda df: _edges_of_allocation(df),
+    "fallback_join": lambda df: J.fallback_join(df, df.select(F.col("k").alias("x"), F.upper("k").alias("y")).distinct(), ("k", "x"), ("t", "y")),
+    "reconcile_paths": lambda df: J.reconcile_paths(
+        df.withColumnRenamed("k", "path"), df.select(F.col("k").alias("path"), F.lit(True).alias("active")).distinct(),
+        df.select(F.col("t").alias("source_path"), F.col("k").alias("destination_path")).limit(5),
+    ),
+    "repeated_rows": lambda df: J.flag_membership(df.select("k"), df.select("k"), "k", "member"),
     "lookup_manifest": lambda df: J.lookup_manifest(df, df.select(F.col("k").alias("p"), F.col("t").alias("w"), F.col("id").alias("o")), "k", "p", "w", "o"),
 }
 
 
+def _edges_of_allocation(df):
+    """The join of ``allocate`` on its own: its sum per target comes after."""
+    split = df.select("k", "t").distinct().groupBy("k").agg((F.count("t") > 1).alias("split"))
+    values = df.select("k").distinct().withColumn("n", F.lit(1.0)).join(split, "k")
+    return J.spread_join(df, values, [(F.col("k"), "k")], "inner")
+
+
+def test_a_join_onto_an_aggregate_reads_what_is_used(spark, tmp_path, no_broadcast):
+    wide = spark.range(1000).select(F.col("id"), (F.col("id") % 9).alias("k"), *[F.lit("x" * 20).alias(f"c{i}") for i in range(30)])
+    wide.write.parquet(str(tmp_path / "wide"))
+    read = spark.read.parquet(str(tmp_path / "wide"))
+    flagged = J.flag_membership(read, spark.range(5).select(F.col("id").alias("k")), "k", "member").select("id", "member")
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint,k:bigint>" in plan
+
+
+def test_keys_of_several_types_meet(spark, no_broadcast):
+    left = spark.createDataFrame([(1, 5), (2, 6)], "n int, k int")
+    right = spark.createDataFrame([(5, "a"), (None, "b")], "k long, x string")
+    assert sorted((r.n, r.x) for r in J.spread_join(left, right, [(F.col("k"), "k")]).collect()) == [(1, "a"), (2, None)]
+
+
+def test_path_ends_with_name(spark):
+    names = spark.createDataFrame([(1, "b.csv"), (2, "zz"), (3, None), (4, ""), (5, "a/b.csv")], "n int, name string")
+    paths = spark.createDataFrame([(7, "x/ab.csv"), (8, "b.csv"), (9, None), (10, "q/a/b.csv")], "o int, path string")
+    found = J.lookup_any(names, paths, [], "o", ["o"], suffixes=[("name", "path")])
+    assert sorted((r.n, r.o) for r in found.collect()) == [(1, 7), (2, None), (3, None), (4, None), (5, 10)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 @pytest.mark.parametrize("name", sorted(SPREAD))
 def test_a_hot_key_is_dealt_over_tasks(spark, no_broadcast, name):
     df = hot(spark)
-    tasks = [r["count"] for r in SPREAD[name](df).groupBy(F.spark_partition_id()).count().collect()]
+    out = SPREAD[name](df)
+    # the hash uses all columns, so that none and no join is left out
+    tasks = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.max(F.xxhash64("*"))).collect()]
     assert sum(tasks) == df.count()
     assert max(tasks) < 0.35 * sum(tasks)
 
