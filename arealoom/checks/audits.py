@@ -30,6 +30,26 @@ def run_checks(spark, sf):
     )
 
 
+@check(
+    "aud1_publish_checked",
+    """SELECT unnest(['rows', 'null_shipdates', 'discount_sum', 'max_tax', 'null_keys', 'repeated_keys']) AS check_name,
+ unnest([CAST(count(*) AS DOUBLE), 0, round(sum(l_discount), 4), max(l_tax), 0, 0]) AS value, unnest(['pass', 'pass', 'info', 'review',
+ 'pass', 'pass']) AS status, unnest(['', '', '', 'tax above 5 %', '', '']) AS notes FROM lineitem""",
+)
+def publish_checked(spark, sf):
+    from arealoom.session import scratch_path
+    from arealoom.sources.sinks import publish_checked as publish
+
+    checks = [
+        A.Check("rows", F.count("*"), lambda v: v > 0),
+        A.Check("null_shipdates", F.count_if(F.col("l_shipdate").isNull()), lambda v: v == 0),
+        A.Check("discount_sum", F.sum("l_discount")),
+        A.Check("max_tax", F.max("l_tax"), lambda v: v <= 0.05, "review", "tax above 5 %"),
+    ]
+    audit = publish(table(spark, sf, "lineitem"), scratch_path(spark, "published"), checks, ["l_orderkey", "l_linenumber"])
+    return audit.withColumn("value", F.round("value", 4))
+
+
 @check(
     "aud2_key_report",
     """SELECT CAST(sum(n) AS BIGINT) AS row_count, CAST(sum(n) FILTER (k IS NULL) AS BIGINT) AS null_key_rows,

@@ -218,6 +218,26 @@ def measure_scores(spark, sf):
     return scores.select("column_name", r("parse_rate", 6).alias("parse_rate"), r("score", 5).alias("score"))
 
 
+@check(
+    "agg14_column_profile",
+    f"""WITH f AS (SELECT {SQL_FIGURE} AS f, {SQL_NUMBER} AS x, o_orderkey, o_orderpriority AS p FROM orders), y AS (
+ SELECT count(*) FILTER (o_orderkey % 12 IN (0, 1, 10)) / count(*) AS plain, count(*) FILTER (o_orderkey % 12 <> 11) / count(*) AS dated,
+ count(x) / count(*) AS parsed, count(x) / count(f) AS share, count(f) FILTER (regexp_matches(f, '[A-Za-z]')) / count(f) AS lettered,
+ count(*) AS n FROM f) SELECT detector, column_name, round(score, 5) AS score FROM (
+ SELECT unnest(['measure', 'measure', 'measure', 'period', 'indicator', 'indicator', 'indicator', 'key', 'key', 'key', 'key', 'key'])
+ AS detector, unnest(['ParticipantCount', 'rate_pct', 'RprtDt', 'RprtDt', 'ParticipantCount', 'rate_pct', 'SA2Cd2016', 'SA2Cd2016',
+ 'SA2Nm2016', 'RprtDt', 'rate_pct', 'ParticipantCount']) AS column_name, unnest([50 + 10.0 * parsed, -10.0, 10.0 * plain,
+ 100 + 10.0 * dated, share, 1.0, 1.0, 11.0, 0.0, 0.0, 0.0, 0.0])::DOUBLE AS score FROM y)""",
+)
+def column_profile(spark, sf):
+    """The profiles of two halves, merged; scores of rows that other queries hold against SQL."""
+    rows = _statistics(spark, sf)
+    half = F.pmod(F.xxhash64("SA2Cd2016"), F.lit(2)).cast("string")
+    profile = P.merge_profiles(P.column_profile(rows.withColumn("part", half), by="part"))
+    scores = P.scores_from_profile(profile, "sa2", exclude=["SA2Cd2016", "SA2Nm2016"])
+    return scores.filter("detector <> 'name'").withColumn("score", r("score", 5))
+
+
 @check(
     "cls9_period_column_scores",
     """SELECT 'RprtDt' AS column_name, round(n, 6) AS parse_rate, round(100 + 10 * n, 5) AS score FROM (SELECT

@@ -33,20 +33,23 @@ def _names(keys) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
+def status_of(check: Check, value: Column) -> Column:
+    if check.passes is None:
+        return F.lit("info")
+    return F.when(check.passes(value), "pass").otherwise(check.on_fail)
+
+
 def run_checks(df: DataFrame, checks: list[Check]) -> DataFrame:
     """Every check in one scan and one aggregate, turned on its side."""
     row = df.agg(*[c.value.cast("double").alias(c.name) for c in checks])
     entries = []
     for check in checks:
         value = F.col(col_name(check.name))
-        status = F.lit("info") if check.passes is None else F.when(
-            check.passes(value), "pass"
-        ).otherwise(check.on_fail)
         entries.append(
             F.struct(
                 F.lit(check.name).alias("check_name"),
                 value.alias("value"),
-                status.alias("status"),
+                status_of(check, value).alias("status"),
                 F.lit(check.notes).alias("notes"),
             )
         )

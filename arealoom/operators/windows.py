@@ -265,13 +265,14 @@ def all_keys(frames: list[DataFrame], key: str) -> DataFrame:
 
 
 def merge_records(
-    frames: list[tuple[str, DataFrame]], key: str, fill: list[str], order: str, sep: str = ";"
+    frames: list[tuple[str, DataFrame]], key: str, fill: list[str], order: str, sep: str = ";", counted: bool = False
 ) -> DataFrame:
     """One record per key: the origin of every record joined in the order of ``frames``, blanks
     filled from later records.
 
-    Records are counted per key and source before any list is built, so a list holds one entry
-    per source whatever the number of records."""
+    Records are counted per key and source first, so what is shuffled and listed is one entry per
+    source. The joined text names an origin once for each of its records, as long as that is; with
+    ``counted`` it names each origin once, with the number of its records (``a*3``)."""
     parts = []
     for i, (origin, frame) in enumerate(frames):
         blank_free = [F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).alias(c) for c in fill]
@@ -283,9 +284,10 @@ def merge_records(
             ).select("*", F.lit(i).alias("__i"), F.lit(origin).alias("__origin"))
         )
     entries = F.array_sort(F.collect_list(F.struct("__i", "__origin", "__n")))
-    repeated = F.flatten(
-        F.transform(entries, lambda x: F.array_repeat(x["__origin"], x["__n"].cast("int")))
-    )
+    if counted:
+        repeated = F.transform(entries, lambda x: F.concat(x["__origin"], F.lit("*"), x["__n"].cast("string")))
+    else:
+        repeated = F.flatten(F.transform(entries, lambda x: F.array_repeat(x["__origin"], x["__n"].cast("int"))))
     return union_all(parts).groupBy(key).agg(
         F.array_join(repeated, sep).alias("record_origin"),
         *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("__i"))).alias(c) for c in fill],

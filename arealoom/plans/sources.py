@@ -10,8 +10,8 @@ from arealoom.functions.measures import parse_measure
 from arealoom.functions.periods import coalesce_period, extract_periods
 from arealoom.functions.text import norm_code
 from arealoom.operators.aggregates import first_non_null
-from arealoom.operators.joins import discover_keys, in_spine, merge_wide
-from arealoom.operators.profiling import indicator_columns
+from arealoom.operators.joins import in_spine, merge_wide, spread_join, unpivot_text
+from arealoom.operators.profiling import is_indicator_name
 from arealoom.operators.reshape import melt
 from arealoom.operators.windows import select_best, top_n_demoted
 from arealoom.session import col_name
@@ -54,6 +54,32 @@ def select_sources(
     return select_best(described, "source_family", order, unique_id, eligible)
 
 
+def profile_tables(tables: dict[str, DataFrame], keys: DataFrame, skip=()) -> DataFrame:
+    """One row for each column of many tables: ``table_name``, ``column_name``, distinct normalised values,
+    how many of them are keys, the share of the keys found, non-missing and numeric values.
+
+    All tables are one pool of (table, column, value), counted once per distinct value: any number of
+    tables is one job, and a hot value collapses before the shuffle."""
+    pool = None
+    for name, df in tables.items():
+        rows = unpivot_text(df, [c for c in df.columns if c not in skip]).select(F.lit(name).alias("table_name"), "column_name", "value")
+        pool = rows if pool is None else pool.unionByName(rows)
+    values = pool.groupBy("table_name", "column_name", "value").agg(F.count("*").alias("n"))
+    numeric = parse_measure("value").isNotNull()
+    by_key = values.select("*", norm_code("value").alias("key")).groupBy("table_name", "column_name", "key").agg(
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("n"), F.sum(F.when(numeric, F.col("n"))).alias("numbers")
+    )
+    known = keys.select(norm_code(keys.columns[0]).alias("key")).filter("key IS NOT NULL").distinct()
+    total = known.agg(F.count("*")).scalar()
+    matched = spread_join(by_key, known.select("key", F.lit(1).alias("known")), [(F.col("key"), "key")])
+    return matched.groupBy("table_name", "column_name").agg(
+        F.count("key").alias("unique_values"),
+        F.count("known").alias("matched_values"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("non_missing"),
+        F.coalesce(F.sum("numbers"), F.lit(0)).alias("numeric_values"),
+    ).withColumn("coverage", F.try_divide("matched_values", total))
+
+
 def extract_indicators(
     tables: dict[str, DataFrame],
     targets: dict[str, DataFrame],
@@ -63,28 +89,32 @@ def extract_indicators(
 ) -> tuple[DataFrame, DataFrame] | None:
     """Indicators of every table whose best column matches a target key set well enough.
 
-    Returns one wide row per key, and the long indicator rows. The key column is found by key
-    discovery; only its one summary row per table reaches the driver."""
-    wides, longs = [], []
+    Returns one wide row per key, and the long indicator rows. Key and indicator columns of all tables
+    come from one pooled profile (one row per column reaches the driver), so the number of jobs does
+    not grow with the tables."""
     keyset = targets[target]
     spine = keyset.select(norm_code(keyset.columns[0]).alias("join_key"))
+    profiles: dict[str, dict] = {}
+    for row in profile_tables(tables, keyset, [order]).collect():
+        profiles.setdefault(row.table_name, {})[row.column_name] = row
+    wides, longs = [], []
     for table, df in tables.items():
-        usable = [c for c in df.columns if c != order]
-        found = discover_keys(df, {target: keyset}, usable, min_rate).filter(F.col("match_rate") >= min_rate)
-        best = found.agg(
-            F.min_by("column_name", F.struct(-F.col("match_rate"), -F.col("coverage"), F.col("column_name")))
-        ).first()[0]
-        if best is None:
+        found = profiles.get(table, {})
+        rated = [(r.matched_values / r.unique_values, r.coverage or 0.0, c) for c, r in found.items() if r.unique_values]
+        good = [(-rate, -coverage, c) for rate, coverage, c in rated if rate >= min_rate]
+        if not good:
             continue
-        keep = [c for c in indicator_columns(df.select(*[col_name(c) for c in usable]), best)]
+        best = min(good)[2]
+        shares = {c: r.numeric_values / r.non_missing for c, r in found.items() if r.numeric_values}
+        keep = [c for c in df.columns if shares.get(c, 0) >= 0.5 and is_indicator_name(c, best)]
+        cols = [f"{table}__{c}" for c in keep]
         matched = in_spine(
             df.select(
                 norm_code(F.col(col_name(best))).alias("join_key"), F.col(order).alias("__order"),
-                *[parse_measure(F.col(col_name(c))).alias(f"{table}__{c}") for c in keep],
+                *[parse_measure(F.col(col_name(c))).alias(n) for c, n in zip(keep, cols, strict=True)],
             ),
             spine, "join_key",
         )
-        cols = [f"{table}__{c}" for c in keep]
         wides.append(first_non_null(matched, "join_key", cols, F.col("__order")))
         longs.append(melt(matched.drop("__order"), ["join_key"], cols, "indicator", "value"))
     if not wides:

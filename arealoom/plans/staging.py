@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +47,74 @@ def stage_native(
     of all files come from one pass; files that agree in them are one scan and one write, so the
     driver loops over distinct layouts, not files. The level comes from the headers, else from the
     values of each file. A second run overwrites the tables of the first."""
-    inventory = apply_hold_rules(
-        file_inventory(spark, root).withColumn("family", classify(F.lower("path"), families, "unknown"))
-    )
+    return _stage(spark, _ruled(spark, root, families), target, families)
+
+
+def _ruled(spark: SparkSession, root: str, families) -> DataFrame:
+    return apply_hold_rules(file_inventory(spark, root).withColumn("family", classify(F.lower("path"), families, "unknown")))
+
+
+_STAMP = ["container", "size", "modified"]
+
+
+def stage_changed(spark: SparkSession, root: str, target: str, families: list[tuple[str, str]]) -> DataFrame:
+    """``stage_native`` of the files that are new or have another size or time than at the last run;
+    returns the audit of all files that are there now.
+
+    Each run writes a folder of its own and then a manifest: an audit row, with size, time and run, for every
+    file and member. The manifest says which run holds the rows of a file, so the rows of a changed
+    file, and of one that is gone, are out with the next manifest, and nothing is written over. Files that
+    did not change are not opened; where none did, no table is read but the manifest. A run that dies
+    leaves the last manifest in force."""
+    stamps = _ruled(spark, root, families).withColumnsRenamed({"modificationTime": "modified"})
+    now = materialise(stamps, "inventory")
+    present = now.select(F.col("path").alias("container"), "size", "modified")
+    version, before = last_manifest(spark, target)
+    if before is not None:
+        fresh = present.join(before.select(*_STAMP).distinct(), _STAMP, "left_anti")
+        gone = before.select(*_STAMP).distinct().join(present, _STAMP, "left_anti")
+        if fresh.isEmpty() and gone.isEmpty():
+            return before.select(*AUDIT)
+        kept = before.join(present, _STAMP, "left_semi")
+        todo = now.join(fresh.select(F.col("container").alias("path")), "path", "left_semi")
+    else:
+        kept, todo = None, now
+    run = uuid.uuid4().hex
+    audit = _stage(spark, todo, f"{target}/run={run}", families)
+    container = F.coalesce(F.nullif(F.regexp_extract("path", r"^(.*?\.zip)!", 1), F.lit("")), F.col("path"))
+    made = audit.withColumn("container", container).join(present, "container").withColumn("run", F.lit(run))
+    rows = made.select(*AUDIT, *_STAMP, "run")
+    rows = rows if kept is None else rows.unionByName(kept.select(*rows.columns))
+    rows.write.parquet(f"{target}/manifest/version={version + 1:08d}")
+    return last_manifest(spark, target)[1].select(*AUDIT)
+
+
+AUDIT = ["family", "path", "native_geography", "status", "rows", "columns", "reason"]
+
+
+def last_manifest(spark: SparkSession, target: str) -> tuple[int, DataFrame | None]:
+    """Number and rows of the last manifest that was written whole; 0 and None before the first."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/manifest")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = fs.globStatus(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/manifest/version=*/_SUCCESS")) or []
+    versions = [s.getPath().getParent().getName().split("=")[1] for s in done]
+    if not versions:
+        return 0, None
+    return int(max(versions)), spark.read.parquet(f"{target}/manifest/version={max(versions)}")
+
+
+def staged_rows(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of all files that the last manifest names, of whatever layout; None where it names none."""
+    rows = last_manifest(spark, target)[1]
+    live = [] if rows is None else [r.run for r in rows.filter("status = 'staged'").select("run").distinct().collect()]
+    if not live:
+        return None
+    read = spark.read.option("basePath", target).option("mergeSchema", True).parquet(*[f"{target}/run={r}" for r in sorted(live)])
+    current = rows.filter("status = 'staged'").select(F.col("path").alias("source_path"), "run")
+    return read.join(current, ["source_path", "run"], "left_semi").drop("run", "layout")
+
+
+def _stage(spark: SparkSession, inventory: DataFrame, target: str, families) -> DataFrame:
     workbook = (F.col("stage_status") == "process") & ~F.col("file_extension").isin(".csv", ".zip")
     inventory = inventory.withColumns(
         {

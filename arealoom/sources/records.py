@@ -1,13 +1,18 @@
-"""Records of delimited text whose quoted cells may hold line ends, read split by split.
+"""Records that go over several lines, read split by split: delimited text with line ends in quoted
+cells, and JSON files that hold one list.
 
-A line end stands inside a quoted cell exactly where an odd number of quotes comes before it. So each
+Delimited text: a line end stands inside a quoted cell exactly where an odd number of quotes comes before it. So each
 split only needs to know whether a cell is open where it begins: the parities of the quotes in the
 splits before it, added up. Within a split lines are put together to records as they come. Only the
 pieces that a border of splits cuts, two of a split at most, meet in a shuffle.
+
+JSON: a string holds no bare line end, so the brackets of a line outside of its strings count alike
+whatever stands before it, and the depth at which a split begins is a sum over the splits before it.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -72,6 +77,19 @@ def _table(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [f.split()[0] for f in _PIECES.split(", ")])
 
 
+def _glued(pieces: DataFrame, between: str = "\n") -> DataFrame:
+    """Whole records of pieces, those that borders of splits cut put together."""
+    whole = pieces.filter("closed AND NOT head").select("path", "block", "place", "record")
+    cut = pieces.filter("head OR NOT closed")
+    order = Window.partitionBy("path").orderBy("block", "place")
+    cut = cut.withColumn("first", F.sum(F.when(F.col("head"), 0).otherwise(1)).over(order))
+    joined = cut.groupBy("path", "first").agg(
+        F.min(F.struct("block", "place")).alias("at"), F.array_sort(F.collect_list(F.struct("block", "place", "record"))).alias("parts")
+    )
+    glued = joined.select("path", "at.block", "at.place", F.array_join(F.transform("parts", lambda p: p["record"]), between).alias("record"))
+    return whole.unionByName(glued)
+
+
 def quoted_records(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFrame:
     """``path``, ``block`` and ``place`` (the order of records in a file), the text of every ``record``
     without its line end, and whether that was two signs (``crlf``). Empty records are left out.
@@ -83,14 +101,68 @@ def quoted_records(spark: SparkSession, path, encoding: str = "UTF-8") -> DataFr
     raw = F.col("value").cast("binary")
     text = F.make_valid_utf8("value") if encoding.lower() == "utf-8" else F.decode(raw, encoding)
     pieces = _pieces(lines.withColumn("value", text), open_)
-    whole = pieces.filter("closed AND NOT head").select("path", "block", "place", "record")
-    cut = pieces.filter("head OR NOT closed")
-    order = Window.partitionBy("path").orderBy("block", "place")
-    cut = cut.withColumn("first", F.sum(F.when(F.col("head"), 0).otherwise(1)).over(order))
-    joined = cut.groupBy("path", "first").agg(
-        F.min(F.struct("block", "place")).alias("at"), F.array_sort(F.collect_list(F.struct("block", "place", "record"))).alias("parts")
-    )
-    glued = joined.select("path", "at.block", "at.place", F.array_join(F.transform("parts", lambda p: p["record"]), "\n").alias("record"))
+    records = _glued(pieces)
     crlf = F.endswith("record", F.lit("\r"))
-    ended = whole.unionByName(glued).select("path", "block", "place", crlf.alias("crlf"), F.regexp_replace("record", "\r$", "").alias("record"))
+    ended = records.select("path", "block", "place", crlf.alias("crlf"), F.regexp_replace("record", "\r$", "").alias("record"))
     return ended.filter("record <> ''")
+
+
+_STRING = r'"[^"\\]*(?:\\.[^"\\]*)*"'
+_TOKENS = re.compile(_STRING + r"|[\[\]{}]")
+
+
+def list_items(spark: SparkSession, path) -> DataFrame:
+    """``path``, ``block`` and ``place`` (the order of items in a file) and the text of every ``record``: the
+    objects and lists that are items of the one list in each JSON file, or the one object in it. Line ends between tokens
+    become spaces (also in what Spark keeps as raw JSON text). A file without line ends is one task's work, as nothing in it can be split.
+
+    Of each split the driver learns one number, the depth at which it begins."""
+    bare = F.regexp_replace("value", _STRING, "")
+    signs = lambda chars: F.length(bare) - F.length(F.translate(bare, chars, ""))
+    lines = _lines(spark, path).withColumn("value", F.regexp_replace("value", "\r$", ""))
+    first = F.substring(F.regexp_replace("value", r"^\s+", ""), 1, 1)
+    facts = lines.withColumn("at", F.monotonically_increasing_id()).groupBy("path", "block").agg(
+        F.sum(signs("[{") - signs("]}")).alias("n"), F.min_by(F.nullif(first, F.lit("")), F.when(first != "", F.col("at"))).alias("first")
+    )
+    before = Window.partitionBy("path").orderBy("block")
+    upto = before.rowsBetween(Window.unboundedPreceding, -1)
+    depths = facts.select(
+        "path",
+        "block",
+        F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("depth"),
+        # an object alone in its file is its one item
+        F.when(F.first("first", ignorenulls=True).over(before.rowsBetween(Window.unboundedPreceding, 0)) == "{", 0).otherwise(1).alias("base"),
+    ).filter("depth <> 0 OR base = 0")
+    begins = {(r.path, r.block): (r.depth, r.base) for r in depths.collect()}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        split, held, place, head, depth, base = None, [], 0, False, 0, 1
+        for batch in batches:
+            out: list[tuple] = []
+            for path, block, value in zip(*(batch.column(c).to_pylist() for c in ("path", "block", "value")), strict=True):
+                if (path, block) != split:
+                    if held:
+                        out.append((*split, place, head, False, " ".join(held)))
+                    split, held, place = (path, block), [], 0
+                    depth, base = begins.get(split, (0, 1))
+                    head = depth > base
+                start = 0
+                for token in _TOKENS.finditer(value):
+                    sign = token.group()
+                    if sign in "[{":
+                        depth += 1
+                        if depth == base + 1:
+                            start = token.start()
+                    elif sign in "]}":
+                        depth -= 1
+                        if depth == base:
+                            held.append(value[start : token.end()])
+                            out.append((path, block, place, head, True, " ".join(held)))
+                            held, place, head = [], place + 1, False
+                if depth > base:
+                    held.append(value[start:])
+            yield _table(out)
+        if held:
+            yield _table([(*split, place, head, False, " ".join(held))])
+
+    return _glued(lines.mapInArrow(run, _PIECES), " ")

@@ -3,9 +3,12 @@ the first."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from arealoom.operators.audit import Check, ContractError, status_of
 from arealoom.operators.catalog import with_source_metadata
 from arealoom.sources.files import file_inventory
 from arealoom.sources.tables import read_table
@@ -19,6 +22,49 @@ def write_pair(df: DataFrame, base: str, mode: str = "errorifexists") -> DataFra
     return written
 
 
+def publish_checked(df: DataFrame, path: str, checks: list[Check], keys: list[str] | str | None = None, partition_by=()) -> DataFrame:
+    """Write a table and check it in one job; publish it only if no check fails. Returns the audit.
+
+    The checks are metrics that Spark gathers while the rows are written to a folder beside ``path``,
+    which takes the name ``path`` afterwards. A failed check leaves nothing behind and raises with the
+    failures. Checks are aggregates without DISTINCT (Spark observes no others). With ``keys`` the rows
+    are dealt by their key before they are written, so that a repeated or null key shows beside its twin:
+    ``repeated_keys`` and ``null_keys`` are checked too. An existing ``path`` is an error."""
+    spark = df.sparkSession
+    checks, out = list(checks), df
+    if keys:
+        names = [keys] if isinstance(keys, str) else list(keys)
+        missing = F.lit(False)
+        for name in names:
+            missing = missing | F.col(name).isNull()
+        place = Window.partitionBy(*names).orderBy(F.lit(0))
+        out = out.withColumn("__again", (F.row_number().over(place) > 1) & ~missing).withColumn("__missing", F.lit(False) | missing)
+        zero = lambda v: v == 0
+        checks += [Check("null_keys", F.count_if("__missing"), zero), Check("repeated_keys", F.count_if("__again"), zero)]
+    seen = Observation()
+    values = [c.value.cast("double") for c in checks]
+    metrics = [F.struct(v.alias("value"), status_of(c, v).alias("status")).alias(f"c{i}") for i, (c, v) in enumerate(zip(checks, values, strict=True))]
+    fs, target = _folder(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    staged = f"{path.rstrip('/')}-unpublished-{uuid.uuid4().hex}"
+    out.observe(seen, F.count("*").alias("written"), *metrics).drop("__again", "__missing").write.partitionBy(*partition_by).parquet(staged)
+    found = [seen.get[f"c{i}"] for i in range(len(checks))]
+    failed = [f"{c.name} = {f['value']}" for c, f in zip(checks, found, strict=True) if f["status"] == "fail"]
+    if failed:
+        fs.delete(_folder(spark, staged)[1], True)
+        raise ContractError(f"not published: {', '.join(failed)}")
+    if not fs.rename(_folder(spark, staged)[1], target):
+        raise OSError(f"cannot publish {path}")
+    rows = [(c.name, f["value"], f["status"], c.notes) for c, f in zip(checks, found, strict=True)]
+    return spark.createDataFrame(rows, "check_name string, value double, status string, notes string")
+
+
+def _folder(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
 def write_by_geography(
     df: DataFrame, base: str, geography: str = "native_geography", mode: str = "overwrite"
 ) -> None:

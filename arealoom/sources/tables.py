@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealoom.operators.catalog import clean_header
-from arealoom.session import col_name
-from arealoom.sources.records import SPLITTABLE, quoted_records
+from arealoom.session import col_name, scratch_path
+from arealoom.sources.records import SPLITTABLE, list_items, quoted_records
 
 
 def read_csv_text(
@@ -192,8 +192,13 @@ def read_table(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_json_records(spark: SparkSession, path) -> DataFrame:
-    """Rows of JSON files that hold a list of objects."""
-    return spark.read.option("multiLine", True).json(path)
+    """Rows of JSON files that hold a list of objects.
+
+    The objects are cut out by several tasks for each file and written, one a line, to the shared
+    folder, where Spark's reader finds their schema and reads them again."""
+    lines = scratch_path(spark, "json-lines")
+    list_items(spark, path).select("record").write.text(lines)
+    return spark.read.json(lines)
 
 
 def json_keys(spark: SparkSession, path) -> DataFrame:

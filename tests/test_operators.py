@@ -290,3 +290,45 @@ def test_a_master_checks_each_side_once(spark):
     assert out.count() == 20 and out.filter("source_s4_present_flag").count() == 10
     with pytest.raises(ContractError):
         assemble_master(spine, "k", {"twice": sources["s0"].union(sources["s0"])})
+
+
+def test_five_detectors_from_one_stored_profile(spark, tmp_path):
+    P = PR
+    rows = [(f"1{i:08d}", f"Area {i % 40}", "30 June 2021", str(i * 3), "x" if i % 9 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "`SA2 Code` string, `SA2 name` string, period string, `participant count` string, note string")
+    P.column_profile(df).write.parquet(str(tmp_path / "profile"))
+    profile = spark.read.parquet(str(tmp_path / "profile"))
+    scores = P.scores_from_profile(profile, "sa2")
+    plan = scores._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    got = {(r.detector, r.column_name): round(r.score, 6) for r in scores.collect()}
+    for name, direct in {
+        "measure": P.measure_scores(df), "period": P.period_column_scores(df), "key": P.key_column_scores(df, "sa2"),
+        "indicator": P.indicator_scores(df).withColumnRenamed("numeric_share", "score"),
+        "name": P.alphabetic_shares(df).withColumnRenamed("text_share", "score"),
+    }.items():
+        assert {c: s for (d, c), s in got.items() if d == name} == {r.column_name: round(r.score, 6) for r in direct.collect()}, name
+    # profiles of parts merge to the profile of the whole
+    parts = P.column_profile(df.withColumn("file", F.substring("note", 1, 1)), by="file")
+    merged = {r.column_name: r.asDict() for r in P.merge_profiles(parts).drop("distinct_sketch").collect()}
+    whole = {r.column_name: r.asDict() for r in profile.drop("distinct_sketch").collect()}
+    assert merged == whole
+    sizes = {r.column_name: r.n for r in profile.select("column_name", F.hll_sketch_estimate("distinct_sketch").alias("n")).collect()}
+    assert abs(sizes["SA2 Code"] - 400) < 20 and sizes["note"] == 1
+
+
+def test_code_columns_have_one_length(spark):
+    P = PR
+    for n in (150, 1500, 15_000, 150_000):
+        rows = spark.range(n).select(
+            F.col("id").cast("string").alias("running"), (F.col("id") % 2000).cast("string").alias("counted"),
+            F.concat(F.lit("1"), F.lpad((F.col("id") % 90).cast("string"), 4, "0")).alias("sparse"),
+        )
+        scores = {r.column_name: r.level for r in P.geography_value_scores(rows).filter("level <> 'lga'").collect()}
+        assert scores == {"sparse": "sa3"}, n
+
+
+def test_origins_with_their_counts(spark):
+    a, b = spark.range(3).select(F.lit(1).alias("k"), "id", F.lit("x").alias("v")), spark.range(1).select(F.lit(1).alias("k"), "id", F.lit("y").alias("v"))
+    merged = lambda **o: [tuple(r) for r in W.merge_records([("a", a), ("b", b)], "k", ["v"], "id", **o).collect()]
+    assert merged() == [(1, "a;a;a;b", "x")] and merged(counted=True) == [(1, "a*3;b*1", "x")]

@@ -179,3 +179,121 @@ def test_an_open_quote_and_empty_files(spark, tmp_path):
     assert [(a, b.rstrip()) for a, b in got] == [(a, b.rstrip()) for a, b in whole]
     (tmp_path / "b.csv").write_text("x,y\n")
     assert T.read_csv_text(spark, str(tmp_path / "b.csv"), multi_line=True).count() == 0
+
+
+def test_only_changed_files_are_staged_again(spark, tmp_path):
+    import os
+
+    from arealoom.plans.staging import last_manifest, stage_changed, staged_rows
+
+    raw, out = tmp_path / "raw", str(tmp_path / "native")
+    raw.mkdir()
+    for name, shift in (("a", 0), ("b", 100), ("c", 200)):
+        (raw / f"{name}.csv").write_text("SA2 Code,n\n" + "".join(f"1{i:08d},{i + shift}\n" for i in range(5)))
+    with zipfile.ZipFile(raw / "z.zip", "w") as z:
+        z.writestr("m.csv", "SA3 Code,k\n10102,5\n")
+    (raw / "d.pdf").write_text("..")
+
+    def now():
+        return sorted(((r.n or r.k), r.native_geography) for r in staged_rows(spark, out).collect())
+
+    def audit_of(run):
+        return sorted((os.path.basename(r.path), r.status, r.rows) for r in run.collect())
+
+    first = audit_of(stage_changed(spark, str(raw), out, []))
+    assert first == [("a.csv", "staged", 5), ("b.csv", "staged", 5), ("c.csv", "staged", 5), ("d.pdf", "held_report_context", 0), ("z.zip!m.csv", "staged", 1)]
+    rows = now()
+    assert len(rows) == 16 and rows.count(("5", "sa3")) == 1
+    # same size and time: not opened, so other content does not show
+    stat = os.stat(raw / "a.csv")
+    (raw / "a.csv").write_text((raw / "a.csv").read_text().replace(",3", ",9"))
+    os.utime(raw / "a.csv", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    assert audit_of(stage_changed(spark, str(raw), out, [])) == first and now() == rows
+    assert last_manifest(spark, out)[0] == 1
+    # one file changes, one goes
+    (raw / "b.csv").write_text("SA2 Code,n\n100000001,777\n")
+    (raw / "c.csv").unlink()
+    again = audit_of(stage_changed(spark, str(raw), out, []))
+    assert again == [("a.csv", "staged", 5), ("b.csv", "staged", 1), ("d.pdf", "held_report_context", 0), ("z.zip!m.csv", "staged", 1)]
+    assert now() == sorted([(str(i), "sa2") for i in range(5)] + [("777", "sa2"), ("5", "sa3")])
+    assert last_manifest(spark, out)[0] == 2
+
+
+def test_checked_and_published_in_one_job(spark, tmp_path):
+    from arealoom.operators.audit import Check, ContractError
+    from arealoom.sources.sinks import publish_checked
+
+    df = spark.range(100).select("id", (F.col("id") % 7).alias("k"), F.lit(1.5).alias("v"))
+    checks = [Check("rows", F.count("*"), lambda v: v == 100), Check("total", F.sum("v"))]
+
+    def jobs(work):
+        group = f"publish-{id(work)}"
+        spark.sparkContext.setJobGroup(group, "")
+        try:
+            return work(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+    audit, count = jobs(lambda: publish_checked(df, str(tmp_path / "out"), checks))
+    assert count == 1
+    assert [tuple(r)[:3] for r in audit.collect()] == [("rows", 100.0, "pass"), ("total", 150.0, "info")]
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 100
+    with pytest.raises(ContractError, match="rows = 50"):
+        publish_checked(df.filter("id < 50"), str(tmp_path / "bad"), checks)
+    with pytest.raises(ContractError, match="repeated_keys = 93"):
+        publish_checked(df, str(tmp_path / "bad"), [], ["k"])
+    with pytest.raises(ContractError, match="null_keys = 1"):
+        publish_checked(df.withColumn("id", F.expr("nullif(id, 5)")), str(tmp_path / "bad"), [], "id")
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+    publish_checked(df, str(tmp_path / "good"), [], ["id"], ["k"])
+    assert spark.read.parquet(str(tmp_path / "good")).columns == ["id", "v", "k"]
+    with pytest.raises(FileExistsError):
+        publish_checked(df, str(tmp_path / "good"), [])
+
+
+def test_jobs_of_discovery_do_not_grow_with_the_tables(spark):
+    from arealoom.plans.sources import extract_indicators
+
+    keys = spark.range(50).select(F.col("id").cast("string").alias("code"))
+    one = lambda i: spark.range(50).select("id", F.col("id").cast("string").alias("place"), (F.col("id") * i + 1000).alias("count"), F.lit("x").alias("note"))
+
+    def jobs(n):
+        group = f"discovery-{n}"
+        spark.sparkContext.setJobGroup(group, "")
+        wide, long = extract_indicators({f"t{i}": one(i) for i in range(n)}, {"area": keys}, "area", "id")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return wide, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    few, (wide, many) = jobs(2)[1], jobs(10)
+    assert many <= few
+    assert wide.columns == ["join_key", *[f"t{i}__count" for i in range(10)]] and wide.count() == 50
+
+
+def test_items_of_a_json_list_are_read_by_several_tasks(spark, tmp_path):
+    import json
+    import random
+
+    rng = random.Random(4)
+    value = ["plain", 'q"uote', "br[ack]et}{", "back\\slash\\", "line\nend", "é", ""]
+    rows = [{"id": i, "a": rng.choice(value), "deep": {"x": [[1, 2], [3]], "y": [{"z": rng.choice(value)}, {}]}} for i in range(2000)]
+    texts = {
+        "indented": json.dumps(rows, indent=2), "lines": "[\n" + ",\n".join(map(json.dumps, rows)) + "\n]\n", "flat": json.dumps(rows[:50]),
+        "crlf": json.dumps(rows[:300], indent=1).replace("\n", "\r\n"), "shared": json.dumps(rows[:300], indent=1).replace("},\n {", "}, {"), "none": "[]",
+        "object": json.dumps(rows[3], indent=3),
+    }
+    for name, text in texts.items():
+        (tmp_path / f"{name}.json").write_text(text, newline="")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        for name in texts:
+            path = str(tmp_path / f"{name}.json")
+            whole, got = spark.read.option("multiLine", True).json(path), T.read_json_records(spark, path)
+            assert got.schema == whole.schema, name
+            assert sorted(map(str, got.collect())) == sorted(map(str, whole.collect())), name
+        from arealoom.sources.records import list_items
+
+        items = list_items(spark, str(tmp_path / "indented.json"))
+        assert items.count() == 2000 and items.select(F.spark_partition_id()).distinct().count() > 10
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
