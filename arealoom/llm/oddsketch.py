@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealoom.llm.words import LOWER, WHITE_SPACE, find_words, mix, release, slices, window_hashes
@@ -29,8 +29,8 @@ SKETCH_WORDS = 8
 #: Standard deviations that the number of differing samples and, on top, the sketch of a true pair may
 #: show: six of both together.
 DEVIATIONS = 4
-#: Bytes of sets that meet in one task, on either side.
-PART_BYTES = 4 << 20
+#: Bytes of sets, and members, that meet in one task, on either side.
+PART_BYTES, PART_ROWS = 4 << 20, 1024
 _RNG = np.random.Generator(np.random.PCG64(71))
 _FACTORS = _RNG.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BLOCK = 1 << 15
@@ -176,20 +176,41 @@ def verified(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, k: int,
     return joined.select("a", "b", "left", "right").mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def meetings(members: DataFrame, percent: int) -> DataFrame:
+def meetings(members: DataFrame, full: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Links (``a``, ``b``) between members of one group (``g``) that are in different components.
 
-    ``members`` has ``g``, ``id``, ``root``, ``open``, ``sketch``, ``shingles`` and the group's numbers of parts
-    ``n_open`` and ``n_all``. Every open member meets every member: a task holds one part of the open ones
-    and one part of all, and gives back found links only. Pairs whose components it has joined
-    already, or whose sketches are too far apart, are not compared.
+    ``members`` has ``g``, ``id``, ``root``, ``open``, ``sketch`` and the group's numbers of parts ``n_open`` and
+    ``n_all``; ``full`` the shingle sets. Every open member meets every member, twice: first one part of the
+    open ones and one part of all meet with their sketches alone, and name the members that have
+    someone near enough; then those, and only those, meet again with their sets. Found links come
+    out, never pairs. Pairs whose components a task has joined already are not compared.
     """
     limit = sketch_limit(percent / 100)
 
+    def near(x: _Members, y: _Members, i: int) -> np.ndarray:
+        far = np.bitwise_count(x.sketches[i] ^ y.sketches).sum(axis=1)
+        return (far <= limit) & (y.roots != x.roots[i]) & (~y.open | (y.ids > x.ids[i]))
+
+    def name(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
+        asking, asked = np.zeros(left.num_rows, bool), np.zeros(right.num_rows, bool)
+        if left.num_rows and right.num_rows:
+            x, y = _unpacked(left), _unpacked(right)
+            for i in range(left.num_rows):
+                mask = near(x, y, i)
+                asking[i] = mask.any()
+                asked |= mask
+        named = [(left, asking, True), (right, asked, False)]
+        return pa.concat_tables(
+            pa.table({c: t.column(c).filter(pa.array(m)) for c in key + columns} | {"asks": pa.array(np.full(m.sum(), side))})
+            for t, m, side in named
+        )
+
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        release()
         found: list[tuple[int, int]] = []
         if left.num_rows and right.num_rows:
-            x, y = (_unpacked(t) for t in (left, right))
+            x, y = _unpacked(left), _unpacked(right)
             joined: dict[int, int] = {}
 
             def find(root: int) -> int:
@@ -198,8 +219,7 @@ def meetings(members: DataFrame, percent: int) -> DataFrame:
                 return root
 
             for i in range(left.num_rows):
-                far = np.bitwise_count(x.sketches[i] ^ y.sketches).sum(axis=1)
-                for j in np.flatnonzero((far <= limit) & (y.roots != x.roots[i]) & (~y.open | (y.ids > x.ids[i]))):
+                for j in np.flatnonzero(near(x, y, i)):
                     p, q = find(int(x.roots[i])), find(int(y.roots[j]))
                     if p != q and _similar(x.sets[i], y.sets[j], percent):
                         found.append((int(x.ids[i]), int(y.ids[j])))
@@ -207,12 +227,18 @@ def meetings(members: DataFrame, percent: int) -> DataFrame:
         return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     part = F.xxhash64("id")
-    columns = ["g", "id", "root", "open", "sketch", "shingles"]
-    asks = members.filter("open").select(*columns, F.pmod(part, "n_open").alias("x"), F.explode(F.expr("sequence(0L, n_all - 1)")).alias("y"))
+    columns, key = ["id", "root", "open", "sketch"], ["g", "x", "y"]
+    asks = members.filter("open").select("g", *columns, F.pmod(part, "n_open").alias("x"), F.explode(F.expr("sequence(0L, n_all - 1)")).alias("y"))
     # the aliases keep the columns of both sides apart
-    answers = members.select(*[F.col(c).alias(c) for c in columns], F.explode(F.expr("sequence(0L, n_open - 1)")).alias("x"), F.pmod(part, "n_all").alias("y"))
-    key = ["g", "x", "y"]
-    return asks.groupBy(*key).cogroup(answers.groupBy(*key)).applyInArrow(compare, "a bigint, b bigint")
+    answers = members.select(
+        F.col("g").alias("g"), *[F.col(c).alias(c) for c in columns], F.explode(F.expr("sequence(0L, n_open - 1)")).alias("x"), F.pmod(part, "n_all").alias("y")
+    )
+    kinds = "g bigint, x bigint, y bigint, id bigint, root bigint, open boolean, sketch array<bigint>, asks boolean"
+    named = scratch.table(asks.groupBy(*key).cogroup(answers.groupBy(*key)).applyInArrow(name, kinds), "named")
+    ready = scratch.table(named.join(full, "id"), "near-sets")
+    left, right = ready.filter("asks").drop("asks"), ready.filter("NOT asks").drop("asks")
+    right = right.select(*[F.col(c).alias(c) for c in right.columns])
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, "a bigint, b bigint")
 
 
 class _Members(NamedTuple):
@@ -225,12 +251,13 @@ class _Members(NamedTuple):
 
 def _unpacked(rows: pa.Table) -> _Members:
     sketches = rows.column("sketch").combine_chunks()
+    sets = rows.column("shingles").to_pylist() if "shingles" in rows.column_names else []
     return _Members(
         rows.column("id").to_numpy(),
         rows.column("root").to_numpy(),
         rows.column("open").to_numpy(),
         sketches.flatten().to_numpy().view(np.uint64).reshape(rows.num_rows, SKETCH_WORDS),
-        [np.frombuffer(b, np.uint64) for b in rows.column("shingles").to_pylist()],
+        [np.frombuffer(b, np.uint64) for b in sets],
     )
 
 
@@ -332,13 +359,16 @@ def _components_of(signed: DataFrame, docs: DataFrame, doc_id: str, text: str, k
     meet = rooted.join(busy, ["band", "key"], "left_semi").groupBy(F.col("head").alias("g"), "id", "root")
     meet = scratch.table(meet.agg(F.max(F.col("root") != F.col("head")).alias("open")), "meet")
     full = shingle_sets(meet.select("id").distinct(), docs, doc_id, text, k, scratch)
-    members = meet.join(sketch.withColumnRenamed("doc_id", "id"), "id").join(full, "id")
-    members = scratch.table(members.withColumn("size", F.octet_length("shingles") + 8 * SKETCH_WORDS), "meeting")
+    sizes = full.select("id", (F.octet_length("shingles") + 8 * SKETCH_WORDS).alias("size"))
+    members = meet.join(sketch.withColumnRenamed("doc_id", "id"), "id").join(sizes, "id")
+    members = scratch.table(members, "meeting")
+    open_size, open_ = F.when(F.col("open"), F.col("size")), F.col("open")
     parts = members.groupBy("g").agg(
-        F.ceil(F.sum(F.when(F.col("open"), F.col("size"))) / PART_BYTES).alias("n_open"), F.ceil(F.sum("size") / PART_BYTES).alias("n_all")
+        F.greatest(F.ceil(F.sum(open_size) / PART_BYTES), F.ceil(F.count_if(open_) / PART_ROWS)).alias("n_open"),
+        F.greatest(F.ceil(F.sum("size") / PART_BYTES), F.ceil(F.count("*") / PART_ROWS)).alias("n_all"),
     )
     parts = scratch.table(parts.filter("n_open > 0"), "parts")
-    more = scratch.table(meetings(members.join(parts, "g"), percent), "more-links")
+    more = scratch.table(meetings(members.drop("size").join(parts, "g"), full, percent, scratch), "more-links")
 
     return components(links.union(more).union(same), scratch).select(F.col("id").alias("doc_id"), F.col("root"))
 
@@ -346,3 +376,30 @@ def _components_of(signed: DataFrame, docs: DataFrame, doc_id: str, text: str, k
 def _with_root(rows: DataFrame, column: str, roots: DataFrame, name: str) -> DataFrame:
     found = roots.select(F.col("id").alias(column), F.col("root").alias(name))
     return rows.join(found, column, "left").withColumn(name, F.coalesce(name, column))
+
+
+def first_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, less those that are near-duplicates of one that stays: of each group
+    the row of the smallest id.
+
+    Rows that share an id are judged by their own texts: a document is an id and a text hash, and the
+    smallest of a group is told by id, then text hash. Of rows with one id and one text, one stays
+    (the least by the other columns). Rows without an id all stay. Where no id repeats, which one count
+    tells, the ids themselves are the nodes, and no hash stands for a document."""
+    key, columns = F.col(f"`{doc_id}`"), [F.col(f"`{c}`") for c in docs.columns]
+    if docs.filter(key.isNotNull()).groupBy(key).count().filter("count > 1").isEmpty():
+        groups = near_duplicates(docs, doc_id, text, k, percent)
+        dropped = materialise(groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
+        return docs.join(dropped, key == F.col("_dropped"), "left_anti").select(*columns)
+    body = F.col(f"`{text}`")
+    marked = docs.withColumns({"_node": F.when(key.isNotNull(), F.xxhash64(key, body)), "_print": F.xxhash64(body), "_id": key})
+    groups = near_duplicates(marked, "_node", text, k, percent)
+    groups = groups.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("_node"), "component_id").distinct()
+    names = marked.filter("_node IS NOT NULL").select("_id", "_print", "_node").distinct()
+    named = materialise(names.join(groups, "_node"), "named")
+    first = named.groupBy("component_id").agg(F.min(F.struct("_id", "_print", "_node")).alias("first"))
+    dropped = materialise(named.join(first.select("first._node"), "_node", "left_anti").select("_node"), "dropped")
+    single = marked.join(dropped, "_node", "left_anti")
+    order = Window.partitionBy("_node").orderBy(*[F.col(f"`{c}`") for c in docs.columns if c not in (doc_id, text)] or [F.lit(0)])
+    once = single.filter("_node IS NOT NULL").withColumn("_row", F.row_number().over(order)).filter("_row = 1")
+    return once.select(*columns).union(single.filter("_node IS NULL").select(*columns))

@@ -59,6 +59,28 @@ def test_links_between_members_that_miss_their_leader(spark):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == components(rows, 4, 80)
 
 
+def test_members_meet_part_by_part(spark, monkeypatch):
+    """Two families around leaders that their members are not like enough: parts of few rows or bytes meet
+    by sketches, and only members with someone near send their sets."""
+    rng = random.Random(6)
+    base, rows = [f"w{i}" for i in range(200)], []
+    for family in range(5):
+        root = list(base)
+        for at in rng.sample(range(200), 14):
+            root[at] = f"f{family}_{at}"
+        for copy in range(12):
+            words = list(root)
+            for at in rng.sample(range(200), 3):
+                words[at] = f"c{family}_{copy}_{at}"
+            rows.append((len(rows), " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = components(rows, 4, 80)
+    for limit, value in (("PART_ROWS", 4), ("PART_BYTES", 4096)):
+        monkeypatch.setattr(oddsketch, limit, value)
+        got = oddsketch.near_duplicates(docs).collect()
+        assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == want
+
+
 def test_sketches_let_true_pairs_through(spark):
     assert oddsketch.sketch_limit(0.8) < 160
     rng = random.Random(8)
