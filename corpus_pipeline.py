@@ -7,7 +7,7 @@ Each stage takes the rows that its predecessor kept. All but the last return the
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealoom.llm import bpe, decontaminate, langid, oddsketch, suffixes
@@ -39,28 +39,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one of the smallest id. Words in
-    shingles of five.
-
-    Rows that share an id are judged by their own texts: a document is an id and a text hash, and the
-    smallest of a group is told by id, then text hash. Of rows with one id and one text, one stays
-    (the least by language, source and length). Rows without an id all stay."""
-    docs = bound_batches(docs).select(*COLUMNS)
-    if docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty():
-        groups = oddsketch.near_duplicates(docs, k=5, percent=80)
-        dropped = materialise(groups.filter(~F.col("kept")).select("doc_id").distinct(), "dropped")
-        return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
-    node = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
-    docs = docs.withColumns({"node": node, "print": F.xxhash64("text")})
-    groups = oddsketch.near_duplicates(docs, doc_id="node", k=5, percent=80)
-    groups = groups.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "component_id").distinct()
-    names = docs.filter("node IS NOT NULL").select("doc_id", "print", "node").distinct()
-    named = materialise(names.join(groups, "node"), "named")
-    first = named.groupBy("component_id").agg(F.min(F.struct("doc_id", "print", "node")).alias("first"))
-    dropped = materialise(named.join(first.select("first.node"), "node", "left_anti").select("node"), "dropped")
-    single = docs.join(dropped, "node", "left_anti")
-    order = Window.partitionBy("node").orderBy("lang", "source", "n_chars")
-    once = single.filter("node IS NOT NULL").withColumn("row", F.row_number().over(order)).filter("row = 1")
-    return once.select(*COLUMNS).union(single.filter("node IS NULL").select(*COLUMNS))
+    shingles of five. Rows that share an id are judged by their own texts; of rows with one id and one
+    text, one stays; rows without an id all stay."""
+    return oddsketch.first_of_each(bound_batches(docs).select(*COLUMNS), k=5, percent=80)
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
