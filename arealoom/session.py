@@ -51,17 +51,53 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/arealoom/{label}-{uuid.uuid4().hex}"
+    """A new place in the folder of this application below the scratch folder."""
+    return f"{scratch_root(spark)}/arealoom/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all that this application left in the scratch folder; for when its results are written."""
+    drop_path(spark, f"{scratch_root(spark)}/arealoom/{spark.sparkContext.applicationId}")
+    _WRITTEN.clear()
+
+
+#: Tables that ``materialise`` wrote, in their order.
+_WRITTEN: list[str] = []
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write a table to the shared scratch folder and read it back: cuts lineage and survives a
     lost executor, which cached blocks do not."""
     path = scratch_path(df.sparkSession, label)
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Steps:
+    """Steps that each read the table of the one before: ``write`` makes the table of a step, then removes
+    what the step itself had written, and the table of the step before, which nothing reads any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.last = spark, None
+
+    def write(self, step, label: str) -> DataFrame:
+        mark = len(_WRITTEN)
+        table = materialise(step(), label)
+        path = _WRITTEN.pop()
+        done = _WRITTEN[mark:] + ([self.last] if self.last else [])
+        del _WRITTEN[mark:]
+        for old in done:
+            drop_path(self.spark, old)
+        self.last = path
+        return table
+
+
 class Scratch:
     """Tables that live as long as a ``with`` block: ``materialise`` for what only the block reads.
 
@@ -80,10 +116,8 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def __exit__(self, *_) -> None:
-        jvm = self.spark.sparkContext._jvm
         for path in self.paths:
-            place = jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+            drop_path(self.spark, path)
 
 
 def col_name(name: str) -> str:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealoom.llm import bpe, decontaminate, langid, oddsketch, suffixes
-from arealoom.session import materialise
+from arealoom.session import Steps
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Bytes of texts that go to a Python worker at once, and of the memo of pieces that each worker keeps.
@@ -88,8 +88,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder for the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``, each written to the shared folder for the next. What a stage wrote on
+    its way, and its input, go when its table is there; the input of the last stage stays until
+    ``session.drop_scratch``, as its result reads it."""
+    docs, steps = spark.read.parquet(f"{sf_dir}/documents.parquet"), Steps(spark)
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+        docs = steps.write(lambda: stage(spark, docs, sf_dir), name)  # noqa: B023
     return STAGES[-1][1](spark, docs, sf_dir)

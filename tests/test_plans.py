@@ -153,3 +153,19 @@ def test_spread_join_is_a_left_join(spark):
     right = spark.createDataFrame([("a", 10), (None, 20), ("c", 30)], "k string, x int")
     got = sorted((r.n, r.k or "", r.x or 0) for r in J.spread_join(left, right, [(F.col("k"), "k")]).collect())
     assert got == [(1, "a", 10), (2, "", 0), (3, "b", 0), (3, "b", 0)]
+
+
+def test_steps_leave_the_last_table_only(spark):
+    import os
+
+    from arealoom.session import Steps, drop_scratch, materialise, scratch_root
+
+    folder = f"{scratch_root(spark)}/arealoom/{spark.sparkContext.applicationId}"
+    drop_scratch(spark)
+    steps, table = Steps(spark), spark.range(5)
+    for i in range(3):
+        table = steps.write(lambda: materialise(table.filter(f"id <> {i}"), "aside").select("id"), f"step{i}")  # noqa: B023
+    assert sorted(r.id for r in table.collect()) == [3, 4]
+    assert [n.split("-")[0] for n in os.listdir(folder)] == ["step2"]
+    drop_scratch(spark)
+    assert not os.path.exists(folder)
