@@ -32,9 +32,9 @@ def run_checks(spark, sf):
 
 @check(
     "aud1_publish_checked",
-    """SELECT unnest(['rows', 'null_shipdates', 'discount_sum', 'max_tax', 'null_keys', 'repeated_keys']) AS check_name,
- unnest([CAST(count(*) AS DOUBLE), 0, round(sum(l_discount), 4), max(l_tax), 0, 0]) AS value, unnest(['pass', 'pass', 'info', 'review',
- 'pass', 'pass']) AS status, unnest(['', '', '', 'tax above 5 %', '', '']) AS notes FROM lineitem""",
+    """SELECT unnest(['rows', 'null_dates', 'price_sum', 'max_price', 'null_keys', 'repeated_keys']) AS check_name,
+ unnest([CAST(count(*) AS DOUBLE), 0, round(sum(o_totalprice), 1), max(o_totalprice), 0, 0]) AS value, unnest(['pass', 'pass', 'info',
+ 'review', 'pass', 'pass']) AS status, unnest(['', '', '', 'price above 100', '', '']) AS notes FROM orders""",
 )
 def publish_checked(spark, sf):
     from arealoom.session import scratch_path
@@ -42,12 +42,12 @@ def publish_checked(spark, sf):
 
     checks = [
         A.Check("rows", F.count("*"), lambda v: v > 0),
-        A.Check("null_shipdates", F.count_if(F.col("l_shipdate").isNull()), lambda v: v == 0),
-        A.Check("discount_sum", F.sum("l_discount")),
-        A.Check("max_tax", F.max("l_tax"), lambda v: v <= 0.05, "review", "tax above 5 %"),
+        A.Check("null_dates", F.count_if(F.col("o_orderdate").isNull()), lambda v: v == 0),
+        A.Check("price_sum", F.sum("o_totalprice")),
+        A.Check("max_price", F.max("o_totalprice"), lambda v: v <= 100, "review", "price above 100"),
     ]
-    audit = publish(table(spark, sf, "lineitem"), scratch_path(spark, "published"), checks, ["l_orderkey", "l_linenumber"])
-    return audit.withColumn("value", F.round("value", 4))
+    audit = publish(table(spark, sf, "orders"), scratch_path(spark, "published"), checks, "o_orderkey")
+    return audit.withColumn("value", F.when(F.col("check_name") == "price_sum", F.round("value", 1)).otherwise(F.col("value")))
 
 
 @check(

@@ -249,6 +249,14 @@ def parse_period(spark, sf):
     return period_labels(spark, sf).select("o_orderkey", iso(A.parse_period("label")).alias("period"))
 
 
+@check("dat1_parsed_once", f"SELECT o_orderkey, CAST({SQL_PERIOD} AS VARCHAR) AS period FROM orders")
+def parse_period_once(spark, sf):
+    """The same labels, each distinct one parsed once."""
+    from arealoom.operators.profiling import parsed_once
+
+    return parsed_once(period_labels(spark, sf), "label", "day").select("o_orderkey", iso(F.col("day")).alias("period"))
+
+
 @check(
     "dat2_extract_periods",
     f"""SELECT o_orderkey, CAST(least(last_day(d), last_day(CAST(d + INTERVAL 7 MONTH AS DATE)), d) AS VARCHAR)

@@ -241,12 +241,12 @@ def audit_bridge(
             Check("ratios_outside_0_1", F.count_if((r < 0) | (r > 1.000001)), zero, "review"),
         ],
     )
-    per_from = bridge.filter(F.col(from_col).isNotNull()).groupBy(from_col).agg(
-        (F.min(to_col) != F.max(to_col)).alias("__split"), F.sum(ratio).alias("__sum")
-    )
-    per_to = bridge.filter(F.col(to_col).isNotNull()).groupBy(to_col).agg(
-        (F.min(from_col) != F.max(from_col)).alias("__merge")
+    # edges are folded to pairs once; codes are counted from the pairs, with no text in an aggregate
+    pairs = bridge.groupBy(from_col, to_col).agg(F.sum(ratio).alias("__sum"))
+    per_from = pairs.filter(F.col(from_col).isNotNull()).groupBy(from_col).agg(
+        (F.count(to_col) > 1).alias("__split"), F.sum("__sum").alias("__sum")
     )
+    per_to = pairs.filter(F.col(to_col).isNotNull()).groupBy(to_col).agg((F.count(from_col) > 1).alias("__merge"))
     sources = run_checks(
         per_from,
         [

@@ -332,3 +332,14 @@ def test_origins_with_their_counts(spark):
     a, b = spark.range(3).select(F.lit(1).alias("k"), "id", F.lit("x").alias("v")), spark.range(1).select(F.lit(1).alias("k"), "id", F.lit("y").alias("v"))
     merged = lambda **o: [tuple(r) for r in W.merge_records([("a", a), ("b", b)], "k", ["v"], "id", **o).collect()]
     assert merged() == [(1, "a;a;a;b", "x")] and merged(counted=True) == [(1, "a*3;b*1", "x")]
+
+
+def test_texts_are_parsed_once_where_they_are_few(spark):
+    rows = spark.range(5000).select("id", F.when(F.col("id") % 50 > 0, F.concat((F.col("id") % 12 + 2010).cast("string"), F.lit(" Q1"))).alias("label"))
+    plain = rows.withColumn("day", PR.parse_period(F.col("label")))
+    once = PR.parsed_once(rows, "label", "day")
+    assert "Join" in once._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, once.collect())) == sorted(map(str, plain.collect()))
+    many = PR.parsed_once(rows.withColumn("label", F.col("id").cast("string")), "label", "day")
+    assert "Join" not in many._jdf.queryExecution().optimizedPlan().toString()
+    assert PR.parsed_once(rows.filter("id < 0"), "label", "day").count() == 0
