@@ -14,6 +14,8 @@ from arealoom.llm.words import _BYTE_VALUES, _hash_spans, find_words, LOWER, NOT
 from arealoom.operators.joins import spread_join
 
 BITS = 18
+#: Labels that a model of few classes may have.
+MOST_LABELS = 64
 BUCKETS = 1 << BITS
 
 
@@ -77,10 +79,12 @@ def least_rows(rows: DataFrame, group: str, key: str, n: int) -> DataFrame:
 
 def sample_bags(labels: DataFrame, texts: DataFrame, key: str, label: str, text: str, make, per_label: int) -> list[tuple]:
     """(label, key, buckets, counts) of at most ``per_label`` rows of each label: those of the least key
-    hashes, chosen from the labels alone before any text is read. Labels are few; null keys, labels
-    and texts are not used. Only bags of at most ``BUCKETS`` entries of the chosen rows come to the
-    driver."""
+    hashes, chosen from the labels alone before any text is read. More than ``MOST_LABELS`` labels are an
+    error, so what is broadcast (keys and labels) and what comes to the driver (bags of at most
+    ``BUCKETS`` entries) is bounded; null keys, labels and texts are not used."""
     rated = labels.select(F.col(f"`{key}`").alias("key"), F.col(f"`{label}`").alias("label")).filter("key IS NOT NULL AND label IS NOT NULL")
+    if rated.select("label").distinct().limit(MOST_LABELS + 1).count() > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels")
     chosen = least_rows(rated, "label", "key", per_label).select("key", "label").distinct()
     rows = texts.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text")).filter("text IS NOT NULL")
 
@@ -93,7 +97,7 @@ def sample_bags(labels: DataFrame, texts: DataFrame, key: str, label: str, text:
                 yield pa.RecordBatch.from_arrays([*batch.slice(low, high - low).columns[:2], *columns], ["label", "key", "buckets", "counts"])
         release()
 
-    # at most per_label rows of each of a few labels
+    # at most per_label rows of each of MOST_LABELS labels
     sample = rows.join(F.broadcast(chosen), "key").dropDuplicates(["key", "label"]).select("label", F.col("key").cast("string").alias("key"), "text")
     kind = sample.schema["label"].dataType.simpleString()
     found = sample.mapInArrow(run, f"label {kind}, key string, buckets binary, counts binary").collect()
