@@ -39,11 +39,11 @@ def test_encoding_is_exact(vocab, reference):
         assert codec.decode(packed) == text.encode()
 
 
-def test_memos_are_emptied_when_full(vocab, reference, monkeypatch):
-    monkeypatch.setattr(bpe, "MEMO_ENTRIES", 5)
-    codec, text = bpe.Codec(vocab, PATTERN), "quite a few different words in one unremarkable sentence, again and again"
+def test_memos_are_emptied_when_full(vocab, reference):
+    # five entries of about 220 bytes
+    codec, text = bpe.Codec(vocab, PATTERN, memo_bytes=1150), "quite a few different words in one unremarkable sentence, again and again"
     assert ids(codec.encode(text)) == reference.encode_ordinary(text)
-    assert len(codec.memo) <= 5
+    assert len(codec.memo) <= 5 and codec.memo.held <= 1150 and len(codec.fits) <= 5
 
 
 def test_a_small_vocabulary_and_bad_ones():
@@ -56,6 +56,16 @@ def test_a_small_vocabulary_and_bad_ones():
         bpe.vocabulary({b"a": 0})
 
 
+def test_ids_checked_in_the_worker(edge_docs, edge_rows, no_docs, vocab, reference):
+    coded = bpe.checked(edge_docs, vocab, PATTERN, memo_bytes=10_000)
+    assert set(coded.columns) == {c for c in edge_docs.columns if c != "text"} | {"ids", "intact"}
+    rows = coded.collect()
+    assert all(r.intact for r in rows)
+    want = [(str(i), reference.encode_ordinary(t or "")) for i, t in edge_rows]
+    assert sorted(want) == sorted((str(r.doc_id), ids(r.ids)) for r in rows)
+    assert bpe.checked(no_docs, vocab, PATTERN).count() == 0
+
+
 def test_tokens_of_a_table(edge_docs, edge_rows, no_docs, vocab, reference):
     coded = bpe.round_trip(edge_docs, vocab, PATTERN)
     assert coded.columns == [*[c for c in edge_docs.columns if c != "ids"], "ids", "decoded"]
@@ -109,7 +119,7 @@ def test_toxicity_on_held_out_labels(spark):
     clean = got.filter("toxic = 0")
     assert clean.filter("is_toxic").count() <= 0.05 * clean.count()
     toxic = got.filter("toxic = 1 AND junk = 0")
-    assert toxic.filter("is_toxic").count() >= 0.4 * toxic.count()
+    assert toxic.filter("is_toxic").count() >= 0.6 * toxic.count()
     junk = got.filter("junk = 1")
     assert junk.filter("is_junk").count() >= 0.8 * junk.count()
 
