@@ -352,3 +352,14 @@ def test_a_column_that_is_there_is_replaced_by_what_is_parsed(spark):
         assert "Join" in once._jdf.queryExecution().optimizedPlan().toString()
         assert once.columns == plain.columns and once.dtypes == plain.dtypes
         assert sorted(map(str, once.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_ratio_sums_on_a_bound_do_not_depend_on_the_order_of_edges(spark):
+    # added up in the first order these are less than 0.98 as doubles, in the second they are not
+    for ratios in [(0.31, 0.11, 0.26, 0.18, 0.12), (0.31, 0.18, 0.11, 0.26, 0.12)]:
+        edges = spark.createDataFrame([("a", x) for x in ratios], "code string, ratio double").coalesce(1)
+        assert not B.ratio_sum_check(edges, "code", "ratio").first()["outside_tolerance"]
+    edges = spark.createDataFrame([("a", 0.97999), ("b", 1.02001), ("c", 1.02), ("d", None)], "code string, ratio double")
+    assert rows(B.ratio_sum_check(edges, "code", "ratio").select("code", "outside_tolerance"), "code") == [
+        ("a", True), ("b", True), ("c", False), ("d", None),
+    ]
