@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arealoom.functions import vocab
 from arealoom.functions.text import clean_text, key_slug, trim_all
 from arealoom.operators.audit import ContractError
-from arealoom.operators.windows import ffill, top_n
+from arealoom.operators.windows import top_n
 
 _SHEET = ["file", "sheet"]
 
@@ -42,27 +42,37 @@ def detect_header_row(cells: DataFrame, keywords=None, max_rows: int = 30) -> Da
 
 def combine_headers(cells: DataFrame, header_rows: DataFrame, window: int = 5, sep: str = " | ") -> DataFrame:
     """Header of each column from up to ``window`` rows ending at the header row: merged cells are
-    filled to the right, consecutive repeats down the column are joined once."""
+    filled to the right, consecutive repeats down the column are joined once.
+
+    Cells are dealt by sheet once. The exchange before the join also lets Spark measure them: cells that are
+    made of short rows look small enough for a broadcast to its estimate."""
     last = header_rows.select(*_SHEET, F.col("header_row").alias("__last"))
     first = F.greatest(F.lit(0), F.col("__last") - (window - 1))
-    grid = (
-        cells.select(*_SHEET, "col_idx").distinct()
+    near = (F.col("row_idx") >= first) & (F.col("row_idx") <= F.col("__last"))
+    # only the cells of the header rows are cleaned
+    text = F.when(near, clean_text("value"))
+    columns = (
+        cells.filter("col_idx IS NOT NULL").repartition(*[F.col(c) for c in _SHEET])
         .join(last, _SHEET)
-        .select(*_SHEET, "col_idx", F.explode(F.sequence(first, F.col("__last"))).alias("row_idx"))
+        .select(*_SHEET, "col_idx", "row_idx", "__last", text.alias("value"))
+        .groupBy(*_SHEET, "col_idx")
+        .agg(
+            F.max("__last").alias("__last"),
+            F.array_sort(F.collect_list(F.when(F.col("value").isNotNull(), F.struct("row_idx", "value")))).alias("__s"),
+        )
     )
-    # only the cells of the header rows are cleaned and dealt out
-    near = (F.col("row_idx") >= first) & (F.col("row_idx") <= F.col("__last"))
-    texts = cells.join(last, _SHEET).filter(near).select(*_SHEET, "row_idx", "col_idx", clean_text("value").alias("value"))
-    full = grid.join(texts, [*_SHEET, "row_idx", "col_idx"], "left")
+
+    def texts_of(i: int):
+        here = F.filter("__s", lambda x: x["row_idx"] == F.col("__last") - (window - 1 - i))
+        return F.when(F.size(here) > 0, F.transform(here, lambda x: x["value"]))
+
     # One row of a sheet has at most 16,384 columns in the formats that hold merged cells.
-    filled = ffill(full, [*_SHEET, "row_idx"], "col_idx", ["value"], block=None)
-    stacks = (
-        filled.filter("value is not null")
-        .groupBy(*_SHEET, "col_idx")
-        .agg(F.array_sort(F.collect_list(F.struct("row_idx", "value"))).alias("__s"))
+    rightwards = Window.partitionBy(*_SHEET).orderBy("col_idx").rowsBetween(Window.unboundedPreceding, 0)
+    rows = [f"__r{i}" for i in range(window)]
+    filled = columns.select(*_SHEET, "col_idx", *[texts_of(i).alias(r) for i, r in enumerate(rows)]).select(
+        *_SHEET, "col_idx", *[F.last(r, ignorenulls=True).over(rightwards).alias(r) for r in rows]
     )
-    words = F.transform("__s", lambda x: x["value"])
-    kept = stacks.withColumn("__w", words).withColumn(
+    kept = filled.withColumn("__w", F.flatten(F.array_compact(F.array(*rows)))).filter(F.size("__w") > 0).withColumn(
         "__w",
         F.filter("__w", lambda x, i: (i == 0) | (x != F.try_element_at("__w", F.greatest(i, F.lit(1))))),
     )

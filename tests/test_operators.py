@@ -1,6 +1,7 @@
 """Contracts, documented departures and properties of the table operators."""
 
 import datetime as dt
+import itertools
 
 import pytest
 from pyspark.sql import functions as F
@@ -363,3 +364,27 @@ def test_ratio_sums_on_a_bound_do_not_depend_on_the_order_of_edges(spark):
     assert rows(B.ratio_sum_check(edges, "code", "ratio").select("code", "outside_tolerance"), "code") == [
         ("a", True), ("b", True), ("c", False), ("d", None),
     ]
+
+
+def _sheets(spark, path, n):
+    """Sheets of a short row each in one small file, unfolded to cells after it is read."""
+    spark.range(n).coalesce(1).select(F.col("id").cast("string").alias("sheet")).write.parquet(path)
+    cell = F.explode(F.sequence(F.lit(0), F.lit(3))).alias("col_idx")
+    words = F.array(*[F.lit(w) for w in ("Area code", "Name", "Count", "Rate")])
+    return spark.read.parquet(path).select(
+        F.lit("f").alias("file"), "sheet", F.lit(0).alias("row_idx"), cell).withColumn("value", F.element_at(words, F.col("col_idx") + 1))
+
+
+def test_cells_are_measured_before_they_are_broadcast(spark, tmp_path):
+    grid = _sheets(spark, f"{tmp_path}/sheets", 50)
+    plan = combine_headers(grid, detect_header_row(grid))._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan
+
+
+def test_headers_go_to_the_right_in_every_row_of_the_window(spark):
+    given = [(0, 0, "Title"), (1, 0, "Top"), (1, 2, "Other"), (2, 0, "Area"), (2, 1, "Area"), (2, 2, None), (2, 3, "Rate"), (3, 4, "data"), (2, None, "x")]
+    grid = spark.createDataFrame([("f", "s", *c) for c in given], "file string, sheet string, row_idx int, col_idx int, value string")
+    last = spark.createDataFrame([("f", "s", 2), ("f", "other", 0)], "file string, sheet string, header_row int")
+    got = lambda window: rows(combine_headers(grid, last, window).select("col_idx", "header"), "col_idx")
+    assert got(2) == [(0, "Top | Area"), (1, "Top | Area"), (2, "Other | Area"), (3, "Other | Rate"), (4, "Other | Rate")]
+    assert got(5)[4] == (4, "Title | Other | Rate") and got(1)[0] == (0, "Area")
