@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arealoom.session import materialise
+from arealoom.session import dealt, materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -134,10 +134,13 @@ SQL_HEADERS = (
 
 
 def cells(spark: SparkSession, sf: str) -> DataFrame:
-    """Sheets with 0 to 2 title rows, a merged heading row, a header row and two data rows."""
+    """Sheets with 0 to 2 title rows, a merged heading row, a header row and two data rows.
+
+    Parts are dealt over tasks before their cells, about twenty of each, are made."""
     k, row, col = F.col("p_partkey") % 3, F.col("row_idx"), F.col("col_idx")
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     grid = (
-        table(spark, sf, "part")
+        dealt(parts, "p_partkey", 10_000)
         .select("*", F.explode(F.sequence(F.lit(0), (k + 3).cast("int"))).alias("row_idx"))
         .select("*", F.explode(F.array(*[F.lit(i) for i in range(4)])).alias("col_idx"))
     )

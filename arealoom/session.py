@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -79,6 +80,14 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """A table dealt over tasks by a key, about ``rows`` in each, for a step that makes much of every row.
+
+    Scans are cut by the bytes of files, which tell little of what comes out of short rows: a small file is
+    the work of one task or two. One count of the rows, which Parquet has in its footers, decides."""
+    return df.repartition(max(1, math.ceil(df.count() / rows)), key)
+
+
 class Steps:
     """Steps that each read the table of the one before: ``write`` makes the table of a step, then removes
     what the step itself had written, and the table of the step before, which nothing reads any more."""

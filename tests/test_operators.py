@@ -388,3 +388,11 @@ def test_headers_go_to_the_right_in_every_row_of_the_window(spark):
     got = lambda window: rows(combine_headers(grid, last, window).select("col_idx", "header"), "col_idx")
     assert got(2) == [(0, "Top | Area"), (1, "Top | Area"), (2, "Other | Area"), (3, "Other | Rate"), (4, "Other | Rate")]
     assert got(5)[4] == (4, "Title | Other | Rate") and got(1)[0] == (0, "Area")
+
+
+def test_short_rows_are_dealt_before_they_are_unfolded(spark, tmp_path):
+    from arealoom.checks import registry
+
+    parts = spark.range(25_000).select(F.col("id").alias("p_partkey"), *[F.lit("x").alias(c) for c in ("p_name", "p_brand", "p_type")])
+    parts.withColumns({"p_size": F.lit(1), "p_retailprice": F.lit(1.5)}).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert registry.cells(spark, str(tmp_path)).rdd.getNumPartitions() == 3
