@@ -14,29 +14,36 @@ _SHEET = ["file", "sheet"]
 
 
 def header_scores(cells: DataFrame, keywords=None, max_rows: int = 30) -> DataFrame:
-    """Score of every leading row: five per keyword found plus one per non-empty cell."""
+    """Score of every leading row: five per keyword found plus one per non-empty cell.
+
+    The keywords found are bits of whole numbers, so that a row is one short entry of a hash aggregate."""
     words = keywords or vocab.HEADER_KEYWORDS
     text = F.lower(trim_all("value"))
-    hits = F.lit(0)
-    for i in range(len(words)):
-        hits = hits + F.col(f"__{i}").cast("int")
+    masks = [
+        sum((F.contains(text, F.lit(w)).cast("long") * (1 << i) for i, w in enumerate(words[at : at + 62])), F.lit(0))
+        for at in range(0, len(words), 62)
+    ]
+    hits = sum((F.bit_count(F.col(f"__{i}")) for i in range(len(masks))), F.lit(0))
     return (
         cells.filter((F.col("row_idx") < max_rows) & F.col("value").isNotNull() & (text != ""))
         .groupBy(*_SHEET, "row_idx")
-        .agg(
-            F.count("*").alias("filled"),
-            *[F.bool_or(F.contains(text, F.lit(w))).alias(f"__{i}") for i, w in enumerate(words)],
-        )
+        .agg(F.count("*").alias("filled"), *[F.bit_or(m).alias(f"__{i}") for i, m in enumerate(masks)])
         .select(*_SHEET, "row_idx", (hits * 5 + F.col("filled")).alias("score"))
     )
 
 
 def detect_header_row(cells: DataFrame, keywords=None, max_rows: int = 30) -> DataFrame:
-    """The best-scored leading row of each sheet, the earliest on ties."""
+    """The best-scored leading row of each sheet, the earliest on ties.
+
+    Score and row are one whole number, which hash aggregates hold; a struct would be sorted."""
     scores = header_scores(cells, keywords, max_rows)
-    return scores.groupBy(*_SHEET).agg(
-        F.min_by("row_idx", F.struct(-F.col("score"), F.col("row_idx"))).alias("header_row"),
-        F.max("score").alias("score"),
+    rank = F.shiftleft("score", 32) + (F.lit(1 << 31) - F.col("row_idx"))
+    best = scores.groupBy(*_SHEET).agg(F.max(rank).alias("__best"))
+    row = F.lit(1 << 31) - F.col("__best").bitwiseAND((1 << 32) - 1)
+    return best.select(
+        *_SHEET,
+        row.cast(cells.schema["row_idx"].dataType).alias("header_row"),
+        F.shiftright("__best", 32).alias("score"),
     )
 
 

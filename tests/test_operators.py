@@ -390,6 +390,14 @@ def test_headers_go_to_the_right_in_every_row_of_the_window(spark):
     assert got(5)[4] == (4, "Title | Other | Rate") and got(1)[0] == (0, "Area")
 
 
+def test_header_scores_are_hash_aggregates(spark, tmp_path):
+    plan = detect_header_row(_sheets(spark, f"{tmp_path}/sheets", 50))._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    given = [("f", "s", r, c, v) for r, c, v in [(5, 0, "w70"), (5, 1, "w1"), (7, 0, "w70 w1"), (7, 1, "x"), (9, 0, "w70"), (9, 1, "z"), (9, 2, "y")]]
+    grid = spark.createDataFrame(given, "file string, sheet string, row_idx int, col_idx int, value string")
+    assert [tuple(r) for r in detect_header_row(grid, [f"w{i}" for i in (1, *range(10, 80))]).collect()] == [("f", "s", 5, 12)]
+
+
 def test_short_rows_are_dealt_before_they_are_unfolded(spark, tmp_path):
     from arealoom.checks import registry
 
