@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from arealoom.checks.registry import SQL_INVENTORY, cells, check, inventory, table
 from arealoom.operators import cells as CE
 from arealoom.operators.inventory import choose_source as best_source
-from arealoom.session import scratch_path
+from arealoom.session import dealt, scratch_path
 from arealoom.sources import files as FI
 from arealoom.sources import pages as PG
 from arealoom.sources import sinks as SK
@@ -170,7 +170,7 @@ def member_lines(spark, sf):
 
 
 def _measure_pages(spark, sf):
-    """One statistics page per part, headings and a table."""
+    """One statistics page per part, headings and a table. Parts are dealt over tasks before the pages are made."""
     cell = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     html = cell(
         "<html><body><h1>Part ", F.col("p_name"), "</h1><h2>Sales &amp; stock</h2><h3>", F.col("p_type"),
@@ -179,7 +179,8 @@ def _measure_pages(spark, sf):
         F.format_string("%,.2f", "p_retailprice"), "</td><td>n.p.</td><td>1</td></tr><tr><td>Notes</td><td>1</td><td>2</td>"
         "</tr></table><h2>Other</h2><table><tr><td>only one column</td></tr></table></body></html>",
     )
-    return table(spark, sf, "part").select("p_partkey", html.alias("html"))
+    parts = table(spark, sf, "part").select("p_partkey", "p_name", "p_type", "p_size", "p_retailprice")
+    return dealt(parts, "p_partkey", 5_000).select("p_partkey", html.alias("html"))
 
 
 @check(

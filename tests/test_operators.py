@@ -404,3 +404,12 @@ def test_short_rows_are_dealt_before_they_are_unfolded(spark, tmp_path):
     parts = spark.range(25_000).select(F.col("id").alias("p_partkey"), *[F.lit("x").alias(c) for c in ("p_name", "p_brand", "p_type")])
     parts.withColumns({"p_size": F.lit(1), "p_retailprice": F.lit(1.5)}).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
     assert registry.cells(spark, str(tmp_path)).rdd.getNumPartitions() == 3
+
+
+def test_pages_are_dealt_before_they_are_made(spark, tmp_path):
+    from arealoom.checks import sources
+
+    parts = spark.range(25_000).select(F.col("id").alias("p_partkey"), F.lit("x").alias("p_name"), F.lit("x").alias("p_type"))
+    parts.withColumns({"p_size": F.lit(1), "p_retailprice": F.lit(1.5)}).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    pages = sources._measure_pages(spark, str(tmp_path))
+    assert pages.rdd.getNumPartitions() == 5 and pages.select("p_partkey").distinct().count() == 25_000
