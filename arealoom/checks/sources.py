@@ -9,6 +9,7 @@ import io
 import zipfile
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from arealoom.checks.registry import SQL_INVENTORY, cells, check, inventory, table
@@ -19,6 +20,7 @@ from arealoom.sources import files as FI
 from arealoom.sources import pages as PG
 from arealoom.sources import sinks as SK
 from arealoom.sources import tables as T
+from arealoom.sources.records import slices
 
 
 def _codes(spark, sf):
@@ -134,19 +136,19 @@ def _archives(spark, sf):
     """One zip per document: its text, and a table about it."""
 
     def pack(batches):
-        for batch in batches:
+        for batch in slices(batches):
             paths, contents = [], []
-            for doc, text, lang in zip(batch["doc_id"], batch["text"], batch["lang"]):
+            for doc, text, lang in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "lang")), strict=True):
                 buffer = io.BytesIO()
                 with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr("about/Table.CSV", f"doc_id,lang\n{doc},{lang}\n")
                     archive.writestr("text.bin", text.encode("utf-8"))
                 paths.append(f"doc_{doc}.zip")
                 contents.append(buffer.getvalue())
-            yield pd.DataFrame({"path": paths, "content": contents})
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(contents, pa.binary())], ["path", "content"])
 
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    return docs.mapInPandas(pack, "path string, content binary")
+    return docs.mapInArrow(pack, "path string, content binary")
 
 
 @check(

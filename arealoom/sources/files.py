@@ -6,13 +6,14 @@ import io
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arealoom.functions.measures import size_mb
 from arealoom.functions.text import path_parts
 from arealoom.operators.aggregates import rollup_inventory
+from arealoom.sources.records import slices
 
 # Folders that are not live data.
 ARCHIVE_FOLDERS = ["_archive", "archive", "quarantine"]
@@ -123,20 +124,26 @@ def _archive_rows(path: str, content: bytes, with_content: bool) -> Iterator[tup
         yield path, "", "", 0, 0, f"failed: {error}", None
 
 
-def _members(with_content: bool, rows_per_batch: int = 5_000, bytes_per_batch: int = 1 << 26):
+def _member_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(_MEMBER_COLUMNS)
+    kinds = [pa.int64() if c in ("size", "compressed_size") else pa.string() for c in _MEMBER_COLUMNS]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], _MEMBER_COLUMNS)
+
+
+def _members(with_content: bool, rows_per_batch: int = 5_000, bytes_per_batch: int = 1 << 22):
     """Members of many small archives share an output batch; a large member closes its batch."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows, held = [], 0
-            for path, content in zip(batch["path"], batch["content"]):
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
+        for batch in slices(batches):
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 for row in _archive_rows(path, content, with_content):
                     rows.append(row)
                     held += len(row[-1] or "")
                     if len(rows) >= rows_per_batch or held >= bytes_per_batch:
-                        yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
+                        yield _member_batch(rows)
                         rows, held = [], 0
-            yield pd.DataFrame(rows, columns=_MEMBER_COLUMNS)
+        yield _member_batch(rows)
 
     return read
 
@@ -144,7 +151,7 @@ def _members(with_content: bool, rows_per_batch: int = 5_000, bytes_per_batch: i
 def zip_members(files: DataFrame, with_content: bool = True) -> DataFrame:
     """Members of zip archives, one archive at a time on the executors; readable tables come with
     their text."""
-    out = files.select("path", "content").mapInPandas(_members(with_content), _MEMBER_SCHEMA)
+    out = files.select("path", "content").mapInArrow(_members(with_content), _MEMBER_SCHEMA)
     return out if with_content else out.drop("text")
 
 

@@ -25,6 +25,15 @@ SPLITTABLE = ("utf-8", "iso-8859-1", "windows-1252", "us-ascii")
 _PIECES = "path string, block long, place long, head boolean, closed boolean, record string"
 
 
+def slices(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Batches cut to pieces of about ``size`` bytes: a batch has as many rows whether they are short or long,
+    and what is made of a piece is gone before the next."""
+    for batch in batches:
+        step = max(1, batch.num_rows * size // max(1, batch.nbytes))
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
+
+
 def _lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.col("value")
@@ -49,7 +58,7 @@ def _pieces(lines: DataFrame, begins_open: set[tuple[str, int]]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, held, place, head, odd = None, [], 0, False, False
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             counts = pc.count_substring(batch.column("value"), '"').to_pylist()
             rows = zip(batch.column("path").to_pylist(), batch.column("block").to_pylist(), batch.column("value").to_pylist(), counts, strict=True)
@@ -137,7 +146,7 @@ def list_items(spark: SparkSession, path) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, held, place, head, depth, base = None, [], 0, False, 0, 1
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for path, block, value in zip(*(batch.column(c).to_pylist() for c in ("path", "block", "value")), strict=True):
                 if (path, block) != split:

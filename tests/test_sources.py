@@ -297,3 +297,28 @@ def test_items_of_a_json_list_are_read_by_several_tasks(spark, tmp_path):
         assert items.count() == 2000 and items.select(F.spark_partition_id()).distinct().count() > 10
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_long_rows_are_worked_off_in_pieces_of_few_bytes(spark, tmp_path):
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    from arealoom.sources import files, records
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 1000] * 5000)], ["value"])
+    cut = list(records.slices(iter([batch, batch.slice(0, 0), batch.slice(0, 1)]), 100_000))
+    assert max(b.num_rows for b in cut) <= 100 and sum(b.num_rows for b in cut) == 5001
+
+    def packed(size):
+        buffer = io.BytesIO()
+        with zipfile.ZipFile(buffer, "w") as archive:
+            archive.writestr("a.csv", "y" * size)
+        return buffer.getvalue()
+
+    names = [f"{i}.zip" for i in range(6)]
+    archives = pa.RecordBatch.from_arrays([pa.array(names), pa.array([packed(3 << 20)] * 6)], ["path", "content"])
+    out = list(files._members(True)(iter([archives])))
+    assert [b.num_rows for b in out] == [2, 2, 2, 0]
+    assert [p for b in out for p in b.column("path").to_pylist()] == names
